@@ -402,4 +402,5 @@ CHECK_SQL = {
                         FROM people WHERE level IN (1, 2) GROUP BY 1) b
         WHERE a.email <> ''""", "people"),
 }
+CHECK_SQL["incremental_load_by_day"] = CHECK_SQL["incremental_load"]
 CHECK_SQL["html_rows_nested"] = CHECK_SQL["html_rows"]

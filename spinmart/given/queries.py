@@ -16,12 +16,12 @@ from spinmart.operators.latest import latest_per_key, upsert_latest
 from spinmart.operators.lookups import exclude_ids, flag_by_window_table, left_join_derived, windows_table
 from spinmart.operators.pairing import full_join, pair_by_key, pair_nth
 from spinmart.operators.ranking import rank_within
-from spinmart.operators.staging import staging_path
+from spinmart.operators.staging import stage, staging_path
 from spinmart.plans import level_outbox as outbox
 from spinmart.plans import marts, report
 from spinmart.plans.admin_units import UNIT_CELLS
-from spinmart.plans.gamestreams import counted_wins, credits, failed_wins
-from spinmart.plans.incremental_load import incremental_load
+from spinmart.plans.gamestreams import counted_wins, credits, failed_wins, reward_catalog
+from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned
 from spinmart.sinks.tables import append_to_mart, write_export
 from spinmart.sources import schemas
 from spinmart.sources.changes import LoadConfig, changed_between, extract_changes
@@ -37,17 +37,18 @@ FIRST_DAY, LAST_DAY = date(2024, 1, 5), date(2024, 1, 6)
 # Streams and pairing.
 
 def _slice_credits(spark, folder) -> DataFrame:
-    """Order lines of three kinds of parts, as credits of three games."""
+    """Order lines of three kinds of parts, as credits of three games, staged for the ranking."""
     parts = given.table(spark, folder, "part").where(F.col("p_type").isin("ECONOMY", "SMALL", "LARGE"))
     games = F.expr("CASE p_type WHEN 'ECONOMY' THEN 20 WHEN 'SMALL' THEN 21 ELSE 23 END")
     lines = given.table(spark, folder, "lineitem").where("l_returnflag <> 'R'")
     orders = given.table(spark, folder, "orders").where("o_orderstatus <> 'P'")
-    return (
+    rows = (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(F.col("o_custkey").alias("uid"), games.alias("game_id"), "l_orderkey", "l_linenumber",
                 "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     )
+    return stage(rows, "credits")
 
 
 def _slice_wins(spark, folder) -> DataFrame:
@@ -82,22 +83,27 @@ def wins_window_table(spark, folder):
     return flag_by_window_table(timed, windows, ["game_id"], "rewarded_at", 1, "is_test")
 
 
-def wins_chain(spark, folder):
+def _game_wins(spark, folder, **options) -> DataFrame:
+    src = given.game_sources(spark, folder)
     flag = window_flag(F.col("local_at"), marts.GAME_WIN_WINDOWS, marts.named_test_or(1))
-    return counted_wins(given.game_sources(spark, folder), AS_OF, marts.GAME_IDS, flag)
+    return counted_wins(src, AS_OF, reward_catalog(src, marts.GAME_IDS), flag, **options)
+
+
+def wins_chain(spark, folder):
+    return _game_wins(spark, folder)
 
 
 def wins_chain_deduped(spark, folder):
-    flag = window_flag(F.col("local_at"), marts.GAME_WIN_WINDOWS, marts.named_test_or(1))
-    return counted_wins(given.game_sources(spark, folder), AS_OF, marts.GAME_IDS, flag, dedupe=True)
+    return _game_wins(spark, folder, dedupe=True)
 
 
 def wins_with_failed(spark, folder):
     src = given.game_sources(spark, folder)
+    catalog = reward_catalog(src, (23, 31))
     flag = window_flag(F.col("local_at"), marts.FAILED_WIN_WINDOWS, marts.named_test_or(0))
-    both = counted_wins(src, AS_OF, (23, 31), flag, ("region",)).unionByName(
-        failed_wins(src, (23, 31), flag, ("region",)))
-    return rank_within(both, ["uid", "game_id"], ["customer_rewards_id"])
+    both = counted_wins(src, AS_OF, catalog, flag, ("region",)).unionByName(
+        failed_wins(src, catalog, flag, ("region",)))
+    return rank_within(stage(both, "wins"), ["uid", "game_id"], ["customer_rewards_id"])
 
 
 def pair_codes(spark, folder):
@@ -218,19 +224,37 @@ def upsert_events(spark, folder):
     return upsert_latest(target, events.where("event_type = 'click'"), "user_id", ["ts", "event_id"])
 
 
-def incremental_load_job(spark, folder):
-    """Extract, stage and upsert the changes of two days into a target that lacks them."""
+def _load_case(spark, folder) -> tuple[DataFrame, LoadConfig, DataFrame]:
+    """Source, config, and a target that lacks new rows of two days and has older values elsewhere."""
     source = given.changed_src(spark, folder).select("id", "user_id", "value", "updated_at", "created_at")
     config = LoadConfig.for_source("postgres", "shop", "events")
-    before = source.where(~F.coalesce(
-        changed_between(config.timestamp_columns, config.timestamp_column_type, LO, HI), F.lit(False)))
-    stale = source.where(F.col("created_at") < F.col("updated_at")).withColumn("value", -F.col("value"))
-    target = staging_path(spark, "target")
-    before.join(stale.select("id"), "id", "left_anti").unionByName(stale).write.parquet(target)
-    return incremental_load(spark, source, config, LO, HI, staging_path(spark, "extract"), target,
+    changed = changed_between(config.timestamp_columns, config.timestamp_column_type, LO, HI)
+    older = F.col("created_at") < F.col("updated_at")
+    target = source.where(older.eqNullSafe(F.lit(True)) | ~F.coalesce(changed, F.lit(False))).withColumn(
+        "value", F.when(older, -F.col("value")).otherwise(F.col("value")))
+    return source, config, target
+
+
+def incremental_load_job(spark, folder):
+    """Extract, stage and upsert the changes of two days into the target."""
+    source, config, target = _load_case(spark, folder)
+    path = staging_path(spark, "target")
+    target.write.parquet(path)
+    return incremental_load(spark, source, config, LO, HI, staging_path(spark, "extract"), path,
                             staging_path(spark, "target"))
 
 
+def incremental_load_by_day(spark, folder):
+    """The same load into a target laid out by creation day."""
+    source, config, target = _load_case(spark, folder)
+    path, day = staging_path(spark, "target"), F.to_date("created_at")
+    target.withColumn("created_day", day).repartition("created_day").write.partitionBy("created_day").parquet(path)
+    loaded = incremental_load_partitioned(
+        spark, source.withColumn("created_day", day), config, LO, HI, staging_path(spark, "extract"), path,
+        "created_day")
+    return loaded.drop("created_day")
+
+
 def append_by_position(spark, folder):
     """Two loads into a mart table whose columns bear other names than the result's."""
     path, name = staging_path(spark, "mart"), f"spinmart_append_{uuid.uuid4().hex}"
@@ -325,6 +349,7 @@ QUERIES = {
     "latest_per_key": latest_event,
     "upsert_latest": upsert_events,
     "incremental_load": incremental_load_job,
+    "incremental_load_by_day": incremental_load_by_day,
     "append_by_position": append_by_position,
     "sheet_export": sheet_export,
     "html_rows": list_rows,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.functions.timerules import CampaignWindow, check_disjoint
+from spinmart.operators.staging import stage
 
 # Rows of a narrow key table that may be broadcast (tens of megabytes).
 BROADCAST_ROWS = 1_000_000
@@ -17,8 +18,12 @@ WINDOW_ROWS = 10_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; beyond the bound Spark chooses a shuffle join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Stage a list or dimension once and hint a broadcast if its counted rows are within bounds.
+
+    Beyond the bound there is no hint, and Spark joins by shuffle.
+    """
+    table = stage(df, "lookup")
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -28,17 +33,17 @@ def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, rows: int = BRO
     return df.join(broadcast_if_small(ids, rows), F.col(column) == F.col("_listed"), "left_anti")
 
 
-def left_join_present(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Left join on a text key where an empty or NULL key must not match.
+def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str) -> DataFrame:
+    """Left join on a text key where an empty or NULL key does not match.
 
-    Rows without a key would all hash to one partition. They get a negative filler from
-    ``spread_by`` as second join key, while real keys carry their length, so no filler can match.
+    An outer join cannot split a key that is frequent on its inner side, and rows without a key
+    would meet in one task. So rows with a key go through an inner join, which adaptive execution
+    splits on either side, and the ``row_id`` values it did not return are added unmatched.
     """
     present = F.coalesce(F.col(key), F.lit("")) != ""
-    filler = -1 - F.pmod(F.xxhash64(F.col(spread_by)), F.lit(1 << 30)).cast("int")
-    spread = left.withColumn("_len", F.when(present, F.length(key)).otherwise(filler))
-    keyed = right.where(F.col(key) != "").withColumn("_len", F.length(key))
-    return spread.join(keyed, [key, "_len"], "left").drop("_len")
+    matched = stage(left.where(present).join(right.where(present), key), "matched")
+    unmatched = left.join(matched.select(row_id).distinct(), row_id, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def windows_table(spark, windows: Sequence[CampaignWindow], keys: T.StructType) -> DataFrame:

@@ -61,7 +61,7 @@ def pair_nth(left: DataFrame, right: DataFrame, keys: Sequence[str],
         ranked = rank_within(left, left_rank_keys, left_order, "_nth", limit)
         return _join_ranked(ranked, rank_within(right, keys, right_order, "_nth", limit), keys, rank, *fill)
 
-    left_terms, right_terms = total_order(left, left_order), total_order(right, right_order)
+    left_terms, right_terms = total_order(left, keys, left_order), total_order(right, keys, right_order)
     found = [h for h in (heavy_groups(left, keys, limit), heavy_groups(right, keys, limit)) if h is not None]
     if not found:
         return _join_ranked(rank_by_window(left, keys, left_terms, "_nth"),
@@ -79,24 +79,29 @@ def pair_nth(left: DataFrame, right: DataFrame, keys: Sequence[str],
 def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame:
     """Full outer join on one code column; repeated codes match many to many.
 
-    Rows without a code match nothing and skip the join. Codes above ``limit`` rows on a side skip
-    the full join as well: those held by both sides go through an inner join, which adaptive
-    execution can split, and the others are passed on unmatched.
+    Rows without a code match nothing; a second join column spreads them over the tasks. Codes above
+    ``limit`` rows on a side skip the full join: those held by both sides go through an inner join,
+    which adaptive execution can split, and the others are passed on unmatched.
     """
-    blank_left, blank_right = (df.where(F.col(key).isNull()) for df in (left, right))
-    left, right = (df.where(F.col(key).isNotNull()) for df in (left, right))
-    found = [h for h in (heavy_groups(left, [key], limit), heavy_groups(right, [key], limit)) if h is not None]
+    found = [heavy for heavy in (
+        heavy_groups(df.where(F.col(key).isNotNull()), [key], limit) for df in (left, right)) if heavy is not None]
     if not found:
-        parts = [left.join(right, [key], "full")]
-    else:
-        heavy = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
-        left_rest, left_large = split_groups(left, heavy, [key])
-        right_rest, right_large = split_groups(right, heavy, [key])
-        parts = [left_rest.join(right_rest, [key], "full"), left_large.join(right_large, [key], "inner")]
-        # Both code lists are part of the heavy list, so they are as small as it is.
-        for mine, other in ((left_large, right_large), (right_large, left_large)):
-            parts.append(mine.join(F.broadcast(other.select(key).distinct()), [key], "left_anti"))
-    out = parts[0]
-    for part in [*parts[1:], blank_left, blank_right]:
-        out = out.unionByName(part, allowMissingColumns=True)
+        return _full_join_on_code(left, right, key)
+    heavy = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
+    left_rest, left_large = split_groups(left, heavy, [key])
+    right_rest, right_large = split_groups(right, heavy, [key])
+    out = _full_join_on_code(left_rest, right_rest, key).unionByName(
+        left_large.join(right_large, [key], "inner"))
+    # Both code lists are part of the heavy list, so they are as small as it is.
+    for mine, other in ((left_large, right_large), (right_large, left_large)):
+        alone = mine.join(F.broadcast(other.select(key).distinct()), [key], "left_anti")
+        out = out.unionByName(alone, allowMissingColumns=True)
     return out
+
+
+def _full_join_on_code(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    def spread(df: DataFrame) -> DataFrame:
+        others = [name for name in df.columns if name != key]
+        return df.withColumn("_spread", F.when(F.col(key).isNull(), F.xxhash64(*others)).otherwise(F.lit(0)))
+
+    return spread(left).join(spread(right), [key, "_spread"], "full").drop("_spread")

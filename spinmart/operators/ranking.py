@@ -21,10 +21,10 @@ GROUP_LIMIT = 4_000_000
 HEAVY_LIST_LIMIT = 10_000
 
 
-def total_order(df: DataFrame, first: Sequence[str | Column]) -> list[Column]:
+def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str | Column]) -> list[Column]:
     """Sort terms with NULL last, ties broken by every other column, so ranks are repeatable."""
     terms = [F.col(term).asc_nulls_last() if isinstance(term, str) else term for term in first]
-    named = {term for term in first if isinstance(term, str)}
+    named = {*keys, *(term for term in first if isinstance(term, str))}
     return terms + [F.col(name).asc_nulls_last() for name in df.columns if name not in named]
 
 
@@ -92,7 +92,7 @@ def rank_by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rn",
                 limit: int = GROUP_LIMIT) -> DataFrame:
     """Add ``name``: the 1-based position of each row in its group. No keys means one group."""
-    terms = total_order(df, order)
+    terms = total_order(df, keys, order)
     if not keys:
         large = df.limit(limit + 1).count() > limit
         return (rank_by_slices if large else rank_by_window)(df, keys, terms, name)

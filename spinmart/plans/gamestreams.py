@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from spinmart.functions.texts import code_map, json_int, json_text
 from spinmart.functions.timerules import local_time, settled
-from spinmart.operators.lookups import exclude_ids, left_join_derived, left_join_present
 from spinmart.operators.latest import latest_per_key
+from spinmart.operators.lookups import (
+    broadcast_if_small,
+    exclude_ids,
+    left_join_derived,
+    left_join_present,
+)
 
 # Status codes of the sources.
 PAID = 2
@@ -58,8 +63,8 @@ def credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_games:
     lines = src.order_lines.where(
         (F.col("status") == PAID) & (F.col("pay_status") == PAID) & ~F.col("delivery").isin(*CANCELLED_LINES)
     ).select(F.col("id").alias("cart_detail_id"), "cart_id", "gift_detail_id")
-    gifts = src.gifts.where(F.col("id").isin(*gift_games)).select(
-        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name"))
+    gifts = broadcast_if_small(src.gifts.where(F.col("id").isin(*gift_games)).select(
+        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")))
     return (
         lines.join(gifts, "gift_detail_id").join(orders, "cart_id")
         .withColumn("game_id", code_map(F.col("gift_detail_id"), gift_games).cast("long"))
@@ -73,13 +78,14 @@ def credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_games:
     )
 
 
-def _catalog(src: GameSources, game_ids: Sequence[int]) -> DataFrame:
+def reward_catalog(src: GameSources, game_ids: Sequence[int]) -> DataFrame:
     """Rewards of the games with their configured quantities; several quantities repeat a reward."""
     games = src.games.where(F.col("id").isin(*game_ids)).select(F.col("id").alias("game_id"))
     rewards = src.rewards.select(
         F.col("id").alias("reward_id"), "game_id", "gift_id", F.col("name").alias("gift_label"))
     quantities = src.reward_quantities.select("reward_id", F.col("quantity").alias("configured_qty"))
-    return games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left")
+    return broadcast_if_small(
+        games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"))
 
 
 def _win_row(rows: DataFrame, is_test: Column, extra: Sequence[str]) -> DataFrame:
@@ -95,9 +101,11 @@ def _win_source(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("id", "win_id").withColumn("local_at", local_time(F.col("created")))
 
 
-def counted_wins(src: GameSources, as_of: datetime, game_ids: Sequence[int], is_test: Column,
+def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test: Column,
                  extra: Sequence[str] = (), exclude: bool = True, dedupe: bool = False) -> DataFrame:
-    """Wins that count. ``is_test`` may use ``game_id``, ``local_at``, ``customer_id``, ``state``.
+    """Wins of the catalog's games that count.
+
+    ``is_test`` may use ``game_id``, ``local_at``, ``customer_id`` and ``state``.
 
     A reward with several quantities, or several orders under one transaction id, repeat a win;
     ``dedupe`` keeps one row per win.
@@ -106,12 +114,12 @@ def counted_wins(src: GameSources, as_of: datetime, game_ids: Sequence[int], is_
     if exclude:
         won = exclude_ids(won, src.excluded_wins, "id")
     orders = src.orders.select("transaction_id", F.col("money_total").alias("gift_value"))
-    rows = _win_source(won).join(_catalog(src, game_ids), "reward_id")
+    rows = _win_source(won).join(catalog, "reward_id")
     out = _win_row(left_join_present(rows, orders, "transaction_id", "win_id"), is_test, extra)
     return latest_per_key(out, "customer_rewards_id", []) if dedupe else out
 
 
-def failed_wins(src: GameSources, game_ids: Sequence[int], is_test: Column,
+def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
                 extra: Sequence[str] = ()) -> DataFrame:
     """Wins whose request failed and whose payment call failed, one row per distinct card."""
     payments = src.payment_orders.where(F.col("status") == FAILED_PAYMENT).select(
@@ -120,7 +128,7 @@ def failed_wins(src: GameSources, game_ids: Sequence[int], is_test: Column,
         F.col("ncart_id").alias("payment_id"))
     won = src.wins.where(F.col("state") == FAILED_STATE)
     rows = (
-        _win_source(won).join(_catalog(src, game_ids), "reward_id")
+        _win_source(won).join(catalog, "reward_id")
         .join(payments, "transaction_id").join(cards, "payment_id")
     )
     return _win_row(rows, is_test, extra)

@@ -23,6 +23,7 @@ from spinmart.plans.gamestreams import (
     counted_wins,
     credits,
     failed_wins,
+    reward_catalog,
     with_place,
 )
 
@@ -105,7 +106,8 @@ def mart_game(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_
     local_at = F.col("local_at")
     credit_rows = credits(src, as_of, ALL_SITES, GAME_GIFTS, window_flag(local_at, GAME_CREDIT_WINDOWS, 1),
                           local_credits)
-    win_rows = counted_wins(src, as_of, GAME_IDS, window_flag(local_at, GAME_WIN_WINDOWS, named_test_or(1)),
+    win_rows = counted_wins(src, as_of, reward_catalog(src, GAME_IDS),
+                            window_flag(local_at, GAME_WIN_WINDOWS, named_test_or(1)),
                             dedupe=dedupe)
     return _pair(credit_rows, win_rows, by_site_user, limit).select(*GAME_COLUMNS)
 
@@ -115,12 +117,12 @@ def mart_game_failed_included(src: GameSources, as_of: datetime, *, dedupe: bool
                               limit: int = GROUP_LIMIT) -> DataFrame:
     """One game, wins whose request failed included. A win without a value shows 0."""
     local_at = F.col("local_at")
-    game_ids = tuple(FAILED_GIFTS.values())
+    catalog = reward_catalog(src, tuple(FAILED_GIFTS.values()))
     win_test = window_flag(local_at, FAILED_WIN_WINDOWS, named_test_or(0))
     credit_rows = credits(src, as_of, FAILED_SITES, FAILED_GIFTS,
                           window_flag(local_at, FAILED_CREDIT_WINDOWS, 0), local_credits)
-    win_rows = counted_wins(src, as_of, game_ids, win_test, dedupe=dedupe).unionByName(
-        failed_wins(src, game_ids, win_test))
+    win_rows = counted_wins(src, as_of, catalog, win_test, dedupe=dedupe).unionByName(
+        failed_wins(src, catalog, win_test))
     paired = _pair(credit_rows, win_rows, by_site_user, limit)
     return paired.withColumn("gift_value", F.coalesce("gift_value", F.lit(0))).select(*GAME_COLUMNS)
 
@@ -134,7 +136,7 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
         (local_time(created) if local_credits else created).alias("credited_at"),
         "turns", "state", code_suffix(F.col("link")).alias("lucky_code"),
     )
-    win_rows = counted_wins(src, as_of, (RANKED_CODE_GAME,), F.lit(0), exclude=False, dedupe=dedupe)
+    win_rows = counted_wins(src, as_of, reward_catalog(src, (RANKED_CODE_GAME,)), F.lit(0), exclude=False, dedupe=dedupe)
     paired = pair_nth(code_rows, stage(win_rows.drop("is_test"), "wins"), ["uid", "game_id"],
                       ["credited_at"], ["customer_rewards_id"], limit=limit)
     return (
@@ -155,10 +157,10 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
         F.col("game_id").alias("code_game_id"),
         (local_time(created) if local_credits else created).alias("code_created_at"), "turns", "state",
     )
-    game_ids, is_test = (REDEEMED_CODE_GAME,), F.when(F.col("state") == 1, 1).otherwise(0)
+    catalog, is_test = reward_catalog(src, (REDEEMED_CODE_GAME,)), F.when(F.col("state") == 1, 1).otherwise(0)
     extra = ("metadata", F.col("code_redeem").alias("redeemed"))
-    win_rows = counted_wins(src, as_of, game_ids, is_test, extra, exclude=False).unionByName(
-        failed_wins(src, game_ids, is_test, extra))
+    win_rows = counted_wins(src, as_of, catalog, is_test, extra, exclude=False).unionByName(
+        failed_wins(src, catalog, is_test, extra))
     paired = pair_by_key(code_rows, stage(with_place(win_rows, src.provinces), "wins"), "redeemed", limit)
     return (
         paired.withColumn("game_id", F.coalesce("code_game_id", "game_id"))
@@ -172,10 +174,10 @@ def mart_game_region(src: GameSources, as_of: datetime, *, dedupe: bool = False,
                      limit: int = GROUP_LIMIT) -> DataFrame:
     """One game with the region of each win, failed requests included."""
     local_at = F.col("local_at")
-    game_ids = tuple(REGION_GIFTS.values())
+    catalog = reward_catalog(src, tuple(REGION_GIFTS.values()))
     win_test = window_flag(local_at, REGION_WIN_WINDOWS, named_test_or(1))
     credit_rows = credits(src, as_of, ALL_SITES, REGION_GIFTS,
                           window_flag(local_at, REGION_CREDIT_WINDOWS, 1), local_credits)
-    win_rows = counted_wins(src, as_of, game_ids, win_test, ("region",), dedupe=dedupe).unionByName(
-        failed_wins(src, game_ids, win_test, ("region",)))
+    win_rows = counted_wins(src, as_of, catalog, win_test, ("region",), dedupe=dedupe).unionByName(
+        failed_wins(src, catalog, win_test, ("region",)))
     return _pair(credit_rows, win_rows, by_site_user, limit).select(*GAME_COLUMNS, "region")

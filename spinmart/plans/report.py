@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinmart.functions.texts import matches_any
-from spinmart.operators.ranking import GROUP_LIMIT, rank_within
+from spinmart.operators.ranking import rank_within
 from spinmart.operators.staging import stage
 
 # Column titles and wording of the message.
@@ -21,6 +21,8 @@ MISSING_AGENT = "None"
 EMPTY_TABLE = f"Empty DataFrame\nColumns: [{AGENT_TITLE}, {COUNT_TITLE}]\nIndex: []"
 
 AGENTS_PER_MESSAGE = 1_000
+# Agents that one task may sort for the message.
+AGENTS_SORTED_AT_ONCE = 100_000
 
 
 def asked(messages: DataFrame, pattern: str, start: date, end: date, half_open: bool = False,
@@ -37,12 +39,17 @@ def asked(messages: DataFrame, pattern: str, start: date, end: date, half_open:
     )
 
 
-def with_agent(counts: DataFrame, conversations: DataFrame, users: DataFrame) -> DataFrame:
-    """Look up the agent of each conversation; rows without one keep a NULL agent."""
-    return (
-        counts.join(conversations.select(F.col("id").alias("conversation_id"), "user_id"), "conversation_id", "left")
-        .join(users.select(F.col("id").alias("user_id"), "email"), "user_id", "left")
+def with_agent(counts: DataFrame, conversations: DataFrame, users: DataFrame, *more: str) -> DataFrame:
+    """Counts per agent address; questions without a conversation or user stay under NULL.
+
+    Counts are summed per user before the address is looked up, so a busy user is one row by then.
+    """
+    owners = conversations.select(F.col("id").alias("conversation_id"), "user_id")
+    per_user = (
+        counts.join(owners, "conversation_id", "left")
+        .groupBy("user_id", *more).agg(F.sum("_n").alias("_n"))
     )
+    return per_user.join(users.select(F.col("id").alias("user_id"), "email"), "user_id", "left")
 
 
 def _per_conversation(rows: DataFrame, *more: str) -> DataFrame:
@@ -89,7 +96,7 @@ def report_backfill(messages: DataFrame, conversations: DataFrame, users: DataFr
     """
     rows = asked(messages, pattern, first_run, last_run + timedelta(days=1), half_open)
     counts = _per_conversation(rows.withColumn("_day", F.to_date("created_at")), "_day")
-    per_day = with_agent(counts, conversations, users).groupBy("_day", "email").agg(F.sum("_n").alias("_n"))
+    per_day = with_agent(counts, conversations, users, "_day")
     runs = F.array("_day") if half_open else F.array("_day", F.date_sub("_day", 1))
     return (
         per_day.select("email", "_n", F.explode(runs).alias("run_date"))
@@ -99,7 +106,7 @@ def report_backfill(messages: DataFrame, conversations: DataFrame, users: DataFr
 
 
 def report_message(report: DataFrame, day: date, agents_per_message: int = AGENTS_PER_MESSAGE,
-                   limit: int = GROUP_LIMIT) -> DataFrame:
+                   limit: int = AGENTS_SORTED_AT_ONCE) -> DataFrame:
     """(part, body): the report as message text with a right-aligned table.
 
     A report of up to ``agents_per_message`` agents is one message. A longer one goes on in further
@@ -141,6 +148,12 @@ def report_message(report: DataFrame, day: date, agents_per_message: int = AGENT
     )
 
 
+def report_outbox(messages: DataFrame, chat: str) -> DataFrame:
+    """The parts of a report as rows to deliver to one chat, in order."""
+    return messages.orderBy("part").select(
+        F.lit(chat).alias("recipient"), F.lit(None).cast("string").alias("subject"), "body")
+
+
 def daily_note(days: DataFrame, day: str) -> DataFrame:
     """A short note per row of ``days``, its date written day first."""
     return days.select(day, F.format_string(DAILY_NOTE, F.date_format(day, "dd/MM/yyyy")).alias("body"))

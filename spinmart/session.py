@@ -3,20 +3,26 @@
 from pyspark.sql import SparkSession
 
 
+# The rank pairing join may reuse the shuffle of its own window, one exchange per side in place of
+# two. Heavy users do not make that uneven: ``pair_nth`` joins them apart, on the rank as well.
+JOB_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings of the jobs to a running session."""
+    for key, value in JOB_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None,
                   **extra: str) -> SparkSession:
-    """Session with the settings the jobs are tuned for.
-
-    ``requireAllClusterKeysForCoPartition=false`` lets the rank pairing join reuse the shuffle of
-    its own window (one exchange per side in place of two). It is safe against heavy users
-    because ``pair_nth`` takes those out and joins them on the full key including the rank.
-    """
+    """New session for the jobs, adaptive execution on."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -25,4 +31,4 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in extra.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())

@@ -1,0 +1,121 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from spinmart.functions.texts import (
+    code_map,
+    code_suffix,
+    contains_word,
+    json_int,
+    json_text,
+    matches_any,
+)
+from spinmart.operators.latest import latest_per_key, upsert_latest
+from spinmart.operators.lookups import (
+    broadcast_if_small,
+    exclude_ids,
+    left_join_derived,
+    left_join_present,
+)
+
+
+@pytest.mark.parametrize("bound", [1, 1000])
+def test_excluded_ids_are_dropped_whatever_the_plan(spark, rows, bound):
+    df = spark.range(6).toDF("id")
+    listed = spark.createDataFrame([(1,), (3,), (3,), (None,), (99,)], "win_id bigint")
+    assert rows(exclude_ids(df, listed, "id", bound)) == [(0,), (2,), (4,), (5,)]
+
+
+def test_broadcast_only_within_the_bound(spark):
+    small, plans = spark.range(10).toDF("id"), []
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for bound in (10, 9):
+            joined = spark.range(100).toDF("id").join(broadcast_if_small(small, bound), "id")
+            plans.append(joined._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+
+
+def test_left_join_on_present_keys(spark):
+    """A third of the left rows has no key, another share one key; the right side repeats a key."""
+    draw = random.Random(9)
+    left = [(n, draw.choice(["", None, "hot", f"t{n}"])) for n in range(300)]
+    right = [("", -1), (None, -2), ("hot", 1), ("hot", 2)] + [(f"t{n}", n) for n in range(0, 600, 2)]
+    got = left_join_present(
+        spark.createDataFrame(left, "id int, tx string"), spark.createDataFrame(right, "tx string, v int"), "tx", "id")
+    want = Counter()
+    for n, tx in left:
+        hits = [v for t, v in right if tx and t == tx]
+        for value in hits or [None]:
+            want[(n, tx, value)] += 1
+    assert Counter(map(tuple, got.select("id", "tx", "v").collect())) == want
+
+
+METADATA = [
+    (1, None), (2, "{}"), (3, '{"city_id": ""}'), (4, '{"city_id": "x"}'),
+    (5, '{"city_id": "3", "store": {"name": "N", "district": "D"}}'), (6, '{"city_id": {"deep": 1}, "store": 7}'),
+    (7, '{"city_id": 3}'), (8, "not json"),
+]
+
+
+def test_keys_out_of_json(spark, rows):
+    df = spark.createDataFrame(METADATA, "id int, metadata string")
+    provinces = spark.createDataFrame([(3, "Three"), (4, "Four")], "pid int, province string")
+    joined = left_join_derived(df, json_int(F.col("metadata"), "$.city_id"), provinces, "pid")
+    assert rows(joined, "id", "province") == [
+        (1, None), (2, None), (3, None), (4, None), (5, "Three"), (6, None), (7, "Three"), (8, None)]
+    texts = df.select("id", json_text(F.col("metadata"), "$.store.name").alias("name"))
+    assert dict(rows(texts)) == {n: "N" if n == 5 else "" for n in range(1, 9)}
+
+
+def test_scalar_rules(spark):
+    df = spark.createDataFrame(
+        [("TEST1", "0123456789abc"), ("my_test", "short"), ("tes", None), (None, "")], "name string, link string")
+    got = df.select(
+        F.when(contains_word(F.col("name"), "test"), 1).otherwise(0).alias("t"),
+        code_suffix(F.col("link")).alias("s"), matches_any(F.col("name"), "my|st1").alias("m")).collect()
+    assert [r.t for r in got] == [1, 1, 0, 0]
+    assert [r.s for r in got] == ["3456789abc", "short", None, ""]
+    assert [r.m for r in got] == [True, True, False, None]
+    codes = spark.createDataFrame([(5,), (6,), (None,)], "c bigint").select(code_map(F.col("c"), {5: 20, 7: 21}))
+    assert [r[0] for r in codes.collect()] == [20, None, None]
+
+
+ROW = "id int, v string, at int, seq int"
+
+
+def test_latest_row_per_key(spark, rows):
+    data = [(1, "old", 1, 1), (1, "new", 2, 1), (2, "a", 5, 1), (2, "b", 5, 2), (3, "n", None, 1), (3, "o", 0, 0)]
+    got = latest_per_key(spark.createDataFrame(data, ROW), "id", ["at", "seq"])
+    assert rows(got, "id", "v") == [(1, "new"), (2, "b"), (3, "o")]
+
+
+def test_latest_row_is_limited_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "x", 1, 1)], ROW).write.parquet(path)
+    plan = latest_per_key(spark.read.parquet(path), "id", ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("bound", [1, 1000])
+def test_upsert(spark, rows, bound):
+    target = [(1, "kept", 1, 0), (2, "replaced", 1, 0), (3, "newer", 9, 0), (4, "tie", 4, 0), (5, "null", None, 0)]
+    staged = [(2, "x", 2, 0), (2, "y", 3, 0), (3, "late", 8, 0), (4, "staged", 4, 0), (5, "set", 0, 0), (6, "new", 1, 0)]
+    want = [(1, "kept"), (2, "y"), (3, "newer"), (4, "staged"), (5, "set"), (6, "new")]
+    once = upsert_latest(spark.createDataFrame(target, ROW), spark.createDataFrame(staged, ROW), "id", ["at", "seq"], bound)
+    assert rows(once, "id", "v") == want
+    again = upsert_latest(once, spark.createDataFrame(staged, ROW), "id", ["at", "seq"], bound)
+    assert rows(again, "id", "v") == want
+
+
+def test_upsert_does_not_shuffle_the_target(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.range(1000).selectExpr("id", "id AS at").write.parquet(path)
+    merged = upsert_latest(spark.read.parquet(path), spark.range(5).selectExpr("id", "id + 1 AS at"), "id", ["at"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
