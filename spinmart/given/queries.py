@@ -220,7 +220,7 @@ def latest_event(spark, folder):
 def upsert_events(spark, folder):
     """Clicks upserted into the latest other event of each user."""
     events = given.table(spark, folder, "events")
-    target = latest_per_key(events.where("event_type <> 'click'"), "user_id", ["ts", "event_id"])
+    target = stage(latest_per_key(events.where("event_type <> 'click'"), "user_id", ["ts", "event_id"]), "target")
     return upsert_latest(target, events.where("event_type = 'click'"), "user_id", ["ts", "event_id"])
 
 
@@ -290,7 +290,7 @@ def list_rows(spark, folder):
 
 
 def list_rows_nested(spark, folder):
-    rows = html_rows_nested(_pages(spark, folder), "ul", "li")
+    rows = html_rows_nested(_pages(spark, folder), "ul", "li", table_tag=None)
     return rows.select("page_id", F.posexplode("cells").alias("cell", "text"))
 
 

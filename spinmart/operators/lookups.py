@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from spinmart.functions.timerules import CampaignWindow, check_disjoint
 from spinmart.operators.staging import stage
 
-# Rows of a narrow key table that may be broadcast (tens of megabytes).
+# Rows that may be broadcast: of a narrow table of keys, and of a dimension with its texts. Either
+# comes to tens of megabytes at most.
 BROADCAST_ROWS = 1_000_000
+DIMENSION_ROWS = 100_000
 WINDOW_ROWS = 10_000
 
 

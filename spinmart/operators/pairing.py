@@ -20,6 +20,18 @@ from spinmart.operators.ranking import (
 Defaults = Mapping[str, object]
 
 
+def _mark(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return left.withColumn("_has_left", F.lit(True)), right.withColumn("_has_right", F.lit(True))
+
+
+def _fill(joined: DataFrame, left_defaults: Defaults | None, right_defaults: Defaults | None) -> DataFrame:
+    filled = {}
+    for marker, defaults in (("_has_left", left_defaults), ("_has_right", right_defaults)):
+        for name, value in (defaults or {}).items():
+            filled[name] = F.when(F.col(marker).isNull(), F.lit(value)).otherwise(F.col(name))
+    return joined.withColumns(filled).drop("_has_left", "_has_right")
+
+
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str],
               left_defaults: Defaults | None = None, right_defaults: Defaults | None = None) -> DataFrame:
     """Full outer join; key columns are taken from whichever side is there.
@@ -27,15 +39,8 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     With defaults, columns of a *missing* side show the default in place of NULL. A NULL inside a
     matched row stays NULL, which a plain ``coalesce`` would lose.
     """
-    if not left_defaults and not right_defaults:
-        return left.join(right, list(on), "full")
-    joined = left.withColumn("_has_left", F.lit(True)).join(
-        right.withColumn("_has_right", F.lit(True)), list(on), "full")
-    filled = {}
-    for marker, defaults in (("_has_left", left_defaults), ("_has_right", right_defaults)):
-        for name, value in (defaults or {}).items():
-            filled[name] = F.when(F.col(marker).isNull(), F.lit(value)).otherwise(F.col(name))
-    return joined.withColumns(filled).drop("_has_left", "_has_right")
+    left, right = _mark(left, right)
+    return _fill(left.join(right, list(on), "full"), left_defaults, right_defaults)
 
 
 def _join_ranked(left: DataFrame, right: DataFrame, keys: Sequence[str], rank: str,
@@ -76,17 +81,19 @@ def pair_nth(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return rest.unionByName(large)
 
 
-def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_LIMIT,
+                left_defaults: Defaults | None = None, right_defaults: Defaults | None = None) -> DataFrame:
     """Full outer join on one code column; repeated codes match many to many.
 
     Rows without a code match nothing; a second join column spreads them over the tasks. Codes above
     ``limit`` rows on a side skip the full join: those held by both sides go through an inner join,
     which adaptive execution can split, and the others are passed on unmatched.
     """
+    left, right = _mark(left, right)
     found = [heavy for heavy in (
         heavy_groups(df.where(F.col(key).isNotNull()), [key], limit) for df in (left, right)) if heavy is not None]
     if not found:
-        return _full_join_on_code(left, right, key)
+        return _fill(_full_join_on_code(left, right, key), left_defaults, right_defaults)
     heavy = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
     left_rest, left_large = split_groups(left, heavy, [key])
     right_rest, right_large = split_groups(right, heavy, [key])
@@ -96,7 +103,7 @@ def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_
     for mine, other in ((left_large, right_large), (right_large, left_large)):
         alone = mine.join(F.broadcast(other.select(key).distinct()), [key], "left_anti")
         out = out.unionByName(alone, allowMissingColumns=True)
-    return out
+    return _fill(out, left_defaults, right_defaults)
 
 
 def _full_join_on_code(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

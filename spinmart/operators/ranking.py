@@ -19,6 +19,8 @@ from spinmart.operators.staging import stage
 GROUP_LIMIT = 4_000_000
 # Groups listed as heavy at most. Any group left off the list is smaller than a 10,000th of all rows.
 HEAVY_LIST_LIMIT = 10_000
+# Rows of a group at the limit that the size estimate looks at.
+ESTIMATE_ROWS = 1_000
 
 
 def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str | Column]) -> list[Column]:
@@ -31,13 +33,17 @@ def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str | Column
 def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
     """The groups with more than ``limit`` rows as a small table, or None.
 
-    Counts are combined before the shuffle. At most rows/limit groups exist, and only the largest
-    ``HEAVY_LIST_LIMIT`` come to the driver.
+    Sizes are estimated on a sample that holds about ``ESTIMATE_ROWS`` rows of a group at the limit;
+    groups from half the limit on are listed to be sure. The list only chooses how a group is
+    processed: both ways are exact and take every row. At most ``HEAVY_LIST_LIMIT`` groups, the
+    largest, come to the driver.
     """
-    size = F.count(F.lit(1))
+    fraction = min(1.0, ESTIMATE_ROWS / limit)
+    least = limit if fraction == 1.0 else limit * fraction / 2
     found = (
-        df.groupBy(*keys).agg(size.alias("_rows"))
-        .where(F.col("_rows") > limit)
+        df.select(*keys).sample(fraction, seed=0)
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > least)
         .orderBy(F.desc("_rows")).limit(HEAVY_LIST_LIMIT)
         .collect()
     )

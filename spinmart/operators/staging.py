@@ -1,7 +1,8 @@
 """Staged tables: a result written once to the shared folder and read back.
 
 A staged table cuts the lineage and survives lost executors. It is used where a result is read more
-than once and is costly to compute again.
+than once and is costly to compute again. All tables of one application lie in one folder named after
+it, to be deleted when the application has ended.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    application = spark.conf.get("spark.app.id", "application")
+    return f"{staging_root(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "staged") -> DataFrame:

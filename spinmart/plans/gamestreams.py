@@ -13,11 +13,13 @@ from spinmart.functions.texts import code_map, json_int, json_text
 from spinmart.functions.timerules import local_time, settled
 from spinmart.operators.latest import latest_per_key
 from spinmart.operators.lookups import (
+    DIMENSION_ROWS,
     broadcast_if_small,
     exclude_ids,
     left_join_derived,
     left_join_present,
 )
+from spinmart.operators.staging import stage
 
 # Status codes of the sources.
 PAID = 2
@@ -61,10 +63,11 @@ def credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_games:
         "site_user_id", "transaction_id", "created", "ncart_id", F.col("site_id").alias("app_id"),
     )
     lines = src.order_lines.where(
-        (F.col("status") == PAID) & (F.col("pay_status") == PAID) & ~F.col("delivery").isin(*CANCELLED_LINES)
+        F.col("gift_detail_id").isin(*gift_games) & (F.col("status") == PAID) & (F.col("pay_status") == PAID)
+        & ~F.col("delivery").isin(*CANCELLED_LINES)
     ).select(F.col("id").alias("cart_detail_id"), "cart_id", "gift_detail_id")
     gifts = broadcast_if_small(src.gifts.where(F.col("id").isin(*gift_games)).select(
-        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")))
+        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")), DIMENSION_ROWS)
     return (
         lines.join(gifts, "gift_detail_id").join(orders, "cart_id")
         .withColumn("game_id", code_map(F.col("gift_detail_id"), gift_games).cast("long"))
@@ -85,7 +88,7 @@ def reward_catalog(src: GameSources, game_ids: Sequence[int]) -> DataFrame:
         F.col("id").alias("reward_id"), "game_id", "gift_id", F.col("name").alias("gift_label"))
     quantities = src.reward_quantities.select("reward_id", F.col("quantity").alias("configured_qty"))
     return broadcast_if_small(
-        games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"))
+        games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"), DIMENSION_ROWS)
 
 
 def _win_row(rows: DataFrame, is_test: Column, extra: Sequence[str]) -> DataFrame:
@@ -121,17 +124,20 @@ def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test:
 
 def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
                 extra: Sequence[str] = ()) -> DataFrame:
-    """Wins whose request failed and whose payment call failed, one row per distinct card."""
+    """Wins whose request failed and whose payment call failed, one row per distinct card.
+
+    Such wins are few beside the payments and cards, so these are cut down by broadcast lists where
+    the counts allow it, and only the cards in question are made distinct.
+    """
+    failed = _win_source(src.wins.where(F.col("state") == FAILED_STATE)).join(catalog, "reward_id")
     payments = src.payment_orders.where(F.col("status") == FAILED_PAYMENT).select(
         F.col("id").alias("payment_id"), "transaction_id", F.col("money_total").alias("gift_value"))
-    cards = src.unidentified_cards.select("id", "ncart_id", "campaign_id", "created_at").distinct().select(
-        F.col("ncart_id").alias("payment_id"))
-    won = src.wins.where(F.col("state") == FAILED_STATE)
-    rows = (
-        _win_source(won).join(catalog, "reward_id")
-        .join(payments, "transaction_id").join(cards, "payment_id")
-    )
-    return _win_row(rows, is_test, extra)
+    paid = stage(payments.join(broadcast_if_small(failed, DIMENSION_ROWS), "transaction_id"), "paid")
+    cards = src.unidentified_cards.select(
+        "id", F.col("ncart_id").alias("payment_id"), "campaign_id", "created_at")
+    asked = broadcast_if_small(paid.select("payment_id").distinct())
+    cards = cards.join(asked, "payment_id", "left_semi").distinct().select("payment_id")
+    return _win_row(paid.join(cards, "payment_id"), is_test, extra)
 
 
 def with_place(rows: DataFrame, provinces: DataFrame) -> DataFrame:

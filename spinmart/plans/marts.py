@@ -1,7 +1,9 @@
 """The five marts that put spin credits and prize wins side by side.
 
-Times are local wall clock. With ``local_credits=False`` the credit time stays as stored. The streams
-are joins and are read twice (group sizes, then ranks), so they are staged first.
+Times are local wall clock. With ``local_credits=False`` the credit time stays as stored. ``dedupe``
+keeps one row per win where quantities or orders repeat it. Columns of a missing side are NULL unless
+defaults are given. The streams are joins and are read twice (group sizes, then ranks), so they are
+staged first.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from spinmart.functions.texts import code_suffix, contains_word
 from spinmart.functions.timerules import CampaignWindow as Window
 from spinmart.functions.timerules import local_time, window_flag
 from spinmart.operators.pairing import pair_by_key, pair_nth
-from spinmart.operators.ranking import GROUP_LIMIT
 from spinmart.operators.staging import stage
 from spinmart.plans.gamestreams import (
     COUNTED_STATES,
@@ -87,21 +88,23 @@ def named_test_or(default: int) -> Column:
     return F.when(contains_word(F.col("customer_id"), "test"), 1).otherwise(default)
 
 
-def _pair(credit_rows: DataFrame, win_rows: DataFrame, by_site_user: bool, limit: int) -> DataFrame:
+def _pair(credit_rows: DataFrame, win_rows: DataFrame, by_site_user: bool = False, **options) -> DataFrame:
     """n-th credit beside n-th win of the same user and game.
 
     The rank follows the paired user id. ``by_site_user`` ranks credits by the site's own user id
-    and gift instead, which can repeat a rank where several of those share a phone.
+    and gift instead, which can repeat a rank where several of those share a phone. The other
+    options go to ``pair_nth``: ``limit``, and ``left_defaults`` and ``right_defaults`` for the
+    columns of a missing credit or win.
     """
     rank_keys = ["site_user_id", "gift_detail_id"] if by_site_user else None
     return pair_nth(
         stage(credit_rows, "credits"), stage(win_rows, "wins"), ["uid", "game_id"],
-        ["cart_detail_id"], ["customer_rewards_id"], left_rank_keys=rank_keys, limit=limit,
+        ["cart_detail_id"], ["customer_rewards_id"], left_rank_keys=rank_keys, **options,
     )
 
 
 def mart_game(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_credits: bool = True,
-              by_site_user: bool = False, limit: int = GROUP_LIMIT) -> DataFrame:
+              **pairing) -> DataFrame:
     """All campaign games. Rows are test rows unless a campaign window holds them."""
     local_at = F.col("local_at")
     credit_rows = credits(src, as_of, ALL_SITES, GAME_GIFTS, window_flag(local_at, GAME_CREDIT_WINDOWS, 1),
@@ -109,12 +112,11 @@ def mart_game(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_
     win_rows = counted_wins(src, as_of, reward_catalog(src, GAME_IDS),
                             window_flag(local_at, GAME_WIN_WINDOWS, named_test_or(1)),
                             dedupe=dedupe)
-    return _pair(credit_rows, win_rows, by_site_user, limit).select(*GAME_COLUMNS)
+    return _pair(credit_rows, win_rows, **pairing).select(*GAME_COLUMNS)
 
 
 def mart_game_failed_included(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                              local_credits: bool = True, by_site_user: bool = False,
-                              limit: int = GROUP_LIMIT) -> DataFrame:
+                              local_credits: bool = True, **pairing) -> DataFrame:
     """One game, wins whose request failed included. A win without a value shows 0."""
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(FAILED_GIFTS.values()))
@@ -123,12 +125,12 @@ def mart_game_failed_included(src: GameSources, as_of: datetime, *, dedupe: bool
                           window_flag(local_at, FAILED_CREDIT_WINDOWS, 0), local_credits)
     win_rows = counted_wins(src, as_of, catalog, win_test, dedupe=dedupe).unionByName(
         failed_wins(src, catalog, win_test))
-    paired = _pair(credit_rows, win_rows, by_site_user, limit)
+    paired = _pair(credit_rows, win_rows, **pairing)
     return paired.withColumn("gift_value", F.coalesce("gift_value", F.lit(0))).select(*GAME_COLUMNS)
 
 
 def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                    local_credits: bool = True, limit: int = GROUP_LIMIT) -> DataFrame:
+                    local_credits: bool = True, **pairing) -> DataFrame:
     """One game whose credits are lucky codes; the code's state marks test rows."""
     created = F.col("created")
     code_rows = src.game_codes.where(F.col("game_id") == RANKED_CODE_GAME).select(
@@ -138,7 +140,7 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
     )
     win_rows = counted_wins(src, as_of, reward_catalog(src, (RANKED_CODE_GAME,)), F.lit(0), exclude=False, dedupe=dedupe)
     paired = pair_nth(code_rows, stage(win_rows.drop("is_test"), "wins"), ["uid", "game_id"],
-                      ["credited_at"], ["customer_rewards_id"], limit=limit)
+                      ["credited_at"], ["customer_rewards_id"], **pairing)
     return (
         paired.withColumn("transaction_id", F.col("ref_id"))
         .withColumn("is_test", F.when(F.col("state") == TEST_CODE_STATE, 1).otherwise(0))
@@ -146,8 +148,7 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
     )
 
 
-def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool = True,
-                      limit: int = GROUP_LIMIT) -> DataFrame:
+def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool = True, **pairing) -> DataFrame:
     """One game whose wins name the code they redeemed; wins carry the dealer's place."""
     created = F.col("created")
     code_rows = src.game_codes.where(
@@ -161,7 +162,7 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
     extra = ("metadata", F.col("code_redeem").alias("redeemed"))
     win_rows = counted_wins(src, as_of, catalog, is_test, extra, exclude=False).unionByName(
         failed_wins(src, catalog, is_test, extra))
-    paired = pair_by_key(code_rows, stage(with_place(win_rows, src.provinces), "wins"), "redeemed", limit)
+    paired = pair_by_key(code_rows, stage(with_place(win_rows, src.provinces), "wins"), "redeemed", **pairing)
     return (
         paired.withColumn("game_id", F.coalesce("code_game_id", "game_id"))
         .withColumn("transaction_id", F.col("ref_id"))
@@ -170,8 +171,7 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
 
 
 def mart_game_region(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                     local_credits: bool = True, by_site_user: bool = False,
-                     limit: int = GROUP_LIMIT) -> DataFrame:
+                     local_credits: bool = True, **pairing) -> DataFrame:
     """One game with the region of each win, failed requests included."""
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(REGION_GIFTS.values()))
@@ -180,4 +180,4 @@ def mart_game_region(src: GameSources, as_of: datetime, *, dedupe: bool = False,
                           window_flag(local_at, REGION_CREDIT_WINDOWS, 1), local_credits)
     win_rows = counted_wins(src, as_of, catalog, win_test, ("region",), dedupe=dedupe).unionByName(
         failed_wins(src, catalog, win_test, ("region",)))
-    return _pair(credit_rows, win_rows, by_site_user, limit).select(*GAME_COLUMNS, "region")
+    return _pair(credit_rows, win_rows, **pairing).select(*GAME_COLUMNS, "region")

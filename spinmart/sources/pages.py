@@ -19,10 +19,14 @@ def _elements(html: Column, tag: str) -> Column:
 
 
 def _plain_text(html: Column) -> Column:
-    text = F.regexp_replace(html, r"<[^>]*>", "")
+    """Text as a reader sees it: white space runs as one space, a line break tag as a line break."""
+    text = F.regexp_replace(html, r"[\s\u00a0]+", " ")
+    text = F.regexp_replace(text, r"(?i)<br\s*/?>", "\n")
+    text = F.regexp_replace(text, r"<[^>]*>", "")
     for reference, character in CHARACTER_REFERENCES:
         text = F.replace(text, F.lit(reference), F.lit(character))
-    return F.trim(F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
+    text = F.regexp_replace(F.regexp_replace(text, r" +", " "), r" ?\n ?", "\n")
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def html_rows(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td") -> DataFrame:
@@ -39,59 +43,90 @@ def html_rows(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td") -> Da
 
 
 class _RowParser(HTMLParser):
-    """Collects, for each row in document order, the texts of all cells below it."""
+    """Collects, for each row in document order, the texts of all cells below it.
 
-    def __init__(self, row_tag: str, cell_tag: str):
+    End tags of rows and cells may be left out, as HTML allows: a new cell ends the one before it,
+    and a new row ends the row before it unless a table was opened in between.
+    """
+
+    def __init__(self, table_tag: str | None, row_tag: str, cell_tag: str):
         super().__init__()
-        self.row_tag, self.cell_tag = row_tag, cell_tag
+        self.table_tag, self.row_tag, self.cell_tag = table_tag, row_tag, cell_tag
         self.rows: list[list[list[str]]] = []
-        self.open_rows: list[list[list[str]]] = []
-        self.open_cells: list[list[str]] = []
-        self.hidden = 0
+        self.open: list[tuple[str, list]] = []
+        self.hidden = False
+
+    def _close(self, *tags: str) -> None:
+        """Close the innermost element of ``tags`` with all inside it, within the current table."""
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] in tags:
+                del self.open[at:]
+                return
+            if self.open[at][0] == self.table_tag:
+                return
 
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
-            self.hidden += 1
+            self.hidden = True
+        elif tag == "br":
+            self.handle_data("\0")
+        elif tag == self.table_tag:
+            self.open.append((tag, []))
         elif tag == self.row_tag:
+            if self.table_tag:
+                self._close(self.row_tag)
             row: list[list[str]] = []
             self.rows.append(row)
-            self.open_rows.append(row)
+            self.open.append((tag, row))
         elif tag == self.cell_tag:
+            if self.open and self.open[-1][0] == tag:
+                self.open.pop()
             cell: list[str] = []
-            for row in self.open_rows:
-                row.append(cell)
-            self.open_cells.append(cell)
+            for kind, row in self.open:
+                if kind == self.row_tag:
+                    row.append(cell)
+            self.open.append((tag, cell))
 
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
-        elif tag == self.row_tag and self.open_rows:
-            self.open_rows.pop()
-        elif tag == self.cell_tag and self.open_cells:
-            self.open_cells.pop()
+            self.hidden = False
+        elif tag == self.table_tag:
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at][0] == tag:
+                    del self.open[at:]
+                    break
+        elif tag in (self.row_tag, self.cell_tag):
+            self._close(tag)
 
     def handle_data(self, data):
         if not self.hidden:
-            for cell in self.open_cells:
-                cell.append(data)
+            for kind, cell in self.open:
+                if kind == self.cell_tag:
+                    cell.append(data)
+
+    def texts(self) -> Iterator[tuple[int, list[str]]]:
+        for pos, row in enumerate(self.rows):
+            if row:
+                yield pos, ["\n".join(" ".join(line.split()) for line in "".join(cell).split("\0")).strip()
+                            for cell in row]
 
 
-def html_rows_nested(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td") -> DataFrame:
+def html_rows_nested(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td",
+                     table_tag: str | None = "table") -> DataFrame:
     """As ``html_rows``, for tables nested in one another: a row also lists the cells of its inner
-    rows, and an inner row follows the row around it."""
+    rows, and an inner row follows the row around it. All character references are read."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             page_ids, positions, cells = [], [], []
             for page_id, html in zip(batch["page_id"].to_pylist(), batch["html"].to_pylist()):
-                parser = _RowParser(row_tag, cell_tag)
+                parser = _RowParser(table_tag, row_tag, cell_tag)
                 parser.feed(html or "")
                 parser.close()
-                for pos, row in enumerate(parser.rows):
-                    if row:
-                        page_ids.append(page_id)
-                        positions.append(pos)
-                        cells.append([" ".join("".join(cell).split()) for cell in row])
+                for pos, texts in parser.texts():
+                    page_ids.append(page_id)
+                    positions.append(pos)
+                    cells.append(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(page_ids, pa.int64()), pa.array(positions, pa.int32()),
                  pa.array(cells, pa.list_(pa.string()))],

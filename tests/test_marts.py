@@ -8,7 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from spinmart.plans import marts
-from spinmart.plans.gamestreams import GameSources, counted_wins, failed_wins, reward_catalog
+from spinmart.plans.gamestreams import (
+    GameSources,
+    counted_wins,
+    credits,
+    failed_wins,
+    reward_catalog,
+)
 from spinmart.sources import schemas
 
 AS_OF = datetime(2024, 9, 1, 3, 30)  # rows up to 02:00 UTC count
@@ -97,6 +103,16 @@ def test_only_paid_current_lines_of_the_sites_are_credits(spark, rows):
     assert rows(marts.mart_game(src, AS_OF), "cart_detail_id") == [(10,), (30,), (60,), (80,)]
 
 
+def test_credit_filters_reach_the_scans(spark, tmp_path, plan_of):
+    src = sources(spark)
+    for name in ("orders", "order_lines"):
+        getattr(src, name).write.parquet(str(tmp_path / name))
+        src = replace(src, **{name: spark.read.parquet(str(tmp_path / name))})
+    plan = plan_of(credits(src, AS_OF, marts.ALL_SITES, marts.GAME_GIFTS, F.lit(0)))
+    for pushed in ("In(gift_detail_id, [", "EqualTo(pay_status,2)", "LessThanOrEqual(created,", "In(site_id, ["):
+        assert pushed in plan
+
+
 def test_phone_is_the_user_on_one_site(spark, rows):
     """Two site users share a phone: by default ranks go on over both, as the pairing does."""
     src = sources(
@@ -248,3 +264,12 @@ def test_marts_do_not_depend_on_the_group_limit(spark, rows):
     for mart, data in ((marts.mart_game, src), (marts.mart_game_failed_included, src),
                        (marts.mart_game_by_code, src_codes)):
         assert rows(mart(data, AS_OF, limit=5)) == rows(mart(data, AS_OF))
+
+
+def test_defaults_of_a_missing_side(spark, rows):
+    src = sources(spark, orders=[order(1), order(2, user="u2")], order_lines=[line(11, 1), line(21, 2)],
+                  wins=[win(5, user="u1"), win(6, user="u3")])
+    got = marts.mart_game(src, AS_OF, left_defaults={"rn": 0, "cart_id": 0, "gift_name": ""},
+                          right_defaults={"customer_rewards_id": 0, "gift_value": 0})
+    assert rows(got, "uid", "rn", "cart_id", "gift_name", "customer_rewards_id", "gift_value") == [
+        ("u1", 1, 1, "gift 12728", 5, None), ("u2", 1, 2, "gift 12728", 0, 0), ("u3", 0, 0, "", 6, None)]

@@ -28,6 +28,18 @@ def test_nested_rows(spark):
     assert [r.cells for r in got] == [["outin1in2", "in1", "in2", "last é"], ["in1", "in2"]]
 
 
+def test_end_tags_may_be_left_out(spark):
+    loose = "<table><tr><td>a<td>b<table><tr><td>in</table> after<tr><td>c</table>"
+    got = html_rows_nested(pages(spark, loose)).orderBy("pos").collect()
+    assert [r.cells for r in got] == [["a", "bin after", "in"], ["in"], ["c"]]
+
+
+@pytest.mark.parametrize("read", [html_rows, html_rows_nested])
+def test_line_breaks_and_spaces(spark, read):
+    page = "<tr><td> a  <b>b</b> <BR/> c\u00a0\n d<br></td><td>&nbsp;</td></tr>"
+    assert [r.cells for r in read(pages(spark, page)).collect()] == [["a b\nc d", ""]]
+
+
 def test_script_text_is_no_cell_text(spark):
     got = html_rows_nested(pages(spark, "<table><tr><td>a<script>var x = '<td>';</script></td></tr></table>"))
     assert [r.cells for r in got.collect()] == [["a"]]

@@ -164,3 +164,13 @@ def test_heavy_codes_skip_the_full_join(spark):
     right = spark.createDataFrame([("a", 2), ("b", 3)], RIGHT)
     got = pair_by_key(left, right, "code", 50)
     assert got.where(F.col("r").isNull()).count() == 100 and got.count() == 102
+
+
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_codes_with_defaults(spark, rows, limit):
+    left = spark.createDataFrame([("a", 1), ("b", None), (None, 3)] + [("hot", 4)] * 5, LEFT)
+    right = spark.createDataFrame([("b", 2), ("c", None)] + [("cold", 5)] * 4, RIGHT)
+    got = pair_by_key(left, right, "code", limit, {"l": 0}, {"r": -1})
+    assert rows(got, "code", "l", "r") == sorted(
+        [("a", 1, -1), ("b", None, 2), ("c", 0, None), (None, 3, -1)] + [("cold", 0, 5)] * 4 + [("hot", 4, -1)] * 5,
+        key=lambda t: tuple((v is None, str(v)) for v in t))

@@ -89,3 +89,12 @@ def test_no_group_above_the_limit_is_sorted_in_one_task(spark):
     sliced = ranking.stage(df.repartitionByRange(8, "uid", "game", "id").withColumn("s", F.spark_partition_id()))
     sizes = [r["count"] for r in sliced.groupBy("s").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 8000 / 8
+
+
+def test_estimate_finds_large_groups_and_leaves_small_ones(spark, rows):
+    df = spark.range(0, 400_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('u', id % 50000) END AS uid", "id")
+    assert rows(heavy_groups(df, ["uid"], 50_000)) == [("hot",)]
+    got = rank_within(df, ["uid"], ["id"], limit=50_000)
+    wrong = got.where("uid = 'hot' AND rn <> id / 3 + 1")
+    assert wrong.count() == 0 and got.where("uid = 'hot'").count() == 133_334
