@@ -38,8 +38,23 @@ GIFT = """cast(CASE
 ORDER_TIME = "o_orderdate + make_dt_interval(8470, cast(o_orderkey % 24 as int))"
 
 
+# Schemas of the given tables; naming them saves a job per read that would look them up.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def orders_src(spark, folder) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.functions.timerules import CampaignWindow, check_disjoint
+from spinmart.operators.ranking import GROUP_LIMIT, heavy_groups
 from spinmart.operators.staging import stage
 
 # Rows that may be broadcast: of a narrow table of keys, and of a dimension with its texts. Either
@@ -35,15 +36,23 @@ def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, rows: int = BRO
     return df.join(broadcast_if_small(ids, rows), F.col(column) == F.col("_listed"), "left_anti")
 
 
-def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str) -> DataFrame:
+def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str,
+                      limit: int = GROUP_LIMIT) -> DataFrame:
     """Left join on a text key where an empty or NULL key does not match.
 
-    An outer join cannot split a key that is frequent on its inner side, and rows without a key
-    would meet in one task. So rows with a key go through an inner join, which adaptive execution
-    splits on either side, and the ``row_id`` values it did not return are added unmatched.
+    Left rows without a key would all meet in one task. They get a negative filler as second join
+    column, while real keys carry their length, so a filler matches nothing.
+
+    A key above ``limit`` rows on the right cannot be split in an outer join. Then the rows go
+    through an inner join, which can, and those it did not return, by ``row_id``, are added.
     """
     present = F.coalesce(F.col(key), F.lit("")) != ""
-    matched = stage(left.where(present).join(right.where(present), key), "matched")
+    right = right.where(present)
+    if heavy_groups(right, [key], limit) is None:
+        filler = -1 - F.pmod(F.xxhash64(row_id), F.lit(1 << 30)).cast("int")
+        spread = left.withColumn("_spread", F.when(present, F.length(key)).otherwise(filler))
+        return spread.join(right.withColumn("_spread", F.length(key)), [key, "_spread"], "left").drop("_spread")
+    matched = stage(left.where(present).join(right, key), "matched")
     unmatched = left.join(matched.select(row_id).distinct(), row_id, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 

@@ -41,13 +41,16 @@ def test_broadcast_only_within_the_bound(spark):
     assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
 
 
-def test_left_join_on_present_keys(spark):
-    """A third of the left rows has no key, another share one key; the right side repeats a key."""
+@pytest.mark.parametrize("limit", [20, 1_000_000])
+def test_left_join_on_present_keys(spark, limit):
+    """Half of the left rows have no key, a quarter share one; the right side holds frequent keys."""
     draw = random.Random(9)
     left = [(n, draw.choice(["", None, "hot", f"t{n}"])) for n in range(300)]
-    right = [("", -1), (None, -2), ("hot", 1), ("hot", 2)] + [(f"t{n}", n) for n in range(0, 600, 2)]
+    right = [("", -1), (None, -2)] + [("hot", n) for n in range(30)] + [("alone", n) for n in range(90)]
+    right += [(f"t{n}", n) for n in range(0, 600, 2)]
     got = left_join_present(
-        spark.createDataFrame(left, "id int, tx string"), spark.createDataFrame(right, "tx string, v int"), "tx", "id")
+        spark.createDataFrame(left, "id int, tx string"), spark.createDataFrame(right, "tx string, v int"), "tx", "id",
+        limit)
     want = Counter()
     for n, tx in left:
         hits = [v for t, v in right if tx and t == tx]
@@ -119,3 +122,19 @@ def test_upsert_does_not_shuffle_the_target(spark, tmp_path):
     merged = upsert_latest(spark.read.parquet(path), spark.range(5).selectExpr("id", "id + 1 AS at"), "id", ["at"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_rows_without_a_key_are_spread_by_the_join(spark, tmp_path, plan_of):
+    path = str(tmp_path / "r")
+    spark.createDataFrame([("a", 1)], "tx string, v int").write.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        left = spark.range(1000).selectExpr("id", "CASE WHEN id < 0 THEN 'x' ELSE '' END AS tx")
+        joined = left_join_present(left, spark.read.parquet(path), "tx", "id")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plan = plan_of(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "_spread" in plan.split("hashpartitioning(")[1].split(")")[0]
+    assert sum(sizes) == 1000
