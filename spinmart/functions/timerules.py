@@ -30,6 +30,11 @@ def local_time(stored: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), stored)
 
 
+def hour_start(local: Column) -> Column:
+    """Start of the hour of a wall-clock time, by subtraction, so no time zone takes part."""
+    return local - F.make_dt_interval(mins=F.minute(local), secs=F.extract(F.lit("SECOND"), local))
+
+
 def hour_lag_cutoff(as_of: datetime, lag_hours: int = 1, zone: str = LOCAL_ZONE) -> datetime:
     """UTC time up to which rows count: start of the local hour of ``as_of``, less the lag."""
     utc = as_of.astimezone(UTC) if as_of.tzinfo else as_of.replace(tzinfo=UTC)

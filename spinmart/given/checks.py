@@ -6,8 +6,6 @@ The SQL states the expected rows in its own way: plain windows, CASE chains and
 from __future__ import annotations
 
 LOCAL = "INTERVAL 7 HOUR"
-CUTOFF = "TIMESTAMP '2024-09-01 02:00:00'"
-CHAT_CUTOFF = "TIMESTAMP '2024-01-10 02:00:00'"
 
 SOURCES = {
     "orders_src": """
@@ -88,7 +86,7 @@ SOURCES = {
           AND l.gift_detail_id <> 11025
           AND o.created + INTERVAL 7 HOUR <= TIMESTAMP '2024-09-01 09:00:00'""",
     "game_credits": """
-        SELECT * REPLACE (credited_at AS credited_at), CASE
+        SELECT *, CASE
                WHEN app_id = 1060 AND credited_at > TIMESTAMP '2023-11-13 23:59:59' THEN 0
                WHEN app_id = 1020 AND gift_detail_id = 13821 AND credited_at > TIMESTAMP '2024-01-14 23:59:59' THEN 0
                WHEN app_id = 1020 AND gift_detail_id = 14050 AND credited_at > TIMESTAMP '2024-02-06 23:59:59'
@@ -277,7 +275,7 @@ CHECK_SQL = {
                CASE WHEN w.id IS NULL THEN '' ELSE w.code_redeem END AS code_redeem
         FROM orders_src o FULL OUTER JOIN wins_src w ON o.id = w.id""", "orders_src", "wins_src"),
     "hour_lag_cutoff": f"""
-        SELECT event_id, ts + {LOCAL} AS local_ts, CAST(ts + {LOCAL} AS DATE) AS local_day
+        SELECT event_id, ts + {LOCAL} AS local_ts, date_trunc('hour', ts + {LOCAL}) AS local_hour, CAST(ts + {LOCAL} AS DATE) AS local_day
         FROM events WHERE ts + {LOCAL} <= date_trunc('hour', TIMESTAMP '2024-01-10 03:30:00' + {LOCAL}) - INTERVAL 1 HOUR""",
     "exclude_ids": "SELECT * FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) <> 50",
     "json_dim_join": _with("""

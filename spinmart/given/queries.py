@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.functions.texts import code_suffix, json_int, json_text, matches_any
-from spinmart.functions.timerules import local_time, settled, window_flag
+from spinmart.functions.timerules import hour_start, local_time, settled, window_flag
 from spinmart.given import tables as given
 from spinmart.operators.latest import latest_per_key, upsert_latest
 from spinmart.operators.lookups import exclude_ids, flag_by_window_table, left_join_derived, windows_table
@@ -125,7 +125,8 @@ def pair_default_fill(spark, folder):
 def hour_lag_cutoff(spark, folder):
     events = given.table(spark, folder, "events").where(settled(F.col("ts"), CHAT_AS_OF))
     local = local_time(F.col("ts"))
-    return events.select("event_id", local.alias("local_ts"), F.to_date(local).alias("local_day"))
+    return events.select("event_id", local.alias("local_ts"), hour_start(local).alias("local_hour"),
+                         F.to_date(local).alias("local_day"))
 
 
 def exclude_listed(spark, folder):

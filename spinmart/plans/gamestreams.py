@@ -91,45 +91,46 @@ def reward_catalog(src: GameSources, game_ids: Sequence[int]) -> DataFrame:
         games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"), DIMENSION_ROWS)
 
 
-def _win_row(rows: DataFrame, is_test: Column, extra: Sequence[str]) -> DataFrame:
-    return rows.select(
-        F.col("customer_id").alias("uid"), F.col("game_id"), F.col("reward_id"), F.col("gift_id"),
-        F.col("gift_label"), F.col("gift_value"), F.col("local_at").alias("rewarded_at"),
-        is_test.alias("is_test"), F.col("win_id").alias("customer_rewards_id"), F.col("configured_qty"),
-        F.col("transaction_id").alias("ref_id"), *extra,
-    )
+def _win_source(won: DataFrame, carry: Sequence[str]) -> DataFrame:
+    return won.select(
+        F.col("id").alias("win_id"), "customer_id", "reward_id", "transaction_id", "state",
+        local_time(F.col("created")).alias("local_at"), *carry)
 
 
-def _win_source(rows: DataFrame) -> DataFrame:
-    return rows.withColumnRenamed("id", "win_id").withColumn("local_at", local_time(F.col("created")))
+def _win_row(rows: DataFrame, is_test: Column, carry: Sequence[str]) -> DataFrame:
+    return rows.select(
+        F.col("customer_id").alias("uid"), "game_id", "reward_id", "gift_id", "gift_label", "gift_value",
+        F.col("local_at").alias("rewarded_at"), is_test.alias("is_test"),
+        F.col("win_id").alias("customer_rewards_id"), "configured_qty",
+        F.col("transaction_id").alias("ref_id"), *carry,
+    )
 
 
 def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test: Column,
-                 extra: Sequence[str] = (), exclude: bool = True, dedupe: bool = False) -> DataFrame:
-    """Wins of the catalog's games that count.
-
-    ``is_test`` may use ``game_id``, ``local_at``, ``customer_id`` and ``state``.
+                 carry: Sequence[str] = (), exclude: bool = True, dedupe: bool = False) -> DataFrame:
+    """Wins of the catalog's games that count, with the ``carry`` columns of the wins.
 
-    A reward with several quantities, or several orders under one transaction id, repeat a win;
-    ``dedupe`` keeps one row per win.
+    ``is_test`` may use ``game_id``, ``local_at``, ``customer_id`` and ``state``. A reward with
+    several quantities, or several orders under one transaction id, repeat a win; ``dedupe`` keeps
+    one row per win.
     """
     won = src.wins.where(F.col("state").isin(*COUNTED_STATES) & settled(F.col("created"), as_of))
     if exclude:
         won = exclude_ids(won, src.excluded_wins, "id")
     orders = src.orders.select("transaction_id", F.col("money_total").alias("gift_value"))
-    rows = _win_source(won).join(catalog, "reward_id")
-    out = _win_row(left_join_present(rows, orders, "transaction_id", "win_id"), is_test, extra)
+    rows = _win_source(won, carry).join(catalog, "reward_id")
+    out = _win_row(left_join_present(rows, orders, "transaction_id", "win_id"), is_test, carry)
     return latest_per_key(out, "customer_rewards_id", []) if dedupe else out
 
 
 def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
-                extra: Sequence[str] = ()) -> DataFrame:
+                carry: Sequence[str] = ()) -> DataFrame:
     """Wins whose request failed and whose payment call failed, one row per distinct card.
 
     Such wins are few beside the payments and cards, so these are cut down by broadcast lists where
     the counts allow it, and only the cards in question are made distinct.
     """
-    failed = _win_source(src.wins.where(F.col("state") == FAILED_STATE)).join(catalog, "reward_id")
+    failed = _win_source(src.wins.where(F.col("state") == FAILED_STATE), carry).join(catalog, "reward_id")
     payments = src.payment_orders.where(F.col("status") == FAILED_PAYMENT).select(
         F.col("id").alias("payment_id"), "transaction_id", F.col("money_total").alias("gift_value"))
     paid = stage(payments.join(broadcast_if_small(failed, DIMENSION_ROWS), "transaction_id"), "paid")
@@ -137,7 +138,7 @@ def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
         "id", F.col("ncart_id").alias("payment_id"), "campaign_id", "created_at")
     asked = broadcast_if_small(paid.select("payment_id").distinct())
     cards = cards.join(asked, "payment_id", "left_semi").distinct().select("payment_id")
-    return _win_row(paid.join(cards, "payment_id"), is_test, extra)
+    return _win_row(paid.join(cards, "payment_id"), is_test, carry)
 
 
 def with_place(rows: DataFrame, provinces: DataFrame) -> DataFrame:

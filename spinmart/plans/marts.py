@@ -159,10 +159,11 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
         (local_time(created) if local_credits else created).alias("code_created_at"), "turns", "state",
     )
     catalog, is_test = reward_catalog(src, (REDEEMED_CODE_GAME,)), F.when(F.col("state") == 1, 1).otherwise(0)
-    extra = ("metadata", F.col("code_redeem").alias("redeemed"))
-    win_rows = counted_wins(src, as_of, catalog, is_test, extra, exclude=False).unionByName(
-        failed_wins(src, catalog, is_test, extra))
-    paired = pair_by_key(code_rows, stage(with_place(win_rows, src.provinces), "wins"), "redeemed", **pairing)
+    carry = ("metadata", "code_redeem")
+    win_rows = counted_wins(src, as_of, catalog, is_test, carry, exclude=False).unionByName(
+        failed_wins(src, catalog, is_test, carry))
+    placed = with_place(win_rows, src.provinces).withColumnRenamed("code_redeem", "redeemed")
+    paired = pair_by_key(code_rows, stage(placed, "wins"), "redeemed", **pairing)
     return (
         paired.withColumn("game_id", F.coalesce("code_game_id", "game_id"))
         .withColumn("transaction_id", F.col("ref_id"))

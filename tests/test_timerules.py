@@ -8,6 +8,7 @@ from spinmart.functions.timerules import (
     CampaignWindow,
     check_disjoint,
     hour_lag_cutoff,
+    hour_start,
     local_time,
     ntz,
     settled,
@@ -46,13 +47,14 @@ def test_settled_is_pushed_to_the_scan(spark, tmp_path):
 
 
 def test_local_time_ignores_the_session_zone(spark):
-    df = spark.createDataFrame([(1, datetime(2024, 1, 31, 17, 30, 0, 123456))], TIMED).select(local_time(F.col("t")))
-    assert df.dtypes[0][1] == "timestamp_ntz"
+    local = local_time(F.col("t"))
+    df = spark.createDataFrame([(1, datetime(2024, 1, 31, 17, 30, 0, 123456))], TIMED).select(local, hour_start(local))
+    assert [kind for _, kind in df.dtypes] == ["timestamp_ntz", "timestamp_ntz"]
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         for other in ("UTC", "America/New_York"):
             spark.conf.set("spark.sql.session.timeZone", other)
-            assert df.collect()[0][0] == datetime(2024, 2, 1, 0, 30, 0, 123456)
+            assert tuple(df.collect()[0]) == (datetime(2024, 2, 1, 0, 30, 0, 123456), datetime(2024, 2, 1))
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
