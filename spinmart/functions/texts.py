@@ -22,8 +22,10 @@ def matches_any(text: Column, pattern: str) -> Column:
 
 
 def json_text(document: Column, path: str) -> Column:
-    """Text at a JSON path, ``''`` where the path is missing."""
-    return F.coalesce(F.get_json_object(document, path), F.lit(""))
+    """Text at a JSON path, ``''`` where the path is missing or holds an object or array."""
+    text = F.get_json_object(document, path)
+    nested = text.rlike(r"^[\[{]") & (F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull())
+    return F.when(text.isNull() | nested, F.lit("")).otherwise(text)
 
 
 def json_int(document: Column, path: str) -> Column:

@@ -20,7 +20,7 @@ from spinmart.operators.staging import stage, staging_path
 from spinmart.plans import level_outbox as outbox
 from spinmart.plans import marts, report
 from spinmart.plans.admin_units import UNIT_CELLS
-from spinmart.plans.gamestreams import counted_wins, credits, failed_wins, reward_catalog
+from spinmart.plans.gamestreams import counted_wins, failed_wins, reward_catalog, spin_credits
 from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned
 from spinmart.sinks.tables import append_to_mart, write_export
 from spinmart.sources import schemas
@@ -71,7 +71,7 @@ def rank_credits(spark, folder):
 
 def credits_flagged(spark, folder):
     flag = window_flag(F.col("local_at"), marts.GAME_CREDIT_WINDOWS, 1)
-    return credits(given.game_sources(spark, folder), AS_OF, marts.ALL_SITES, marts.GAME_GIFTS, flag)
+    return spin_credits(given.game_sources(spark, folder), AS_OF, marts.ALL_SITES, marts.GAME_GIFTS, flag)
 
 
 def wins_window_table(spark, folder):

@@ -216,5 +216,6 @@ def changed_src(spark, folder) -> DataFrame:
                     "CASE WHEN event_type <> 'signup' THEN ts END AS updated_at",
                     f"ts - make_dt_interval({K}) AS created_at")
         .selectExpr("*", *[
-            f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {c}_at) AS {c}" for c in ("updated", "created")])
+            f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {c}_at) AS {c}"
+            for c in ("updated", "created")])
     )

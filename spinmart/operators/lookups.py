@@ -48,7 +48,7 @@ def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str,
     """
     present = F.coalesce(F.col(key), F.lit("")) != ""
     right = right.where(present)
-    if heavy_groups(right, [key], limit) is None:
+    if heavy_groups([right], [key], limit) is None:
         filler = -1 - F.pmod(F.xxhash64(row_id), F.lit(1 << 30)).cast("int")
         spread = left.withColumn("_spread", F.when(present, F.length(key)).otherwise(filler))
         return spread.join(right.withColumn("_spread", F.length(key)), [key, "_spread"], "left").drop("_spread")

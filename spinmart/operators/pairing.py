@@ -67,17 +67,16 @@ def pair_nth(left: DataFrame, right: DataFrame, keys: Sequence[str],
         return _join_ranked(ranked, rank_within(right, keys, right_order, "_nth", limit), keys, rank, *fill)
 
     left_terms, right_terms = total_order(left, keys, left_order), total_order(right, keys, right_order)
-    found = [h for h in (heavy_groups(left, keys, limit), heavy_groups(right, keys, limit)) if h is not None]
-    if not found:
+    heavy = heavy_groups([left, right], keys, limit)
+    if heavy is None:
         return _join_ranked(rank_by_window(left, keys, left_terms, "_nth"),
                             rank_by_window(right, keys, right_terms, "_nth"), keys, rank, *fill)
-    heavy = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
     left_rest, left_large = split_groups(left, heavy, keys)
     right_rest, right_large = split_groups(right, heavy, keys)
     rest = _join_ranked(rank_by_window(left_rest, keys, left_terms, "_nth"),
                         rank_by_window(right_rest, keys, right_terms, "_nth"), keys, rank, *fill)
-    large = _join_ranked(rank_by_slices(left_large, keys, left_terms, "_nth"),
-                         rank_by_slices(right_large, keys, right_terms, "_nth"), keys, rank, *fill)
+    large = _join_ranked(rank_by_slices(left_large, keys, left_terms, "_nth", limit),
+                         rank_by_slices(right_large, keys, right_terms, "_nth", limit), keys, rank, *fill)
     return rest.unionByName(large)
 
 
@@ -90,11 +89,10 @@ def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_
     which adaptive execution can split, and the others are passed on unmatched.
     """
     left, right = _mark(left, right)
-    found = [heavy for heavy in (
-        heavy_groups(df.where(F.col(key).isNotNull()), [key], limit) for df in (left, right)) if heavy is not None]
-    if not found:
+    present = F.col(key).isNotNull()
+    heavy = heavy_groups([left.where(present), right.where(present)], [key], limit)
+    if heavy is None:
         return _fill(_full_join_on_code(left, right, key), left_defaults, right_defaults)
-    heavy = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
     left_rest, left_large = split_groups(left, heavy, [key])
     right_rest, right_large = split_groups(right, heavy, [key])
     out = _full_join_on_code(left_rest, right_rest, key).unionByName(

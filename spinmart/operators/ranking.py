@@ -7,6 +7,7 @@ the earlier slices of the same group. Both ways give the same ranks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,8 +31,8 @@ def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str | Column
     return terms + [F.col(name).asc_nulls_last() for name in df.columns if name not in named]
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
-    """The groups with more than ``limit`` rows as a small table, or None.
+def heavy_groups(frames: Sequence[DataFrame], keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
+    """The groups with more than ``limit`` rows in any of the frames as a small table, or None.
 
     Sizes are estimated on a sample that holds about ``ESTIMATE_ROWS`` rows of a group at the limit;
     groups from half the limit on are listed to be sure. The list only chooses how a group is
@@ -40,19 +41,21 @@ def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -
     """
     fraction = min(1.0, ESTIMATE_ROWS / limit)
     least = limit if fraction == 1.0 else limit * fraction / 2
+    samples = [
+        df.select(F.lit(side).alias("_side"), *keys).sample(fraction, seed=0) for side, df in enumerate(frames)]
+    sampled = reduce(DataFrame.unionByName, samples)
     found = (
-        df.select(*keys).sample(fraction, seed=0)
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        sampled.groupBy("_side", *keys).agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > least)
         .orderBy(F.desc("_rows")).limit(HEAVY_LIST_LIMIT)
         .collect()
     )
     if not found:
         return None
-    schema = df.select(*keys).schema
+    schema = sampled.select(*keys).schema
     for field in schema:
         field.nullable = True
-    return df.sparkSession.createDataFrame([tuple(row[k] for k in keys) for row in found], schema)
+    return sampled.sparkSession.createDataFrame(list({tuple(row[k] for k in keys) for row in found}), schema)
 
 
 def split_groups(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -67,10 +70,15 @@ def rank_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 
-def rank_by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Rank groups of any size. The slices are staged, because their bounds come from a sample and
-    must be the same for the counts and for the rows."""
-    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def rank_by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
+                   limit: int = GROUP_LIMIT) -> DataFrame:
+    """Rank groups of any size in slices of at most about ``limit`` rows.
+
+    The slices are staged, because their bounds come from a sample and must be the same for the
+    counts and for the rows.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = max(tasks, math.ceil(df.count() / limit))
     sliced = stage(
         df.repartitionByRange(pieces, *keys, *order).withColumn("_slice", F.spark_partition_id()),
         "slices",
@@ -100,10 +108,11 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     """Add ``name``: the 1-based position of each row in its group. No keys means one group."""
     terms = total_order(df, keys, order)
     if not keys:
-        large = df.limit(limit + 1).count() > limit
-        return (rank_by_slices if large else rank_by_window)(df, keys, terms, name)
-    heavy = heavy_groups(df, keys, limit)
+        if df.limit(limit + 1).count() <= limit:
+            return rank_by_window(df, keys, terms, name)
+        return rank_by_slices(df, keys, terms, name, limit)
+    heavy = heavy_groups([df], keys, limit)
     if heavy is None:
         return rank_by_window(df, keys, terms, name)
     rest, large = split_groups(df, heavy, keys)
-    return rank_by_window(rest, keys, terms, name).unionByName(rank_by_slices(large, keys, terms, name))
+    return rank_by_window(rest, keys, terms, name).unionByName(rank_by_slices(large, keys, terms, name, limit))

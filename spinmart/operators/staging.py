@@ -2,7 +2,7 @@
 
 A staged table cuts the lineage and survives lost executors. It is used where a result is read more
 than once and is costly to compute again. All tables of one application lie in one folder named after
-it, to be deleted when the application has ended.
+it; ``clear_staged`` deletes it when its results are no longer read.
 """
 
 from __future__ import annotations
@@ -29,9 +29,18 @@ def staging_root(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/spinmart-{spark.conf.get('spark.app.id', 'application')}"
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    application = spark.conf.get("spark.app.id", "application")
-    return f"{staging_root(spark)}/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this application. Results built on them must be written by then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str = "staged") -> DataFrame:

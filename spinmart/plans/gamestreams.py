@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, fields
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinmart.functions.texts import code_map, json_int, json_text
@@ -20,6 +20,7 @@ from spinmart.operators.lookups import (
     left_join_present,
 )
 from spinmart.operators.staging import stage
+from spinmart.sources.readers import read_table
 
 # Status codes of the sources.
 PAID = 2
@@ -47,9 +48,14 @@ class GameSources:
     unidentified_cards: DataFrame
     excluded_wins: DataFrame
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, names: Mapping[str, str]) -> GameSources:
+        """Read every source from the catalog table that ``names`` gives for it."""
+        return cls(**{source.name: read_table(spark, names[source.name]) for source in fields(cls)})
 
-def credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_games: dict[int, int],
-            is_test: Column, local_credits: bool = True) -> DataFrame:
+
+def spin_credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_games: dict[int, int],
+                 is_test: Column, local_credits: bool = True) -> DataFrame:
     """Spin credits: paid lines of the listed gifts on the listed sites.
 
     ``is_test`` may use ``app_id``, ``gift_detail_id``, ``game_id`` and ``local_at``.

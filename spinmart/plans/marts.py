@@ -14,17 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinmart.functions.texts import code_suffix, contains_word
-from spinmart.functions.timerules import CampaignWindow as Window
-from spinmart.functions.timerules import local_time, window_flag
+from spinmart.functions.timerules import CampaignWindow, local_time, window_flag
 from spinmart.operators.pairing import pair_by_key, pair_nth
 from spinmart.operators.staging import stage
 from spinmart.plans.gamestreams import (
     COUNTED_STATES,
     GameSources,
     counted_wins,
-    credits,
     failed_wins,
     reward_catalog,
+    spin_credits,
     with_place,
 )
 
@@ -34,37 +33,37 @@ ALL_SITES = (127, 1020, 1060)
 GAME_GIFTS = {12728: 20, 12917: 21, 12987: 23, 13821: 24, 14050: 27, 14176: 29}
 GAME_IDS = (20, 21, 23, 24, 27, 29)
 GAME_CREDIT_WINDOWS = (
-    Window(0, "2023-11-13 23:59:59", None, {"app_id": 1060}),
-    Window(0, "2024-01-14 23:59:59", None, {"app_id": 1020, "gift_detail_id": 13821}),
-    Window(0, "2024-02-06 23:59:59", "2024-02-25 23:59:59", {"app_id": 1020, "gift_detail_id": 14050}),
-    Window(0, "2024-03-07 23:59:59", "2024-03-21 23:59:59", {"app_id": 1020, "gift_detail_id": 14050}),
-    Window(0, "2024-03-13 23:59:59", "2024-03-21 23:59:59", {"app_id": 1020, "gift_detail_id": 14176}),
+    CampaignWindow(0, "2023-11-13 23:59:59", None, {"app_id": 1060}),
+    CampaignWindow(0, "2024-01-14 23:59:59", None, {"app_id": 1020, "gift_detail_id": 13821}),
+    CampaignWindow(0, "2024-02-06 23:59:59", "2024-02-25 23:59:59", {"app_id": 1020, "gift_detail_id": 14050}),
+    CampaignWindow(0, "2024-03-07 23:59:59", "2024-03-21 23:59:59", {"app_id": 1020, "gift_detail_id": 14050}),
+    CampaignWindow(0, "2024-03-13 23:59:59", "2024-03-21 23:59:59", {"app_id": 1020, "gift_detail_id": 14176}),
 )
 GAME_WIN_WINDOWS = (
-    Window(0, "2023-10-11 06:00:00", None, {"game_id": 20}),
-    Window(0, "2023-11-01 00:00:00", None, {"game_id": 21}),
-    Window(0, "2023-11-13 23:59:59", None, {"game_id": 23}),
-    Window(0, "2024-01-14 23:59:59", None, {"game_id": 24}),
-    Window(0, "2024-02-25 23:59:59", "2024-03-10 23:59:59", {"game_id": 27}),
-    Window(0, "2024-03-21 23:59:59", "2024-04-05 23:59:59", {"game_id": 27}),
-    Window(0, "2024-03-21 23:59:59", "2024-04-05 23:59:59", {"game_id": 29}),
+    CampaignWindow(0, "2023-10-11 06:00:00", None, {"game_id": 20}),
+    CampaignWindow(0, "2023-11-01 00:00:00", None, {"game_id": 21}),
+    CampaignWindow(0, "2023-11-13 23:59:59", None, {"game_id": 23}),
+    CampaignWindow(0, "2024-01-14 23:59:59", None, {"game_id": 24}),
+    CampaignWindow(0, "2024-02-25 23:59:59", "2024-03-10 23:59:59", {"game_id": 27}),
+    CampaignWindow(0, "2024-03-21 23:59:59", "2024-04-05 23:59:59", {"game_id": 27}),
+    CampaignWindow(0, "2024-03-21 23:59:59", "2024-04-05 23:59:59", {"game_id": 29}),
 )
 
 FAILED_GIFTS = {12987: 23}
 FAILED_SITES = (127, 1060)
 FAILED_CREDIT_WINDOWS = (
-    Window(1, None, "2023-11-13 23:59:59", {"app_id": 1060}),
-    Window(1, None, None, {"app_id": 127}),
+    CampaignWindow(1, None, "2023-11-13 23:59:59", {"app_id": 1060}),
+    CampaignWindow(1, None, None, {"app_id": 127}),
 )
-FAILED_WIN_WINDOWS = (Window(1, None, "2023-11-13 23:59:59", {"game_id": 23}),)
+FAILED_WIN_WINDOWS = (CampaignWindow(1, None, "2023-11-13 23:59:59", {"game_id": 23}),)
 
 RANKED_CODE_GAME = 25
 TEST_CODE_STATE = -2
 REDEEMED_CODE_GAME = 30
 
 REGION_GIFTS = {15097: 31}
-REGION_CREDIT_WINDOWS = (Window(0, "2024-07-03 23:59:59", None),)
-REGION_WIN_WINDOWS = (Window(0, "2024-07-03 23:59:59", "2024-10-15 23:59:59", {"game_id": 31}),)
+REGION_CREDIT_WINDOWS = (CampaignWindow(0, "2024-07-03 23:59:59", None),)
+REGION_WIN_WINDOWS = (CampaignWindow(0, "2024-07-03 23:59:59", "2024-10-15 23:59:59", {"game_id": 31}),)
 
 GAME_COLUMNS = (
     "uid", "cart_detail_id", "cart_id", "transaction_id", "credited_at", "ncart_id", "gift_name",
@@ -107,7 +106,7 @@ def mart_game(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_
               **pairing) -> DataFrame:
     """All campaign games. Rows are test rows unless a campaign window holds them."""
     local_at = F.col("local_at")
-    credit_rows = credits(src, as_of, ALL_SITES, GAME_GIFTS, window_flag(local_at, GAME_CREDIT_WINDOWS, 1),
+    credit_rows = spin_credits(src, as_of, ALL_SITES, GAME_GIFTS, window_flag(local_at, GAME_CREDIT_WINDOWS, 1),
                           local_credits)
     win_rows = counted_wins(src, as_of, reward_catalog(src, GAME_IDS),
                             window_flag(local_at, GAME_WIN_WINDOWS, named_test_or(1)),
@@ -121,7 +120,7 @@ def mart_game_failed_included(src: GameSources, as_of: datetime, *, dedupe: bool
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(FAILED_GIFTS.values()))
     win_test = window_flag(local_at, FAILED_WIN_WINDOWS, named_test_or(0))
-    credit_rows = credits(src, as_of, FAILED_SITES, FAILED_GIFTS,
+    credit_rows = spin_credits(src, as_of, FAILED_SITES, FAILED_GIFTS,
                           window_flag(local_at, FAILED_CREDIT_WINDOWS, 0), local_credits)
     win_rows = counted_wins(src, as_of, catalog, win_test, dedupe=dedupe).unionByName(
         failed_wins(src, catalog, win_test))
@@ -138,7 +137,8 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
         (local_time(created) if local_credits else created).alias("credited_at"),
         "turns", "state", code_suffix(F.col("link")).alias("lucky_code"),
     )
-    win_rows = counted_wins(src, as_of, reward_catalog(src, (RANKED_CODE_GAME,)), F.lit(0), exclude=False, dedupe=dedupe)
+    catalog = reward_catalog(src, (RANKED_CODE_GAME,))
+    win_rows = counted_wins(src, as_of, catalog, F.lit(0), exclude=False, dedupe=dedupe)
     paired = pair_nth(code_rows, stage(win_rows.drop("is_test"), "wins"), ["uid", "game_id"],
                       ["credited_at"], ["customer_rewards_id"], **pairing)
     return (
@@ -173,11 +173,14 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
 
 def mart_game_region(src: GameSources, as_of: datetime, *, dedupe: bool = False,
                      local_credits: bool = True, **pairing) -> DataFrame:
-    """One game with the region of each win, failed requests included."""
+    """One game with the region of each win, failed requests included.
+
+    Marts may exclude different wins; each takes its list from ``src.excluded_wins``.
+    """
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(REGION_GIFTS.values()))
     win_test = window_flag(local_at, REGION_WIN_WINDOWS, named_test_or(1))
-    credit_rows = credits(src, as_of, ALL_SITES, REGION_GIFTS,
+    credit_rows = spin_credits(src, as_of, ALL_SITES, REGION_GIFTS,
                           window_flag(local_at, REGION_CREDIT_WINDOWS, 1), local_credits)
     win_rows = counted_wins(src, as_of, catalog, win_test, ("region",), dedupe=dedupe).unionByName(
         failed_wins(src, catalog, win_test, ("region",)))

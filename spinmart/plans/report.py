@@ -14,9 +14,10 @@ from spinmart.operators.staging import stage
 # Column titles and wording of the message.
 AGENT_TITLE, COUNT_TITLE = "email_agent", "so_luot_hoi_bot"
 INDENT = " " * 16
-HEADING = f"<b>Dear team CSKH,</b>\n{INDENT}\nData gửi thông tin số lượng check bot ngày %s: <b>%s</b>\n{INDENT}\n<pre>"
+GREETING = f"<b>Dear team CSKH,</b>\n{INDENT}\nData gửi thông tin số lượng check bot ngày %s"
+HEADING = f"{GREETING}: <b>%s</b>\n{INDENT}\n<pre>"
 CLOSING = "</pre>"
-DAILY_NOTE = f"<b>Dear team CSKH,</b>\n{INDENT}\nData gửi thông tin số lượng check bot ngày %s\n{INDENT}\n<b>xincamon!</b>"
+DAILY_NOTE = f"{GREETING}\n{INDENT}\n<b>xincamon!</b>"
 MISSING_AGENT = "None"
 EMPTY_TABLE = f"Empty DataFrame\nColumns: [{AGENT_TITLE}, {COUNT_TITLE}]\nIndex: []"
 

@@ -11,9 +11,9 @@ from spinmart.plans import marts
 from spinmart.plans.gamestreams import (
     GameSources,
     counted_wins,
-    credits,
     failed_wins,
     reward_catalog,
+    spin_credits,
 )
 from spinmart.sources import schemas
 
@@ -108,7 +108,7 @@ def test_credit_filters_reach_the_scans(spark, tmp_path, plan_of):
     for name in ("orders", "order_lines"):
         getattr(src, name).write.parquet(str(tmp_path / name))
         src = replace(src, **{name: spark.read.parquet(str(tmp_path / name))})
-    plan = plan_of(credits(src, AS_OF, marts.ALL_SITES, marts.GAME_GIFTS, F.lit(0)))
+    plan = plan_of(spin_credits(src, AS_OF, marts.ALL_SITES, marts.GAME_GIFTS, F.lit(0)))
     for pushed in ("In(gift_detail_id, [", "EqualTo(pay_status,2)", "LessThanOrEqual(created,", "In(site_id, ["):
         assert pushed in plan
 
@@ -273,3 +273,11 @@ def test_defaults_of_a_missing_side(spark, rows):
                           right_defaults={"customer_rewards_id": 0, "gift_value": 0})
     assert rows(got, "uid", "rn", "cart_id", "gift_name", "customer_rewards_id", "gift_value") == [
         ("u1", 1, 1, "gift 12728", 5, None), ("u2", 1, 2, "gift 12728", 0, 0), ("u3", 0, 0, "", 6, None)]
+
+
+def test_sources_from_catalog_tables(spark, rows):
+    src = sources(spark, orders=[order(1)], order_lines=[line(11, 1)])
+    for name in TABLES:
+        getattr(src, name).createOrReplaceTempView(f"shop_{name}")
+    named = GameSources.from_tables(spark, {name: f"shop_{name}" for name in TABLES})
+    assert rows(marts.mart_game(named, AS_OF), "cart_detail_id") == [(11,)]

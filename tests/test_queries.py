@@ -71,8 +71,8 @@ def test_query_on_skewed_tables_through_slices(spark, skewed_folder, monkeypatch
     found = []
     real = ranking.heavy_groups
 
-    def low_limit(df, keys, limit=0):
-        found.append(real(df, keys, 20))
+    def low_limit(frames, keys, limit=0):
+        found.append(real(frames, keys, 20))
         return found[-1]
 
     monkeypatch.setattr(ranking, "heavy_groups", low_limit)

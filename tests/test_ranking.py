@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spinmart.operators import ranking
 from spinmart.operators.ranking import heavy_groups, rank_within, split_groups
+from spinmart.operators.staging import stage
 
 SCHEMA = "uid string, game int, id int, tag string"
 
@@ -63,38 +64,53 @@ def test_descending_order_through_slices(spark):
 
 def test_heavy_groups_list_only_the_large_ones(spark, rows):
     df = spark.createDataFrame([("a", 1)] * 5 + [(None, 1)] * 4 + [("b", 1)] * 3, "uid string, game int")
-    assert rows(heavy_groups(df, ["uid"], 3)) == [("a",), (None,)]
-    assert heavy_groups(df, ["uid"], 5) is None
+    assert rows(heavy_groups([df], ["uid"], 3)) == [("a",), (None,)]
+    assert heavy_groups([df], ["uid"], 5) is None
+
+
+def test_heavy_in_any_frame(spark, rows):
+    left = spark.createDataFrame([("a",)] * 5 + [("b",)], "uid string")
+    right = spark.createDataFrame([("b",)] * 5 + [("a",)] * 5 + [("c",)], "uid string")
+    assert rows(heavy_groups([left, right], ["uid"], 4)) == [("a",), ("b",)]
+    assert heavy_groups([left, right], ["uid"], 5) is None
 
 
 def test_longest_heavy_groups_come_first_when_the_list_is_full(spark, monkeypatch):
     monkeypatch.setattr(ranking, "HEAVY_LIST_LIMIT", 1)
     data = [("a", 1, n, "x") for n in range(9)] + [("b", 1, n, "x") for n in range(6)]
     df = spark.createDataFrame(data, SCHEMA)
-    assert [r.uid for r in heavy_groups(df, ["uid"], 3).collect()] == ["a"]
+    assert [r.uid for r in heavy_groups([df], ["uid"], 3).collect()] == ["a"]
     got = rank_within(df, ["uid"], ["id"], limit=3)
     assert {(r.uid, r.id, r.rn) for r in got.collect()} == {(u, n, n + 1) for u, _, n, _ in data}
 
 
 def test_split_keeps_every_row_once(spark):
     df = spark.createDataFrame(skewed(4, 500), SCHEMA)
-    rest, large = split_groups(df, heavy_groups(df, ["uid", "game"], 15), ["uid", "game"])
+    rest, large = split_groups(df, heavy_groups([df], ["uid", "game"], 15), ["uid", "game"])
     assert rest.count() + large.count() == 500
     assert sorted({r.uid for r in large.collect()}, key=str) == [None, "hot"]
 
 
-def test_no_group_above_the_limit_is_sorted_in_one_task(spark):
-    """The hot user's rows are spread over several slices of about equal size."""
+def test_slices_hold_about_the_limit(spark, monkeypatch):
+    """One user's 8,000 rows and a limit of 500: sixteen slices of about equal size."""
+    staged = []
+
+    def keep(df, label):
+        staged.append(stage(df, label))
+        return staged[-1]
+
+    monkeypatch.setattr(ranking, "stage", keep)
     df = spark.createDataFrame([("hot", 1, n, "x") for n in range(8000)], SCHEMA).repartition(6)
-    sliced = ranking.stage(df.repartitionByRange(8, "uid", "game", "id").withColumn("s", F.spark_partition_id()))
-    sizes = [r["count"] for r in sliced.groupBy("s").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 8000 / 8
+    got = rank_within(df, ["uid", "game"], ["id"], limit=500)
+    assert got.where("rn <> id + 1").count() == 0 and got.count() == 8000
+    sizes = [r["count"] for r in staged[0].groupBy("_slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1000
 
 
 def test_estimate_finds_large_groups_and_leaves_small_ones(spark, rows):
     df = spark.range(0, 400_000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('u', id % 50000) END AS uid", "id")
-    assert rows(heavy_groups(df, ["uid"], 50_000)) == [("hot",)]
+    assert rows(heavy_groups([df], ["uid"], 50_000)) == [("hot",)]
     got = rank_within(df, ["uid"], ["id"], limit=50_000)
     wrong = got.where("uid = 'hot' AND rn <> id / 3 + 1")
     assert wrong.count() == 0 and got.where("uid = 'hot'").count() == 133_334
