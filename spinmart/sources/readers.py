@@ -1,8 +1,9 @@
-"""Readers. Each takes its schema; none infers one."""
+"""Readers. Types come from the schema given or the catalog; none are inferred."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -36,5 +37,9 @@ def read_query(spark: SparkSession, url: str, query: str, **settings) -> DataFra
 
 
 def read_sheet(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """A worksheet exported as CSV with a header row, one folder per sheet."""
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(folder)
+    """A worksheet exported as CSV, one folder per sheet: columns by the names in its header row.
+
+    The header decides where a column is; a cell that is no value of the column's type is NULL.
+    """
+    cells = spark.read.option("header", True).csv(folder)
+    return cells.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema])

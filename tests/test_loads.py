@@ -7,7 +7,7 @@ from spinmart.plans.incremental_load import incremental_load, incremental_load_p
 from spinmart.sinks.tables import append_to_mart, write_export, write_outbox, write_stage
 from spinmart.sources.changes import CHANGE_STAMPS, LoadConfig, changed_between, choose_tables
 from spinmart.sources.readers import query_options, read_sheet, read_table
-from spinmart.sources.schemas import RECIPIENTS
+from spinmart.sources.schemas import RECIPIENTS, ROLES
 
 LO, HI = datetime(2024, 1, 10), datetime(2024, 1, 12)
 STAMPED = "id bigint, v string, updated_at timestamp_ntz, created_at timestamp_ntz"
@@ -121,6 +121,11 @@ def test_export_and_stage_replace_what_was_there(spark, rows, tmp_path):
         assert read_table(spark, target, RECIPIENTS).count() == 3
 
 
+def test_sheet_columns_go_by_header(spark, rows, tmp_path):
+    (tmp_path / "roles.csv").write_text("note,level,id\nx,1,7\ny,high,8\nz,,9\n")
+    assert rows(read_sheet(spark, str(tmp_path), ROLES)) == [(7, 1), (8, None), (9, None)]
+
+
 def test_query_options_of_a_remote_read():
     plain = query_options("jdbc:x", "SELECT 1", user="u")
     assert plain == {"url": "jdbc:x", "fetchsize": "10000", "user": "u", "query": "SELECT 1"}

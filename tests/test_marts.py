@@ -15,6 +15,7 @@ from spinmart.plans.gamestreams import (
     reward_catalog,
     spin_credits,
 )
+from spinmart.sinks.tables import append_to_mart
 from spinmart.sources import schemas
 
 AS_OF = datetime(2024, 9, 1, 3, 30)  # rows up to 02:00 UTC count
@@ -275,6 +276,20 @@ def test_defaults_of_a_missing_side(spark, rows):
         ("u1", 1, 1, "gift 12728", 5, None), ("u2", 1, 2, "gift 12728", 0, 0), ("u3", 0, 0, "", 6, None)]
 
 
+def test_mart_load_can_be_repeated(spark, rows, tmp_path):
+    src = sources(spark, orders=[order(1), order(2)], order_lines=[line(11, 1), line(21, 2)], wins=[win(5)])
+    result = marts.mart_game(src, AS_OF)
+    columns = ", ".join(f"c{n} {kind}" for n, (_, kind) in enumerate(result.dtypes))
+    spark.sql(f"CREATE TABLE mart_reload ({columns}) USING parquet LOCATION '{tmp_path / 'mart'}'")
+    try:
+        for mode, count in (("append", 2), ("append", 4), ("replace", 2), ("replace", 2)):
+            append_to_mart(marts.mart_game(src, AS_OF), "mart_reload", mode)
+            assert spark.table("mart_reload").count() == count
+        assert rows(spark.table("mart_reload")) == rows(result)
+    finally:
+        spark.sql("DROP TABLE mart_reload")
+
+
 def test_sources_from_catalog_tables(spark, rows):
     src = sources(spark, orders=[order(1)], order_lines=[line(11, 1)])
     for name in TABLES:
