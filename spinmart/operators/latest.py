@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinmart.operators.lookups import BROADCAST_ROWS
+from spinmart.operators.lookups import BROADCAST_BYTES, measured_bytes
 from spinmart.operators.staging import stage
 
 
@@ -24,15 +24,15 @@ def latest_per_key(df: DataFrame, key: str, stamp: Sequence[str]) -> DataFrame:
 
 
 def upsert_latest(target: DataFrame, staged: DataFrame, key: str, stamp: Sequence[str],
-                  rows: int = BROADCAST_ROWS) -> DataFrame:
+                  limit: int = BROADCAST_BYTES) -> DataFrame:
     """``target`` with the staged rows put in by key: the last stamp wins, a tie goes to staged.
 
-    ``target`` holds one row per key, as every earlier upsert left it. An increment whose distinct
-    keys fit ``rows`` is broadcast, so the large target is scanned but not shuffled.
+    ``target`` holds one row per key, as every earlier upsert left it. The keys and stamps of
+    an increment are broadcast up to ``limit`` bytes, so the large target is scanned but not shuffled.
     """
     newest = stage(latest_per_key(staged, key, stamp), "newest")
     versions = newest.select(F.col(key).alias("_key"), F.struct(*stamp).alias("_version"))
-    if newest.count() <= rows:
+    if measured_bytes(versions) <= limit:
         versions = F.broadcast(versions)
     same, mine = F.col(key) == F.col("_key"), F.struct(*stamp)
     kept = target.join(versions, same & (F.col("_version") >= mine), "left_anti")

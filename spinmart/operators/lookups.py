@@ -13,27 +13,38 @@ from spinmart.functions.timerules import CampaignWindow, check_disjoint
 from spinmart.operators.ranking import GROUP_LIMIT, heavy_groups
 from spinmart.operators.staging import stage
 
-# Rows that may be broadcast: of a narrow table of keys, and of a dimension with its texts. Either
-# comes to tens of megabytes at most.
-BROADCAST_ROWS = 1_000_000
-DIMENSION_ROWS = 100_000
+# Measured size up to which a table may be broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 WINDOW_ROWS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Stage a list or dimension once and hint a broadcast if its counted rows are within bounds.
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df`` in memory, near enough: 16 bytes per value and the length of texts."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(F.struct(column))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stage a list or dimension once and hint a broadcast if its measured size is within bounds.
 
     Beyond the bound there is no hint, and Spark joins by shuffle.
     """
     table = stage(df, "lookup")
-    return F.broadcast(table) if table.count() <= rows else table
+    return F.broadcast(table) if measured_bytes(table) <= limit else table
 
 
-def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Drop the rows whose ``column`` is listed. A NULL in the list excludes nothing."""
     (listed,) = excluded.columns
     ids = excluded.where(F.col(listed).isNotNull()).select(F.col(listed).alias("_listed")).distinct()
-    return df.join(broadcast_if_small(ids, rows), F.col(column) == F.col("_listed"), "left_anti")
+    return df.join(broadcast_if_small(ids, limit), F.col(column) == F.col("_listed"), "left_anti")
 
 
 def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str,

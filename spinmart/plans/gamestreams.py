@@ -13,7 +13,6 @@ from spinmart.functions.texts import code_map, json_int, json_text
 from spinmart.functions.timerules import local_time, settled
 from spinmart.operators.latest import latest_per_key
 from spinmart.operators.lookups import (
-    DIMENSION_ROWS,
     broadcast_if_small,
     exclude_ids,
     left_join_derived,
@@ -73,7 +72,7 @@ def spin_credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_g
         & ~F.col("delivery").isin(*CANCELLED_LINES)
     ).select(F.col("id").alias("cart_detail_id"), "cart_id", "gift_detail_id")
     gifts = broadcast_if_small(src.gifts.where(F.col("id").isin(*gift_games)).select(
-        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")), DIMENSION_ROWS)
+        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")))
     return (
         lines.join(gifts, "gift_detail_id").join(orders, "cart_id")
         .withColumn("game_id", code_map(F.col("gift_detail_id"), gift_games).cast("long"))
@@ -94,7 +93,7 @@ def reward_catalog(src: GameSources, game_ids: Sequence[int]) -> DataFrame:
         F.col("id").alias("reward_id"), "game_id", "gift_id", F.col("name").alias("gift_label"))
     quantities = src.reward_quantities.select("reward_id", F.col("quantity").alias("configured_qty"))
     return broadcast_if_small(
-        games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"), DIMENSION_ROWS)
+        games.join(rewards, "game_id", "left").join(quantities, "reward_id", "left"))
 
 
 def _win_source(won: DataFrame, carry: Sequence[str]) -> DataFrame:
@@ -139,7 +138,7 @@ def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
     failed = _win_source(src.wins.where(F.col("state") == FAILED_STATE), carry).join(catalog, "reward_id")
     payments = src.payment_orders.where(F.col("status") == FAILED_PAYMENT).select(
         F.col("id").alias("payment_id"), "transaction_id", F.col("money_total").alias("gift_value"))
-    paid = stage(payments.join(broadcast_if_small(failed, DIMENSION_ROWS), "transaction_id"), "paid")
+    paid = stage(payments.join(broadcast_if_small(failed), "transaction_id"), "paid")
     cards = src.unidentified_cards.select(
         "id", F.col("ncart_id").alias("payment_id"), "campaign_id", "created_at")
     asked = broadcast_if_small(paid.select("payment_id").distinct())

@@ -18,10 +18,11 @@ from spinmart.operators.lookups import (
     exclude_ids,
     left_join_derived,
     left_join_present,
+    measured_bytes,
 )
 
 
-@pytest.mark.parametrize("bound", [1, 1000])
+@pytest.mark.parametrize("bound", [1, 1_000_000])
 def test_excluded_ids_are_dropped_whatever_the_plan(spark, rows, bound):
     df = spark.range(6).toDF("id")
     listed = spark.createDataFrame([(1,), (3,), (3,), (None,), (99,)], "win_id bigint")
@@ -33,7 +34,7 @@ def test_broadcast_only_within_the_bound(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        for bound in (10, 9):
+        for bound in (160, 159):
             joined = spark.range(100).toDF("id").join(broadcast_if_small(small, bound), "id")
             plans.append(joined._jdf.queryExecution().executedPlan().toString())
     finally:
@@ -41,6 +42,13 @@ def test_broadcast_only_within_the_bound(spark):
     assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
 
 
+def test_measured_bytes_counts_texts_and_nested_values(spark):
+    df = spark.createDataFrame([("abé", 1, (5, None)), (None, 2, None)], "t string, n int, s struct<a: int, b: string>")
+    assert measured_bytes(df.select("t", "n")) == 2 * 32 + 4
+    assert measured_bytes(df) == 2 * 48 + 4 + len('{"s":{"a":5}}') + len("{}")
+    assert measured_bytes(df.limit(0)) == 0
+
+
 @pytest.mark.parametrize("limit", [20, 1_000_000])
 def test_left_join_on_present_keys(spark, limit):
     """Half of the left rows have no key, a quarter share one; the right side holds frequent keys."""
@@ -107,7 +115,7 @@ def test_latest_row_is_limited_before_the_shuffle(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("bound", [1, 1000])
+@pytest.mark.parametrize("bound", [1, 1_000_000])
 def test_upsert(spark, rows, bound):
     target = [(1, "kept", 1, 0), (2, "replaced", 1, 0), (3, "newer", 9, 0), (4, "tie", 4, 0), (5, "null", None, 0)]
     staged = [(2, "x", 2, 0), (2, "y", 3, 0), (3, "late", 8, 0), (4, "staged", 4, 0), (5, "set", 0, 0), (6, "new", 1, 0)]
