@@ -249,7 +249,8 @@ def incremental_load_by_day(spark, folder):
     """The same load into a target laid out by creation day."""
     source, config, target = _load_case(spark, folder)
     path, day = staging_path(spark, "target"), F.to_date("created_at")
-    target.withColumn("created_day", day).repartition("created_day").write.partitionBy("created_day").parquet(path)
+    laid_out = target.withColumn("created_day", day).hint("rebalance", "created_day")
+    laid_out.write.partitionBy("created_day").parquet(path)
     loaded = incremental_load_partitioned(
         spark, source.withColumn("created_day", day), config, LO, HI, staging_path(spark, "extract"), path,
         "created_day")

@@ -44,9 +44,10 @@ def incremental_load_partitioned(spark: SparkSession, source: DataFrame, config:
     touched = [row[0] for row in staged.select(partition).distinct().collect()]
     current = target.where(F.col(partition).isin(touched))
     merged = stage(upsert_latest(current, staged, config.upsert_key, config.timestamp_columns), "merged")
+    # Rebalancing gathers each partition's rows into few files, and splits a large partition.
     (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(target_path)
+        merged.hint("rebalance", partition).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target_path)
     )
     return spark.read.schema(target.schema).parquet(target_path)
 
