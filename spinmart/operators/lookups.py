@@ -47,25 +47,25 @@ def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, limit: int = BR
     return df.join(broadcast_if_small(ids, limit), F.col(column) == F.col("_listed"), "left_anti")
 
 
-def left_join_present(left: DataFrame, right: DataFrame, key: str, row_id: str,
-                      limit: int = GROUP_LIMIT) -> DataFrame:
-    """Left join on a text key where an empty or NULL key does not match.
+def left_join_present(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame:
+    """Left join on a key that matches nothing where it is NULL or an empty text.
 
     Left rows without a key would all meet in one task. They get a negative filler as second join
     column, while real keys carry their length, so a filler matches nothing.
 
     A key above ``limit`` rows on the right cannot be split in an outer join. Then the rows go
-    through an inner join, which can, and those it did not return, by ``row_id``, are added.
+    through an inner join, which can, and those whose key the right side lacks are added.
     """
-    present = F.coalesce(F.col(key), F.lit("")) != ""
+    text = F.col(key).cast("string")
+    present = F.coalesce(text, F.lit("")) != ""
     right = right.where(present)
     if heavy_groups([right], [key], limit) is None:
-        filler = -1 - F.pmod(F.xxhash64(row_id), F.lit(1 << 30)).cast("int")
-        spread = left.withColumn("_spread", F.when(present, F.length(key)).otherwise(filler))
-        return spread.join(right.withColumn("_spread", F.length(key)), [key, "_spread"], "left").drop("_spread")
-    matched = stage(left.where(present).join(right, key), "matched")
-    unmatched = left.join(matched.select(row_id).distinct(), row_id, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+        filler = -1 - F.pmod(F.xxhash64(*left.columns), F.lit(1 << 30)).cast("int")
+        spread = left.withColumn("_spread", F.when(present, F.length(text)).otherwise(filler))
+        return spread.join(right.withColumn("_spread", F.length(text)), [key, "_spread"], "left").drop("_spread")
+    keyed = left.where(present)
+    alone = keyed.join(right.select(key).distinct(), key, "left_anti").unionByName(left.where(~present))
+    return keyed.join(right, key).unionByName(alone, allowMissingColumns=True)
 
 
 def windows_table(spark, windows: Sequence[CampaignWindow], keys: T.StructType) -> DataFrame:

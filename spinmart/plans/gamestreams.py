@@ -124,7 +124,7 @@ def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test:
         won = exclude_ids(won, src.excluded_wins, "id")
     orders = src.orders.select("transaction_id", F.col("money_total").alias("gift_value"))
     rows = _win_source(won, carry).join(catalog, "reward_id")
-    out = _win_row(left_join_present(rows, orders, "transaction_id", "win_id"), is_test, carry)
+    out = _win_row(left_join_present(rows, orders, "transaction_id"), is_test, carry)
     return latest_per_key(out, "customer_rewards_id", []) if dedupe else out
 
 

@@ -14,11 +14,12 @@ from spinmart.functions.texts import (
     level_message,
     paragraph,
 )
+from spinmart.operators.lookups import left_join_present
 
 
 def recipients_with_level(recipients: DataFrame, roles: DataFrame) -> DataFrame:
     """Recipients with the level their role sheet gives them, if any."""
-    return recipients.join(roles, "id", "left")
+    return left_join_present(recipients, roles, "id")
 
 
 def _subject() -> Column:

@@ -57,7 +57,7 @@ def test_left_join_on_present_keys(spark, limit):
     right = [("", -1), (None, -2)] + [("hot", n) for n in range(30)] + [("alone", n) for n in range(90)]
     right += [(f"t{n}", n) for n in range(0, 600, 2)]
     got = left_join_present(
-        spark.createDataFrame(left, "id int, tx string"), spark.createDataFrame(right, "tx string, v int"), "tx", "id",
+        spark.createDataFrame(left, "id int, tx string"), spark.createDataFrame(right, "tx string, v int"), "tx",
         limit)
     want = Counter()
     for n, tx in left:
@@ -141,7 +141,7 @@ def test_rows_without_a_key_are_spread_by_the_join(spark, tmp_path, plan_of):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         left = spark.range(1000).selectExpr("id", "CASE WHEN id < 0 THEN 'x' ELSE '' END AS tx")
-        joined = left_join_present(left, spark.read.parquet(path), "tx", "id")
+        joined = left_join_present(left, spark.read.parquet(path), "tx")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         plan = plan_of(joined)
     finally:
