@@ -14,7 +14,7 @@ from spinmart.functions.timerules import hour_start, local_time, settled, window
 from spinmart.given import tables as given
 from spinmart.operators.latest import latest_per_key, upsert_latest
 from spinmart.operators.lookups import exclude_ids, flag_by_window_table, left_join_derived, windows_table
-from spinmart.operators.pairing import full_join, pair_by_key, pair_nth
+from spinmart.operators.pairing import pair_by_key, pair_nth
 from spinmart.operators.ranking import rank_within
 from spinmart.operators.staging import stage, staging_path
 from spinmart.plans import level_outbox as outbox
@@ -116,8 +116,8 @@ def pair_default_fill(spark, folder):
     orders = given.orders_src(spark, folder).selectExpr(
         "id", "transaction_id", "CASE WHEN site_id <> 127 THEN money_total END AS money_total")
     wins = given.wins_src(spark, folder).select("id", "customer_id", "code_redeem")
-    return full_join(orders, wins, ["id"], {"transaction_id": "", "money_total": 0.0},
-                     {"customer_id": "", "code_redeem": ""})
+    return pair_by_key(orders, wins, "id", left_defaults={"transaction_id": "", "money_total": 0.0},
+                       right_defaults={"customer_id": "", "code_redeem": ""})
 
 
 # Filters, lookups and scalar rules.
