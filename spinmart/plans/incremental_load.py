@@ -42,7 +42,9 @@ def incremental_load_partitioned(spark: SparkSession, source: DataFrame, config:
     staged = spark.read.parquet(stage_path).select(*target.columns)
     # At most as many values as the table has partitions.
     touched = [row[0] for row in staged.select(partition).distinct().collect()]
-    current = target.where(F.col(partition).isin(touched))
+    value = F.col(partition)
+    in_touched = value.isin([v for v in touched if v is not None])
+    current = target.where(in_touched | value.isNull() if None in touched else in_touched)
     merged = stage(upsert_latest(current, staged, config.upsert_key, config.timestamp_columns), "merged")
     # Rebalancing gathers each partition's rows into few files, and splits a large partition.
     (

@@ -82,6 +82,17 @@ def test_partitioned_load_rewrites_only_touched_days(spark, rows, tmp_path):
     assert sorted(f.name for f in (path / "d=2024-01-09").iterdir()) == untouched
 
 
+def test_partitioned_load_keeps_rows_without_a_day(spark, rows, tmp_path):
+    """Rows without a creation time share a partition of their own; an update of one keeps the other."""
+    config = LoadConfig.for_source("postgres", "shop", "t")
+    path, created_day = str(tmp_path / "target"), F.to_date("created_at")
+    source = spark.createDataFrame([(7, "new", day(11), None)], STAMPED).withColumn("d", created_day)
+    target = spark.createDataFrame([*TARGET, (7, "old", day(1), None), (8, "other", day(1), None)], STAMPED)
+    target.withColumn("d", created_day).write.partitionBy("d").parquet(path)
+    loaded = incremental_load_partitioned(spark, source, config, LO, HI, str(tmp_path / "stage"), path, "d")
+    assert rows(loaded, "id", "v") == [(1, "old"), (3, "newer"), (4, "kept"), (7, "new"), (8, "other")]
+
+
 def test_load_all_chosen_tables(spark, rows, tmp_path):
     source = spark.createDataFrame(SOURCE, STAMPED)
     for name in ("a", "b"):
