@@ -6,11 +6,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from spinmart.given.checks import CHECK_SQL as CHECKS
+from spinmart.given.queries import QUERIES
 from spinmart.operators import ranking
 
 SMALL = Path("/root/testdata/sf0.001")
-QUERIES, CHECKS = contract.queries(), contract.oracle_sql()
 SKEWED = ("pair_credits_wins", "rank_credits", "wins_with_failed", "mart_game", "mart_game_codes", "latest_per_key",
           "pair_by_code", "agent_report")
 
