@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from spinmart.llm.line_dedup import OP7_SQL, op7_line_dedup
 from spinmart.llm.lm_scoring import op3_lm_scoring
+from spinmart.llm.sharding import op8_sharding
 from spinmart.llm.substring_dedup import op10_substring_dedup
+from spinmart.llm.url_filters import OP5_SQL, op5_url_filters
 
 LLM_QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
+    "op5_url_filters": op5_url_filters,
     "op7_line_dedup": op7_line_dedup,
+    "op8_sharding": op8_sharding,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 LLM_SQL = {
+    "op5_url_filters": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
 }
