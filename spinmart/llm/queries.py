@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from spinmart.llm.bpe import op2_bpe
 from spinmart.llm.line_dedup import OP7_SQL, op7_line_dedup
 from spinmart.llm.lm_scoring import op3_lm_scoring
+from spinmart.llm.quality_rules import OP1_SQL, op1_quality_rules
 from spinmart.llm.sharding import op8_sharding
 from spinmart.llm.substring_dedup import op10_substring_dedup
 from spinmart.llm.url_filters import OP5_SQL, op5_url_filters
 
 LLM_QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_bpe": op2_bpe,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_url_filters": op5_url_filters,
     "op7_line_dedup": op7_line_dedup,
@@ -17,6 +21,7 @@ LLM_QUERIES = {
 }
 
 LLM_SQL = {
+    "op1_quality_rules": OP1_SQL,
     "op5_url_filters": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
 }
