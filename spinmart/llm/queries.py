@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from spinmart.llm.bpe import op2_bpe
+from spinmart.llm.decontamination import op6_decontamination
 from spinmart.llm.line_dedup import OP7_SQL, op7_line_dedup
 from spinmart.llm.lm_scoring import op3_lm_scoring
 from spinmart.llm.quality_rules import OP1_SQL, op1_quality_rules
 from spinmart.llm.sharding import op8_sharding
 from spinmart.llm.substring_dedup import op10_substring_dedup
 from spinmart.llm.url_filters import OP5_SQL, op5_url_filters
+from spinmart.llm.warc import OP9_SQL, op9_warc_audit
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_url_filters": op5_url_filters,
+    "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_sharding": op8_sharding,
+    "op9_warc_audit": op9_warc_audit,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
@@ -24,4 +28,5 @@ LLM_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op5_url_filters": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op9_warc_audit": OP9_SQL,
 }
