@@ -252,7 +252,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a leak, with their own columns."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak"), F.col("text_hash").alias("_hash")).distinct()
+    leaked = broadcast_if_small(
+        find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak"), F.col("text_hash").alias("_hash")).distinct())
     return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leak")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
 
 

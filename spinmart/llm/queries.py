@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from spinmart.llm.bpe import op2_bpe
 from spinmart.llm.decontamination import op6_decontamination
+from spinmart.llm.jaccard_join import op4_jaccard_join
 from spinmart.llm.line_dedup import OP7_SQL, op7_line_dedup
 from spinmart.llm.lm_scoring import op3_lm_scoring
 from spinmart.llm.quality_rules import OP1_SQL, op1_quality_rules
@@ -16,6 +17,7 @@ LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
