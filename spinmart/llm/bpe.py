@@ -120,6 +120,10 @@ class Vocabulary:
                 place -= np.maximum.accumulate(np.where(chained, 0, place))
                 at = at[place % 2 == 0]
             gone = after[at]
+            beside = np.flatnonzero(after[gone[:-1]] == at[1:])  # two merges next to each other: the left one is first
+            if len(beside):
+                half = self.merge_of(np.full(len(beside), rank), token[at[beside + 1]])
+                late.append(at[beside[half <= rank]])
             token[at] = rank
             after[at] = after[gone]
             alive[gone] = False
