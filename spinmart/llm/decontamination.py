@@ -120,9 +120,10 @@ def windows_of(templates: Templates, texts: list[bytes | None], widths: list[int
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``item_words``, ``width``, ``hash``, ``place`` and ``slots`` of every window of every item.
+    """``item_id``, ``item_words``, ``width``, ``before``, ``hash``, ``place`` and ``slots`` of every window of every item.
 
-    An item's windows have ``WINDOW_WORDS`` words, or as many as it has if these are fewer."""
+    An item's windows have ``WINDOW_WORDS`` words, or as many as it has if these are fewer. ``before`` is the place of
+    the window listed before: windows made mostly of placeholders are not listed."""
 
     def cut(batches):
         templates = Templates()
@@ -131,18 +132,20 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             ids, out = batch.column("item_id").to_pylist(), []
             for width, hashes, rows, places, at, slots, counts in windows_of(
                     templates, texts, list(range(LEAST_ITEM_WORDS, WINDOW_WORDS + 1))):
-                for h, r, p, i in zip(hashes.view(np.int64).tolist(), rows.tolist(), places.tolist(), at.tolist()):
+                before = np.where(np.diff(rows, prepend=-1) == 0, np.concatenate([[0], places[:-1]])[: len(places)], -1)
+                for h, r, b, p, i in zip(hashes.view(np.int64).tolist(), rows.tolist(), before.tolist(), places.tolist(),
+                                         at.tolist()):
                     if min(int(counts[r]), WINDOW_WORDS) == width:
-                        out.append((ids[r], int(counts[r]), width, h, p, slots(i)))
-            columns = list(zip(*out)) if out else [[]] * 6
+                        out.append((ids[r], int(counts[r]), width, b, h, p, slots(i)))
+            columns = list(zip(*out)) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays([
                 pa.array(columns[0], batch.schema.field("item_id").type), pa.array(columns[1], pa.int32()),
-                pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()),
-                pa.array(columns[5], pa.list_(pa.string()))],
-                names=["item_id", "item_words", "width", "hash", "place", "slots"])
+                pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int64()),
+                pa.array(columns[5], pa.int32()), pa.array(columns[6], pa.list_(pa.string()))],
+                names=["item_id", "item_words", "width", "before", "hash", "place", "slots"])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    return benchmark.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, item_words int, width int, {WINDOW}")
+    return benchmark.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, item_words int, width int, before int, {WINDOW}")
 
 
 def bitmap_of(windows: DataFrame) -> tuple[bytes, bytes]:
@@ -185,14 +188,16 @@ def document_windows(docs: DataFrame, maps: tuple[bytes, bytes], widths: list[in
 def judge(width: int, item_words: int, matches: list[dict]) -> tuple[int, int, str] | None:
     """(words in a row, first document word, kind) of the best run on a diagonal, None if it is no leak.
 
-    A window whose slots contradict those before it in its run ends the run there."""
+    A run goes on over places that the item does not list, if its windows still overlap or touch. A window whose slots
+    contradict those before it in its run ends the run there."""
     best = (0, 0, "")
     matches = sorted(matches, key=lambda m: m["item_place"])
     start = previous = None
     for match in matches:
         pairs = [(int(a.split(" ", 2)[0]) + match["item_place"], a.split(" ", 1)[1], b.split(" ", 1)[1])
                  for a, b in zip(match["item_slots"], match["slots"])]
-        joins = start is not None and match["item_place"] == previous["item_place"] + 1
+        joins = (start is not None and match["before"] == previous["item_place"]
+                 and match["item_place"] <= previous["item_place"] + width)
         if joins and all(there.get(a, b) == b and back.get(b, a) == a for _, a, b in pairs):
             pass
         else:
@@ -224,12 +229,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     listed = broadcast_if_small(items)
     hits = document_windows(docs, bitmap_of(listed), widths)
     pairs = hits.join(listed.select(
-        "hash", "width", "item_id", "item_words", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")),
+        "hash", "width", "item_id", "item_words", "before", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")),
         ["hash", "width"]).dropDuplicates(["doc_id", "text_hash", "item_id", "width", "place", "item_place"])
     keys = ["doc_id", "text_hash", "item_id", "item_words", "width"]
     # A diagonal has at most one match per item word.
     grouped = pairs.withColumn("diagonal", F.col("place") - F.col("item_place")).groupBy(*keys, "diagonal").agg(
-        F.collect_list(F.struct("item_place", "place", "item_slots", "slots")).alias("matches")).drop("diagonal")
+        F.collect_list(F.struct("item_place", "before", "place", "item_slots", "slots")).alias("matches")).drop("diagonal")
 
     def judged(batches):
         for batch in batches:
