@@ -85,17 +85,29 @@ SOURCES = {
           AND l.delivery NOT IN (4, 4011, 4012, 4021, 4022) AND o.site_id IN (127, 1020, 1060)
           AND l.gift_detail_id <> 11025
           AND o.created + INTERVAL 7 HOUR <= TIMESTAMP '2024-09-01 09:00:00'""",
+    # Campaign windows as (site, gift or NULL for any, after, until), (game, after, until).
+    "credit_windows": """
+        SELECT * FROM (VALUES
+            (1060, NULL, TIMESTAMP '2023-11-13 23:59:59', TIMESTAMP '9999-01-01'),
+            (1020, 13821, TIMESTAMP '2024-01-14 23:59:59', TIMESTAMP '9999-01-01'),
+            (1020, 14050, TIMESTAMP '2024-02-06 23:59:59', TIMESTAMP '2024-02-25 23:59:59'),
+            (1020, 14050, TIMESTAMP '2024-03-07 23:59:59', TIMESTAMP '2024-03-21 23:59:59'),
+            (1020, 14176, TIMESTAMP '2024-03-13 23:59:59', TIMESTAMP '2024-03-21 23:59:59')
+        ) AS v(site, gift, after, until)""",
+    "win_windows": """
+        SELECT * FROM (VALUES
+            (20, TIMESTAMP '2023-10-11 06:00:00', TIMESTAMP '9999-01-01'),
+            (21, TIMESTAMP '2023-11-01 00:00:00', TIMESTAMP '9999-01-01'),
+            (23, TIMESTAMP '2023-11-13 23:59:59', TIMESTAMP '9999-01-01'),
+            (24, TIMESTAMP '2024-01-14 23:59:59', TIMESTAMP '9999-01-01'),
+            (27, TIMESTAMP '2024-02-25 23:59:59', TIMESTAMP '2024-03-10 23:59:59'),
+            (27, TIMESTAMP '2024-03-21 23:59:59', TIMESTAMP '2024-04-05 23:59:59'),
+            (29, TIMESTAMP '2024-03-21 23:59:59', TIMESTAMP '2024-04-05 23:59:59')
+        ) AS v(game, after, until)""",
     "game_credits": """
-        SELECT *, CASE
-               WHEN app_id = 1060 AND credited_at > TIMESTAMP '2023-11-13 23:59:59' THEN 0
-               WHEN app_id = 1020 AND gift_detail_id = 13821 AND credited_at > TIMESTAMP '2024-01-14 23:59:59' THEN 0
-               WHEN app_id = 1020 AND gift_detail_id = 14050 AND credited_at > TIMESTAMP '2024-02-06 23:59:59'
-                    AND credited_at <= TIMESTAMP '2024-02-25 23:59:59' THEN 0
-               WHEN app_id = 1020 AND gift_detail_id = 14050 AND credited_at > TIMESTAMP '2024-03-07 23:59:59'
-                    AND credited_at <= TIMESTAMP '2024-03-21 23:59:59' THEN 0
-               WHEN app_id = 1020 AND gift_detail_id = 14176 AND credited_at > TIMESTAMP '2024-03-13 23:59:59'
-                    AND credited_at <= TIMESTAMP '2024-03-21 23:59:59' THEN 0
-               ELSE 1 END AS credit_is_test
+        SELECT *, CAST(NOT EXISTS (
+            SELECT 1 FROM credit_windows WHERE site = app_id AND coalesce(gift, gift_detail_id) = gift_detail_id
+               AND credited_at > after AND credited_at <= until) AS INTEGER) AS credit_is_test
         FROM credits WHERE gift_detail_id <> 15097""",
     "wins": """
         SELECT w.customer_id AS uid, r.game_id, r.id AS reward_id, r.gift_id, r.name AS gift_label,
@@ -116,16 +128,9 @@ SOURCES = {
           ON c.l_orderkey = o.o_orderkey
         WHERE w.state = 4 AND o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
     "game_wins": """
-        SELECT *, CASE
-               WHEN game_id = 20 AND rewarded_at > TIMESTAMP '2023-10-11 06:00:00' THEN 0
-               WHEN game_id = 21 AND rewarded_at > TIMESTAMP '2023-11-01 00:00:00' THEN 0
-               WHEN game_id = 23 AND rewarded_at > TIMESTAMP '2023-11-13 23:59:59' THEN 0
-               WHEN game_id = 24 AND rewarded_at > TIMESTAMP '2024-01-14 23:59:59' THEN 0
-               WHEN game_id = 27 AND rewarded_at > TIMESTAMP '2024-02-25 23:59:59'
-                    AND rewarded_at <= TIMESTAMP '2024-03-10 23:59:59' THEN 0
-               WHEN game_id IN (27, 29) AND rewarded_at > TIMESTAMP '2024-03-21 23:59:59'
-                    AND rewarded_at <= TIMESTAMP '2024-04-05 23:59:59' THEN 0
-               ELSE 1 END AS is_test
+        SELECT *, CAST(NOT EXISTS (
+            SELECT 1 FROM win_windows WHERE game = game_id AND rewarded_at > after AND rewarded_at <= until
+            ) AS INTEGER) AS is_test
         FROM wins WHERE game_id IN (20, 21, 23, 24, 27, 29) AND k <> 50""",
     "failed_flag_wins": """
         SELECT *, CASE WHEN game_id = 23 AND rewarded_at <= TIMESTAMP '2023-11-13 23:59:59' THEN 1
@@ -169,10 +174,10 @@ SOURCES = {
 NEEDS = {
     "lines_src": ["part_gift"], "gifts_src": ["part_gift"], "rewards_src": ["wins_all"],
     "quantities_src": ["wins_all"], "wins_src": ["wins_all"],
-    "credits": ["orders_src", "lines_src", "gifts_src"], "game_credits": ["credits"],
+    "credits": ["orders_src", "lines_src", "gifts_src"], "game_credits": ["credits", "credit_windows"],
     "wins": ["rewards_src", "quantities_src", "wins_src", "orders_src"],
     "failed": ["rewards_src", "quantities_src", "wins_src"],
-    "game_wins": ["wins"], "failed_flag_wins": ["wins", "failed"], "region_wins": ["wins", "failed"],
+    "game_wins": ["wins", "win_windows"], "failed_flag_wins": ["wins", "failed"], "region_wins": ["wins", "failed"],
     "asked": ["messages", "chat_users"], "agents": ["asked"],
 }
 
@@ -200,6 +205,8 @@ WIN_COLUMNS = ("uid, game_id, reward_id, gift_id, gift_label, gift_value, reward
                " configured_qty, ref_id")
 WIN_ORDER = _nulls_last("customer_rewards_id, reward_id, gift_id, gift_label, gift_value, rewarded_at, is_test,"
                         " configured_qty, ref_id")
+ONE_PER_WIN = """QUALIFY row_number() OVER (PARTITION BY customer_rewards_id
+                          ORDER BY gift_value DESC NULLS LAST, configured_qty DESC NULLS LAST) = 1"""
 CREDIT_ORDER = _nulls_last("cart_detail_id, cart_id, transaction_id, credited_at, ncart_id, gift_name, app_id,"
                            " credit_is_test, site_user_id, gift_detail_id")
 CREDIT_COLUMNS = ("uid, game_id, cart_detail_id, cart_id, transaction_id, credited_at, ncart_id, gift_name, app_id,"
@@ -244,17 +251,17 @@ CHECK_SQL = {
     "rank_credits": f"WITH {SLICE} SELECT * FROM ranked",
     "credits_flagged": _with(f"SELECT {CREDIT_COLUMNS} FROM game_credits", "game_credits"),
     "wins_window_table": _with("""
-        SELECT w.id, r.game_id, w.created + INTERVAL 7 HOUR AS rewarded_at, CASE
-               WHEN game_id = 20 AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2023-10-11 06:00:00' THEN 0
-               WHEN game_id = 21 AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2023-11-01 00:00:00' THEN 0
-               WHEN game_id = 23 AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2023-11-13 23:59:59' THEN 0
-               WHEN game_id = 24 AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2024-01-14 23:59:59' THEN 0
-               WHEN game_id = 27 AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2024-02-25 23:59:59'
-                    AND w.created + INTERVAL 7 HOUR <= TIMESTAMP '2024-03-10 23:59:59' THEN 0
-               WHEN game_id IN (27, 29) AND w.created + INTERVAL 7 HOUR > TIMESTAMP '2024-03-21 23:59:59'
-                    AND w.created + INTERVAL 7 HOUR <= TIMESTAMP '2024-04-05 23:59:59' THEN 0
-               ELSE 1 END AS is_test
-        FROM wins_src w JOIN rewards_src r ON r.id = w.reward_id""", "wins_src", "rewards_src"),
+        SELECT w.id, r.game_id, w.created + INTERVAL 7 HOUR AS rewarded_at, CAST(NOT EXISTS (
+               SELECT 1 FROM win_windows WHERE game = game_id AND w.created + INTERVAL 7 HOUR > after
+               AND w.created + INTERVAL 7 HOUR <= until) AS INTEGER) AS is_test
+        FROM wins_src w JOIN rewards_src r ON r.id = w.reward_id""", "wins_src", "rewards_src", "win_windows"),
+    "credits_window_table": _with("""
+        SELECT cart_detail_id, app_id, gift_detail_id, credited_at, CAST(NOT EXISTS (
+               SELECT 1 FROM (SELECT * FROM credit_windows
+                              UNION ALL SELECT NULL, NULL, TIMESTAMP '2024-07-03 23:59:59', TIMESTAMP '9999-01-01')
+               WHERE coalesce(site, app_id) = app_id AND coalesce(gift, gift_detail_id) = gift_detail_id
+               AND credited_at > after AND credited_at <= until) AS INTEGER) AS is_test
+        FROM credits""", "credits", "credit_windows"),
     "wins_chain": _with(f"SELECT {WIN_COLUMNS} FROM game_wins", "game_wins"),
     "wins_chain_deduped": _with(f"""
         SELECT {WIN_COLUMNS} FROM game_wins
@@ -317,6 +324,16 @@ CHECK_SQL = {
                          FROM (SELECT * FROM wins UNION ALL SELECT * FROM failed) b
                          LEFT JOIN nation ON n_nationkey = b.city_id WHERE game_id = 30) w
           ON c.code = w.code_redeem""", "codes_src", "wins", "failed"),
+    "mart_game_by_code_deduped": _with(f"""
+        SELECT w.uid, w.ref_id AS transaction_id, c.created + {LOCAL} AS code_created_at, w.rewarded_at, w.reward_id,
+               w.gift_id, w.gift_label, w.gift_value, w.customer_rewards_id, coalesce(c.game_id, w.game_id) AS game_id,
+               CASE WHEN w.win_state = 1 THEN 1 WHEN w.win_state IS NOT NULL THEN 0 END AS is_test, w.configured_qty,
+               w.ref_id, c.turns, c.state, c.code AS lucky_code, w.province, w.district, w.dealer
+        FROM (SELECT * FROM codes_src WHERE game_id = 30 AND state IN (1, 3)) c
+        FULL OUTER JOIN (SELECT b.*, n_name AS province
+                         FROM (FROM (SELECT * FROM wins {ONE_PER_WIN}) UNION ALL FROM (SELECT * FROM failed {ONE_PER_WIN})) b
+                         LEFT JOIN nation ON n_nationkey = b.city_id WHERE game_id = 30) w
+          ON c.code = w.code_redeem""", "codes_src", "wins", "failed"),
     "agent_report": _with("SELECT * FROM agents", "agents"),
     "agent_report_half_open": _with(
         "SELECT email, count(*) AS n_questions FROM asked WHERE CAST(created_at AS DATE) = DATE '2024-01-05' GROUP BY 1",
@@ -331,6 +348,20 @@ CHECK_SQL = {
           ON CAST(created_at AS DATE) BETWEEN CAST(run.d AS DATE) AND CAST(run.d + INTERVAL 1 DAY AS DATE)
         GROUP BY 1, 2""", "asked"),
     "report_text": _with("""
+        SELECT CAST(0 AS BIGINT) AS part,
+               '<b>Dear team CSKH,</b>' || chr(10) || repeat(' ', 16) || chr(10)
+               || 'Data gửi thông tin số lượng check bot ngày 2024-01-06: <b>' || any_value(total) || '</b>' || chr(10)
+               || repeat(' ', 16) || chr(10) || '<pre>'
+               || lpad('email_agent', any_value(w1), ' ') || ' ' || lpad('so_luot_hoi_bot', any_value(w2), ' ') || chr(10)
+               || string_agg(lpad(name, w1, ' ') || ' ' || lpad(CAST(n_questions AS VARCHAR), w2, ' '), chr(10) ORDER BY pos)
+               || '</pre>' AS body
+        FROM (SELECT *, coalesce(email, 'None') AS name, CAST(sum(n_questions) OVER () AS BIGINT) AS total,
+                     row_number() OVER (ORDER BY n_questions DESC, email NULLS LAST) AS pos,
+                     CAST(greatest(11, max(length(coalesce(email, 'None'))) OVER ()) AS INTEGER) AS w1,
+                     CAST(greatest(16, max(length(CAST(n_questions AS VARCHAR))) OVER ()) AS INTEGER) AS w2
+              FROM agents)
+        GROUP BY 1""", "agents"),
+    "report_text_in_parts": _with("""
         SELECT CAST((pos - 1) // 50 AS BIGINT) AS part,
                '<b>Dear team CSKH,</b>' || chr(10) || repeat(' ', 16) || chr(10)
                || 'Data gửi thông tin số lượng check bot ngày 2024-01-06: <b>' || any_value(total) || '</b>' || chr(10)
@@ -344,6 +375,12 @@ CHECK_SQL = {
                      CAST(greatest(16, max(length(CAST(n_questions AS VARCHAR))) OVER ()) AS INTEGER) AS w2
               FROM agents)
         GROUP BY 1""", "agents"),
+    "report_lines": _with("""
+        SELECT pos, lpad(name, w1, ' ') || ' ' || lpad(CAST(n_questions AS VARCHAR), w2, ' ') AS line
+        FROM (SELECT *, coalesce(email, 'None') AS name, row_number() OVER (ORDER BY n_questions DESC, email NULLS LAST) AS pos,
+                     CAST(greatest(11, max(length(coalesce(email, 'None'))) OVER ()) AS INTEGER) AS w1,
+                     CAST(greatest(16, max(length(CAST(n_questions AS VARCHAR))) OVER ()) AS INTEGER) AS w2
+              FROM agents)""", "agents"),
     "daily_note": """
         SELECT day, '<b>Dear team CSKH,</b>' || chr(10) || repeat(' ', 16) || chr(10)
                || 'Data gửi thông tin số lượng check bot ngày ' || strftime(day, '%d/%m/%Y') || chr(10)
@@ -371,12 +408,21 @@ CHECK_SQL = {
                 OR (created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-12'), false)
                THEN -value ELSE value END AS value
         FROM changed""", "changed"),
-    "append_by_position": _with("""
-        SELECT id AS order_id, site_user_id AS uid, money_total AS amount FROM orders_src WHERE site_id IN (127, 1060)""",
-        "orders_src"),
+    "load_chosen_tables": _with("""
+        SELECT 'orders' AS source_table, id, money_total AS value, CASE WHEN id % 3 <> 0 THEN created END AS updated_at
+        FROM orders_src
+        UNION ALL
+        SELECT 'events', id, CASE WHEN created_at < updated_at AND NOT coalesce(
+                   (updated_at >= TIMESTAMP '2024-01-10' AND updated_at < TIMESTAMP '2024-01-12')
+                OR (created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-12'), false)
+               THEN -value ELSE value END, updated_at
+        FROM changed""", "orders_src", "changed"),
+    "append_by_position": _with(
+        "SELECT id AS order_id, site_user_id AS uid, money_total AS amount FROM orders_src", "orders_src"),
     "sheet_export": """
-        SELECT CAST(c_nationkey AS BIGINT) AS id, lower(c_name) || '@example.com' AS email
-        FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'BUILDING'""",
+        SELECT CAST(c_nationkey AS BIGINT) AS id, CASE WHEN c_acctbal < 0 THEN '' WHEN c_mktsegment <> 'BUILDING'
+               THEN lower(c_name) || '@example.com' END AS email
+        FROM customer""",
     "html_rows": _with("""
         SELECT page_id, CAST(unnest(range(len(cells))) AS INTEGER) AS cell, unnest(list_transform(cells, lambda c:
                trim(replace(regexp_replace(c, '<[^>]*>', '', 'g'), '&amp;', '&')))) AS text
@@ -386,6 +432,12 @@ CHECK_SQL = {
                t[6] AS district, t[1] AS ward_code, t[2] AS ward
         FROM (SELECT page_id, pos, list_transform(cells, lambda c:
               trim(replace(regexp_replace(c, '<[^>]*>', '', 'g'), '&amp;', '&'))) AS t FROM items)""", "items"),
+    "admin_units_export": _with("""
+        SELECT t[7] AS province_code, t[8] AS province, t[5] AS district_code, t[6] AS district, t[1] AS ward_code,
+               t[2] AS ward, count(*) AS n_rows
+        FROM (SELECT list_transform(cells, lambda c:
+              trim(replace(regexp_replace(c, '<[^>]*>', '', 'g'), '&amp;', '&'))) AS t FROM items WHERE len(cells) > 0)
+        GROUP BY ALL""", "items"),
     "level_outbox": _with("""
         SELECT email AS recipient, 'Thông báo kết quả' AS subject,
                CASE level WHEN 1 THEN 'Thành công' WHEN 2 THEN 'Thất bại' END AS body

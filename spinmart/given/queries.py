@@ -17,15 +17,15 @@ from spinmart.operators.lookups import exclude_ids, flag_by_window_table, left_j
 from spinmart.operators.pairing import pair_by_key, pair_nth
 from spinmart.operators.ranking import rank_within
 from spinmart.operators.staging import stage, staging_path
+from spinmart.plans import admin_units as crawl
 from spinmart.plans import level_outbox as outbox
 from spinmart.plans import marts, report
-from spinmart.plans.admin_units import UNIT_CELLS
 from spinmart.plans.gamestreams import counted_wins, failed_wins, reward_catalog, spin_credits
-from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned
+from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned, load_all
 from spinmart.sinks.tables import append_to_mart, write_export
 from spinmart.sources import schemas
 from spinmart.sources.changes import LoadConfig, changed_between, extract_changes
-from spinmart.sources.pages import cells_to_columns, html_rows, html_rows_nested
+from spinmart.sources.pages import html_rows, html_rows_nested
 from spinmart.sources.readers import read_sheet, read_table
 
 AS_OF = datetime(2024, 9, 1, 3, 30)
@@ -83,6 +83,20 @@ def wins_window_table(spark, folder):
     return flag_by_window_table(timed, windows, ["game_id"], "rewarded_at", 1, "is_test")
 
 
+def credits_window_table(spark, folder):
+    """Credits flagged by windows on site and gift, on site alone, and on nothing."""
+    credits = _credits(spark, folder)
+    keys = T.StructType([T.StructField("app_id", T.IntegerType()), T.StructField("gift_detail_id", T.LongType())])
+    windows = windows_table(spark, (*marts.GAME_CREDIT_WINDOWS, *marts.REGION_CREDIT_WINDOWS), keys)
+    return flag_by_window_table(credits.select("cart_detail_id", "app_id", "gift_detail_id", "credited_at"), windows,
+                                ["app_id", "gift_detail_id"], "credited_at", 1, "is_test")
+
+
+def _credits(spark, folder) -> DataFrame:
+    gifts = {**marts.GAME_GIFTS, **marts.REGION_GIFTS}
+    return spin_credits(given.game_sources(spark, folder), AS_OF, marts.ALL_SITES, gifts, F.lit(0))
+
+
 def _game_wins(spark, folder, **options) -> DataFrame:
     src = given.game_sources(spark, folder)
     flag = window_flag(F.col("local_at"), marts.GAME_WIN_WINDOWS, marts.named_test_or(1))
@@ -182,10 +196,20 @@ def report_backfill(spark, folder):
 
 
 def report_text(spark, folder):
+    agents = report.agent_report(*_chat(spark, folder), FIRST_DAY, LAST_DAY)
+    return report.report_message(agents, LAST_DAY)
+
+
+def report_text_in_parts(spark, folder):
     agents = report.agent_report(*_chat(spark, folder), FIRST_DAY, LAST_DAY)
     return report.report_message(agents, LAST_DAY, agents_per_message=50)
 
 
+def report_line_rows(spark, folder):
+    _, lines = report.report_lines(report.agent_report(*_chat(spark, folder), FIRST_DAY, LAST_DAY))
+    return lines
+
+
 def daily_notes(spark, folder):
     days = given.table(spark, folder, "events").select(F.to_date("ts").alias("day")).distinct()
     return report.daily_note(days, "day")
@@ -257,14 +281,38 @@ def incremental_load_by_day(spark, folder):
     return loaded.drop("created_day")
 
 
+def load_chosen_tables(spark, folder):
+    """Two of three tables loaded in one run, one by partial choice, one by what a full load leaves."""
+    root, loaded = staging_path(spark, "tables"), []
+    sources = {"events": _load_case(spark, folder), "orders": _orders_case(spark, folder)}
+    for table, (_, _, target) in sources.items():
+        target.write.parquet(f"{root}/{table}/v1")
+    for chosen, mode in ((["orders"], "partial"), (["orders", "parts"], "full")):
+        tables = load_all(spark, lambda table: sources[table][0], "postgres", "shop", [*sources, "parts"], chosen, mode,
+                          LO, HI, staging_path(spark, "extracts"), root, "v1", "v2")
+        loaded += [rows.select(F.lit(table).alias("source_table"), "id", "value", "updated_at")
+                   for table, rows in tables.items()]
+    return loaded[0].unionByName(loaded[1])
+
+
+def _orders_case(spark, folder) -> tuple[DataFrame, None, DataFrame]:
+    """Orders with change stamps, and a target that holds only those not changed in the two days."""
+    source = given.orders_src(spark, folder).select(
+        "id", F.col("money_total").alias("value"), (F.col("created") - F.expr("INTERVAL 1 HOUR")).alias("created_at"),
+        F.when(F.col("id") % 3 != 0, F.col("created")).alias("updated_at"))
+    changed = changed_between(("updated_at", "created_at"), "timestamp", LO, HI)
+    return source, None, source.where(~F.coalesce(changed, F.lit(False)))
+
+
 def append_by_position(spark, folder):
-    """Two loads into a mart table whose columns bear other names than the result's."""
+    """Two loads, one for each half of the sites, into a mart table whose columns bear other names than the result's."""
     path, name = staging_path(spark, "mart"), f"spinmart_append_{uuid.uuid4().hex}"
     spark.sql(f"CREATE TABLE {name} (order_id BIGINT, uid STRING, amount DOUBLE) USING parquet LOCATION '{path}'")
     try:
         orders = given.orders_src(spark, folder)
-        for site in (127, 1060):
-            append_to_mart(orders.where(F.col("site_id") == site).select("id", "site_user_id", "money_total"), name)
+        first = F.coalesce(F.col("site_id").isin(127, 1060), F.lit(False))
+        for half in (first, ~first):
+            append_to_mart(orders.where(half).select("id", "site_user_id", "money_total"), name)
         schema = spark.table(name).schema
     finally:
         spark.sql(f"DROP TABLE {name}")
@@ -275,8 +323,8 @@ def sheet_export(spark, folder):
     """Recipients exported as a sheet, replaced once, and read back by header."""
     path = staging_path(spark, "sheet")
     people = given.recipients_src(spark, folder)
-    write_export(people.where("email <> ''"), path)
-    write_export(people.where("email IS NOT NULL AND email <> ''"), path, order=["id", "email"])
+    write_export(people.select("email"), path)
+    write_export(people, path, order=["id", "email"])
     return read_sheet(spark, path, schemas.RECIPIENTS)
 
 
@@ -297,7 +345,15 @@ def list_rows_nested(spark, folder):
 
 
 def admin_units(spark, folder):
-    return cells_to_columns(html_rows(_pages(spark, folder), "ul", "li"), UNIT_CELLS)
+    return crawl.admin_units(_pages(spark, folder), "ul", "li")
+
+
+def admin_units_export(spark, folder):
+    """The ordered export of the units, read back by header and counted, as some are equal."""
+    path = staging_path(spark, "units")
+    crawl.export_admin_units(_pages(spark, folder), path, "ul", "li")
+    sheet = read_sheet(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in crawl.UNIT_CELLS]))
+    return sheet.groupBy(*sheet.columns).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # Messages.
@@ -323,6 +379,7 @@ QUERIES = {
     "rank_credits": rank_credits,
     "credits_flagged": credits_flagged,
     "wins_window_table": wins_window_table,
+    "credits_window_table": credits_window_table,
     "wins_chain": wins_chain,
     "wins_chain_deduped": wins_chain_deduped,
     "wins_with_failed": wins_with_failed,
@@ -337,6 +394,7 @@ QUERIES = {
     "mart_game_failed_included": _mart(marts.mart_game_failed_included),
     "mart_game_codes": _mart(marts.mart_game_codes),
     "mart_game_by_code": _mart(marts.mart_game_by_code),
+    "mart_game_by_code_deduped": _mart(marts.mart_game_by_code, dedupe=True),
     "mart_game_region": _mart(marts.mart_game_region),
     "agent_report": agent_report,
     "agent_report_half_open": agent_report_half_open,
@@ -344,6 +402,8 @@ QUERIES = {
     "agent_report_with_total": agent_report_with_total,
     "report_backfill": report_backfill,
     "report_text": report_text,
+    "report_text_in_parts": report_text_in_parts,
+    "report_lines": report_line_rows,
     "daily_note": daily_notes,
     "chat_keyword_report": chat_keyword_report,
     "incremental_extract": incremental_extract,
@@ -352,11 +412,13 @@ QUERIES = {
     "upsert_latest": upsert_events,
     "incremental_load": incremental_load_job,
     "incremental_load_by_day": incremental_load_by_day,
+    "load_chosen_tables": load_chosen_tables,
     "append_by_position": append_by_position,
     "sheet_export": sheet_export,
     "html_rows": list_rows,
     "html_rows_nested": list_rows_nested,
     "admin_units": admin_units,
+    "admin_units_export": admin_units_export,
     "level_outbox": level_outbox,
     "level_outbox_lenient": level_outbox_lenient,
     "level_outbox_pairs": level_outbox_pairs,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinmart.operators.lookups import BROADCAST_BYTES, measured_bytes
+from spinmart.operators.sizing import BROADCAST_BYTES, measured_bytes
 from spinmart.operators.staging import stage
 
 
@@ -27,18 +27,18 @@ def upsert_latest(target: DataFrame, staged: DataFrame, key: str, stamp: Sequenc
                   limit: int = BROADCAST_BYTES) -> DataFrame:
     """``target`` with the staged rows put in by key: the last stamp wins, a tie goes to staged.
 
-    ``target`` holds one row per key, as every earlier upsert left it. The keys and stamps of
+    ``target`` holds one row per key, as every earlier upsert left it; rows without a key are one key. The keys and stamps of
     an increment are broadcast up to ``limit`` bytes, so the large target is scanned but not shuffled.
     """
     newest = stage(latest_per_key(staged, key, stamp), "newest")
     versions = newest.select(F.col(key).alias("_key"), F.struct(*stamp).alias("_version"))
     if measured_bytes(versions) <= limit:
         versions = F.broadcast(versions)
-    same, mine = F.col(key) == F.col("_key"), F.struct(*stamp)
+    same, mine = F.col(key).eqNullSafe(F.col("_key")), F.struct(*stamp)
     kept = target.join(versions, same & (F.col("_version") >= mine), "left_anti")
     stale = (
         target.select(key, *[c for c in stamp if c != key])
         .join(versions, same & (F.col("_version") < mine), "left_semi")
         .select(F.col(key).alias("_stale"))
     )
-    return kept.unionByName(newest.join(stale, F.col(key) == F.col("_stale"), "left_anti"))
+    return kept.unionByName(newest.join(stale, F.col(key).eqNullSafe(F.col("_stale")), "left_anti"))

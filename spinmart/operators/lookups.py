@@ -11,55 +11,30 @@ from pyspark.sql import types as T
 
 from spinmart.functions.timerules import CampaignWindow, check_disjoint
 from spinmart.operators.ranking import GROUP_LIMIT, heavy_groups
-from spinmart.operators.staging import stage
-
-# Measured size up to which a table may be broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-WINDOW_ROWS = 10_000
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` in memory, near enough: 16 bytes per value and the length of texts."""
-    size = F.lit(16 * len(df.columns)).cast("long")
-    for field in df.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            column = F.to_json(F.struct(column))
-        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            continue
-        size = size + F.coalesce(F.octet_length(column), F.lit(0))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Stage a list or dimension once and hint a broadcast if its measured size is within bounds.
-
-    Beyond the bound there is no hint, and Spark joins by shuffle.
-    """
-    table = stage(df, "lookup")
-    return F.broadcast(table) if measured_bytes(table) <= limit else table
+from spinmart.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured_bytes
 
 
 def exclude_ids(df: DataFrame, excluded: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Drop the rows whose ``column`` is listed. A NULL in the list excludes nothing."""
     (listed,) = excluded.columns
-    ids = excluded.where(F.col(listed).isNotNull()).select(F.col(listed).alias("_listed")).distinct()
+    ids = excluded.where(F.col(listed).isNotNull()).select(F.col(listed).alias("_listed"))
     return df.join(broadcast_if_small(ids, limit), F.col(column) == F.col("_listed"), "left_anti")
 
 
-def left_join_present(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def left_join_present(left: DataFrame, right: DataFrame, key: str, limit: int | None = GROUP_LIMIT) -> DataFrame:
     """Left join on a key that matches nothing where it is NULL or an empty text.
 
     Left rows without a key would all meet in one task. They get a negative filler as second join
     column, while real keys carry their length, so a filler matches nothing.
 
     A key above ``limit`` rows on the right cannot be split in an outer join. Then the rows go
-    through an inner join, which can, and those whose key the right side lacks are added.
+    through an inner join, which can, and those whose key the right side lacks are added. ``limit=None`` says
+    that the right side has no such key and spares the look for one.
     """
     text = F.col(key).cast("string")
     present = F.coalesce(text, F.lit("")) != ""
     right = right.where(present)
-    if heavy_groups([right], [key], limit) is None:
+    if limit is None or heavy_groups([right], [key], limit) is None:
         filler = -1 - F.pmod(F.xxhash64(*left.columns), F.lit(1 << 30)).cast("int")
         spread = left.withColumn("_spread", F.when(present, F.length(text)).otherwise(filler))
         return spread.join(right.withColumn("_spread", F.length(text)), [key, "_spread"], "left").drop("_spread")
@@ -69,40 +44,56 @@ def left_join_present(left: DataFrame, right: DataFrame, key: str, limit: int =
 
 
 def windows_table(spark, windows: Sequence[CampaignWindow], keys: T.StructType) -> DataFrame:
-    """Campaign windows as a small table; refuses overlaps, which would repeat joined rows."""
-    if len(windows) > WINDOW_ROWS:
-        raise ValueError(f"more than {WINDOW_ROWS} campaign windows")
+    """Campaign windows as a table; refuses overlaps under the same keys, which would repeat joined rows.
+
+    A key that a window does not name is NULL and stands for any value.
+    """
     check_disjoint(windows)
     schema = T.StructType([
         *[T.StructField(f"_w_{k.name}", k.dataType) for k in keys],
         T.StructField("_lo", T.TimestampNTZType()),
         T.StructField("_hi", T.TimestampNTZType()),
         T.StructField("_flag", T.IntegerType()),
+        T.StructField("_place", T.IntegerType()),
     ])
     moment = datetime.fromisoformat
     rows = [
-        (*[w.keys[k.name] for k in keys], moment(w.lo) if w.lo else None, moment(w.hi) if w.hi else None, w.flag)
-        for w in windows
+        (*[w.keys.get(k.name) for k in keys], moment(w.lo) if w.lo else None, moment(w.hi) if w.hi else None, w.flag, i)
+        for i, w in enumerate(windows)
     ]
     return spark.createDataFrame(rows, schema)
 
 
 def flag_by_window_table(df: DataFrame, windows: DataFrame, keys: Sequence[str], time: str,
-                         default: int, name: str) -> DataFrame:
-    """Add the flag of the window holding ``time`` (``lo < t <= hi``), else ``default``.
+                         default: int, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Add the flag of the first window that holds ``time`` (``lo < t <= hi``), else ``default``.
 
-    The table comes from ``windows_table``, which bounds its size, so it is broadcast and the large
-    side is not shuffled; the time range is a residual condition of the hash join.
+    Windows that name the same keys are joined on these keys, with the time range as a residual
+    condition, so that every join is a hash or merge join; windows without keys meet on a constant. Up to
+    ``limit`` bytes the table is broadcast and the large side not shuffled. Beyond, windows
+    without keys are repeated over salts, so that no task gets all rows.
     """
-    held = (F.col("_lo").isNull() | (F.col(time) > F.col("_lo"))) & (
-        F.col("_hi").isNull() | (F.col(time) <= F.col("_hi")))
-    for key in keys:
-        held = held & (F.col(key) == F.col(f"_w_{key}"))
-    return (
-        df.join(F.broadcast(windows), held, "left")
-        .withColumn(name, F.coalesce("_flag", F.lit(default)))
-        .select(*df.columns, name)
-    )
+    size = measured_bytes(windows)
+    patterns = [tuple(row) for row in windows.select(*[F.col(f"_w_{k}").isNotNull() for k in keys]).distinct().collect()]
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size > limit else 1
+    out, found = df, []
+    for i, named in enumerate(sorted(patterns)):
+        columns = {c: f"_{i}{c}" for c in windows.columns}
+        mine = [k for k, given in zip(keys, named) if given]
+        those = windows.where(F.lit(True) if not keys else F.expr(" AND ".join(
+            f"`_w_{k}` IS {'NOT ' if given else ''}NULL" for k, given in zip(keys, named))))
+        those = those.withColumnsRenamed(columns).withColumn(f"_{i}salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        out = out.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        held = (F.col("_salt") == F.col(f"_{i}salt")) & (
+            F.col(f"_{i}_lo").isNull() | (F.col(time) > F.col(f"_{i}_lo"))) & (
+            F.col(f"_{i}_hi").isNull() | (F.col(time) <= F.col(f"_{i}_hi")))
+        for key in mine:
+            held = held & (F.col(key) == F.col(f"_{i}_w_{key}"))
+        out = out.join(F.broadcast(those) if size <= limit else those, held, "left")
+        found.append(F.when(F.col(f"_{i}_place").isNotNull(), F.struct(
+            F.col(f"_{i}_place").alias("place"), F.col(f"_{i}_flag").alias("flag"))))
+    first = F.array_min(F.array_compact(F.array(*found)))["flag"] if found else F.lit(None).cast("int")
+    return out.withColumn(name, F.coalesce(first, F.lit(default))).select(*df.columns, name)
 
 
 def left_join_derived(df: DataFrame, key: Column, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,13 @@ from spinmart.operators.ranking import (
     split_groups,
     total_order,
 )
+from spinmart.operators.sizing import broadcast_if_small, stage_counted
+from spinmart.operators.staging import stage
+
+# Parts into which the pairs of a code beyond the limit are cut, per time the limit is reached.
+SALTS = 16
+# Rows of a code at the square root of the limit that the size estimate looks at.
+ESTIMATE_ROWS = 50
 
 Defaults = Mapping[str, object]
 
@@ -63,8 +71,11 @@ def pair_nth(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """
     fill = (left_defaults, right_defaults)
     if left_rank_keys is not None:
-        ranked = rank_within(left, left_rank_keys, left_order, "_nth", limit)
-        return _join_ranked(ranked, rank_within(right, keys, right_order, "_nth", limit), keys, rank, *fill)
+        # Many left rows of a key can have the same rank, so the pairs are checked, not the ranked groups.
+        ranked = stage(rank_within(left, left_rank_keys, left_order, "_nth", limit).withColumn(rank, F.col("_nth")), "ranked")
+        others = stage(rank_within(right, keys, right_order, "_nth", limit), "ranked")
+        ranked, others = _mark(ranked, others)
+        return _fill(_full_join_split(ranked, others, [*keys, "_nth"], limit), *fill).drop("_nth")
 
     left_terms, right_terms = total_order(left, keys, left_order), total_order(right, keys, right_order)
     heavy = heavy_groups([left, right], keys, limit)
@@ -84,29 +95,66 @@ def pair_by_key(left: DataFrame, right: DataFrame, key: str, limit: int = GROUP_
                 left_defaults: Defaults | None = None, right_defaults: Defaults | None = None) -> DataFrame:
     """Full outer join on one code column; repeated codes match many to many.
 
-    Rows without a code match nothing; a second join column spreads them over the tasks. Codes above
-    ``limit`` rows on a side skip the full join: those held by both sides go through an inner join,
-    which adaptive execution can split, and the others are passed on unmatched.
+    Rows without a code match nothing; a second join column spreads them over the tasks. Codes with more than
+    ``limit`` pairs or rows skip the full join and are cut into parts (``_full_join_split``).
     """
     left, right = _mark(left, right)
-    present = F.col(key).isNotNull()
-    heavy = heavy_groups([left.where(present), right.where(present)], [key], limit)
+    return _fill(_full_join_split(left, right, [key], limit), left_defaults, right_defaults)
+
+
+def heavy_pairs(left: DataFrame, right: DataFrame, on: Sequence[str], limit: int) -> DataFrame | None:
+    """Keys whose rows or pairs of rows are more than ``limit``, with ``_salts``, the parts to cut them into; or None.
+
+    One side of such a key has at least the square root of ``limit`` rows. Keys near that size are found on a sample and
+    counted exactly. The list only chooses how a key is joined.
+    """
+    found = heavy_groups([left, right], on, max(1, math.isqrt(limit)), ESTIMATE_ROWS)
+    if found is None:
+        return None
+    counts = []
+    for side, name in ((left, "_l"), (right, "_r")):
+        _, those = split_groups(side.select(*on), found, on)
+        counts.append(those.groupBy(*on).agg(F.count(F.lit(1)).alias(name)))
+    # The keys hold no NULL here.
+    both = counts[0].join(counts[1], list(on), "full").select(
+        *on, F.greatest(F.coalesce("_l", F.lit(0)).cast("double") * F.coalesce("_r", F.lit(0)), F.coalesce("_l", F.lit(0)),
+                        F.coalesce("_r", F.lit(0))).alias("_pairs"))
+    heavy, n = stage_counted(both.where(F.col("_pairs") > limit).select(
+        *on, (SALTS * F.ceil(F.col("_pairs") / limit)).cast("int").alias("_salts")), "heavy")
+    return heavy if n else None
+
+
+def _full_join_split(left: DataFrame, right: DataFrame, on: Sequence[str], limit: int) -> DataFrame:
+    """Full join; the pairs of a heavy key are cut into parts by salting the left rows and repeating the right ones."""
+    present = F.lit(True)
+    for name in on:
+        present = present & F.col(name).isNotNull()
+    heavy = heavy_pairs(left.where(present), right.where(present), on, limit)
     if heavy is None:
-        return _fill(_full_join_on_code(left, right, key), left_defaults, right_defaults)
-    left_rest, left_large = split_groups(left, heavy, [key])
-    right_rest, right_large = split_groups(right, heavy, [key])
-    out = _full_join_on_code(left_rest, right_rest, key).unionByName(
-        left_large.join(right_large, [key], "inner"))
-    # Both code lists are part of the heavy list, so they are as small as it is.
+        return _full_join_spread(left, right, on)
+    keys = heavy.select(*on)
+    left_rest, left_large = split_groups(left, keys, on)
+    right_rest, right_large = split_groups(right, keys, on)
+    out = _full_join_spread(left_rest, right_rest, on)
+    salts = broadcast_if_small(heavy, staged=False)
+    salted = left_large.join(salts, list(on)).withColumn(
+        "_salt", F.pmod(F.xxhash64(*left_large.columns), F.col("_salts")).cast("int")).drop("_salts")
+    repeated = right_large.join(salts, list(on)).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    out = out.unionByName(salted.join(repeated, [*on, "_salt"], "inner").drop("_salt"))
     for mine, other in ((left_large, right_large), (right_large, left_large)):
-        alone = mine.join(F.broadcast(other.select(key).distinct()), [key], "left_anti")
-        out = out.unionByName(alone, allowMissingColumns=True)
-    return _fill(out, left_defaults, right_defaults)
+        held = broadcast_if_small(other.select(*on).distinct())
+        out = out.unionByName(mine.join(held, list(on), "left_anti"), allowMissingColumns=True)
+    return out
+
 
+def _full_join_spread(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full join whose rows with a NULL key, which match nothing, are spread over the tasks."""
+    unknown = F.lit(False)
+    for name in on:
+        unknown = unknown | F.col(name).isNull()
 
-def _full_join_on_code(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     def spread(df: DataFrame) -> DataFrame:
-        others = [name for name in df.columns if name != key]
-        return df.withColumn("_spread", F.when(F.col(key).isNull(), F.xxhash64(*others)).otherwise(F.lit(0)))
+        return df.withColumn("_spread", F.when(unknown, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
 
-    return spread(left).join(spread(right), [key, "_spread"], "full").drop("_spread")
+    return spread(left).join(spread(right), [*on, "_spread"], "full").drop("_spread")

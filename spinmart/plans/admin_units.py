@@ -13,11 +13,14 @@ UNIT_CELLS = {
 }
 
 
-def admin_units(pages: DataFrame, nested: bool = False) -> DataFrame:
+def admin_units(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td", nested: bool = False) -> DataFrame:
     """One row per table row of all pages, with ``(page_id, pos)`` as the order of the crawl."""
-    return cells_to_columns((html_rows_nested if nested else html_rows)(pages), UNIT_CELLS)
+    read = html_rows_nested if nested else html_rows
+    return cells_to_columns(read(pages, row_tag, cell_tag), UNIT_CELLS)
 
 
-def export_admin_units(pages: DataFrame, path: str, nested: bool = False) -> None:
-    units = admin_units(pages, nested).orderBy("page_id", "pos")
+def export_admin_units(pages: DataFrame, path: str, row_tag: str = "tr", cell_tag: str = "td",
+                       nested: bool = False) -> None:
+    """Replace the exported sheet of units; its rows follow the crawl."""
+    units = admin_units(pages, row_tag, cell_tag, nested).orderBy("page_id", "pos")
     write_export(units.drop("page_id", "pos"), path)

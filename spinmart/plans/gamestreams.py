@@ -13,11 +13,11 @@ from spinmart.functions.texts import code_map, json_int, json_text
 from spinmart.functions.timerules import local_time, settled
 from spinmart.operators.latest import latest_per_key
 from spinmart.operators.lookups import (
-    broadcast_if_small,
     exclude_ids,
     left_join_derived,
     left_join_present,
 )
+from spinmart.operators.sizing import broadcast_if_small
 from spinmart.operators.staging import stage
 from spinmart.sources.readers import read_table
 
@@ -72,7 +72,7 @@ def spin_credits(src: GameSources, as_of: datetime, sites: Sequence[int], gift_g
         & ~F.col("delivery").isin(*CANCELLED_LINES)
     ).select(F.col("id").alias("cart_detail_id"), "cart_id", "gift_detail_id")
     gifts = broadcast_if_small(src.gifts.where(F.col("id").isin(*gift_games)).select(
-        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")))
+        F.col("id").alias("gift_detail_id"), F.col("title").alias("gift_name")), staged=False)
     return (
         lines.join(gifts, "gift_detail_id").join(orders, "cart_id")
         .withColumn("game_id", code_map(F.col("gift_detail_id"), gift_games).cast("long"))
@@ -112,16 +112,17 @@ def _win_row(rows: DataFrame, is_test: Column, carry: Sequence[str]) -> DataFram
 
 
 def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test: Column,
-                 carry: Sequence[str] = (), exclude: bool = True, dedupe: bool = False) -> DataFrame:
+                 carry: Sequence[str] = (), exclude: bool = True, dedupe: bool = False,
+                 excluded: DataFrame | None = None) -> DataFrame:
     """Wins of the catalog's games that count, with the ``carry`` columns of the wins.
 
-    ``is_test`` may use ``game_id``, ``local_at``, ``customer_id`` and ``state``. A reward with
+    ``excluded`` lists the ids to leave out, by default those of the sources. ``is_test`` may use ``game_id``, ``local_at``, ``customer_id`` and ``state``. A reward with
     several quantities, or several orders under one transaction id, repeat a win; ``dedupe`` keeps
     one row per win.
     """
     won = src.wins.where(F.col("state").isin(*COUNTED_STATES) & settled(F.col("created"), as_of))
     if exclude:
-        won = exclude_ids(won, src.excluded_wins, "id")
+        won = exclude_ids(won, src.excluded_wins if excluded is None else excluded, "id")
     orders = src.orders.select("transaction_id", F.col("money_total").alias("gift_value"))
     rows = _win_source(won, carry).join(catalog, "reward_id")
     out = _win_row(left_join_present(rows, orders, "transaction_id"), is_test, carry)
@@ -129,9 +130,11 @@ def counted_wins(src: GameSources, as_of: datetime, catalog: DataFrame, is_test:
 
 
 def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
-                carry: Sequence[str] = ()) -> DataFrame:
+                carry: Sequence[str] = (), dedupe: bool = False) -> DataFrame:
     """Wins whose request failed and whose payment call failed, one row per distinct card.
 
+    Several cards, payments or quantities repeat a win; ``dedupe`` keeps one row per win.
+
     Such wins are few beside the payments and cards, so these are cut down by broadcast lists where
     the counts allow it, and only the cards in question are made distinct.
     """
@@ -141,9 +144,10 @@ def failed_wins(src: GameSources, catalog: DataFrame, is_test: Column,
     paid = stage(payments.join(broadcast_if_small(failed), "transaction_id"), "paid")
     cards = src.unidentified_cards.select(
         "id", F.col("ncart_id").alias("payment_id"), "campaign_id", "created_at")
-    asked = broadcast_if_small(paid.select("payment_id").distinct())
+    asked = broadcast_if_small(paid.select("payment_id"), staged=False)
     cards = cards.join(asked, "payment_id", "left_semi").distinct().select("payment_id")
-    return _win_row(paid.join(cards, "payment_id"), is_test, carry)
+    out = _win_row(paid.join(cards, "payment_id"), is_test, carry)
+    return latest_per_key(out, "customer_rewards_id", []) if dedupe else out
 
 
 def with_place(rows: DataFrame, provinces: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinmart.operators.latest import upsert_latest
+from spinmart.operators.sizing import broadcast_if_small
 from spinmart.operators.staging import stage
 from spinmart.sinks.tables import write_stage
 from spinmart.sources.changes import LoadConfig, choose_tables, extract_changes
@@ -34,17 +35,21 @@ def incremental_load_partitioned(spark: SparkSession, source: DataFrame, config:
                                  partition: str) -> DataFrame:
     """As ``incremental_load`` for a target laid out by ``partition``; rewrites only what changed.
 
-    For a partition value that never changes for a key, such as its creation day. Only the touched
-    partitions are read, merged, staged in full, and then replaced from the staged copy.
+    For a partition value that never changes for a key, such as its creation day; a staged key that the target
+    holds under another value is refused. Only the touched partitions are read, merged, staged in full,
+    and then replaced from the staged copy, which stays until the replacement is done: after a stop half way, loading the
+    same interval again gives the same target.
     """
     write_stage(extract_changes(source, config, lo, hi), stage_path)
     target = spark.read.parquet(target_path)
     staged = spark.read.parquet(stage_path).select(*target.columns)
-    # At most as many values as the table has partitions.
-    touched = [row[0] for row in staged.select(partition).distinct().collect()]
-    value = F.col(partition)
-    in_touched = value.isin([v for v in touched if v is not None])
-    current = target.where(in_touched | value.isNull() if None in touched else in_touched)
+    key = config.upsert_key
+    places = broadcast_if_small(staged.select(F.col(key).alias("_key"), F.col(partition).alias("_place")).distinct())
+    moved = target.select(key, partition).join(
+        places, F.col(key).eqNullSafe(F.col("_key")) & ~F.col(partition).eqNullSafe(F.col("_place")), "left_semi")
+    if not moved.isEmpty():
+        raise ValueError(f"{partition} changed for rows of the target, such as {moved.first()[0]!r}")
+    current = touched_rows(target, staged, partition)
     merged = stage(upsert_latest(current, staged, config.upsert_key, config.timestamp_columns), "merged")
     # Rebalancing gathers each partition's rows into few files, and splits a large partition.
     (
@@ -54,6 +59,20 @@ def incremental_load_partitioned(spark: SparkSession, source: DataFrame, config:
     return spark.read.schema(target.schema).parquet(target_path)
 
 
+def touched_rows(target: DataFrame, staged: DataFrame, partition: str) -> DataFrame:
+    """Rows of the target's partitions that ``staged`` has values of; other partitions are not read.
+
+    The values are a broadcast list of measured size. Its bounds are stated as a filter, which makes Spark
+    prune the partitions by the list at run time.
+    """
+    values = staged.select(F.col(partition).alias("_value")).distinct()
+    lo, hi, n, n_known = values.agg(F.min("_value"), F.max("_value"), F.count(F.lit(1)), F.count("_value")).first()
+    listed = broadcast_if_small(values.where(F.col("_value").isNotNull()))
+    listed = listed.where(F.col("_value").between(F.lit(lo), F.lit(hi)))
+    rows = target.join(listed, F.col(partition) == F.col("_value"), "left_semi")
+    return rows.unionByName(target.where(F.col(partition).isNull())) if n > n_known else rows
+
+
 def load_all(spark: SparkSession, read: Callable[[str], DataFrame], source_type: str, database: str,
              available: Iterable[str], chosen: Iterable[str], mode: str, lo: datetime, hi: datetime,
              stage_root: str, target_root: str, version: str, new_version: str) -> dict[str, DataFrame]:

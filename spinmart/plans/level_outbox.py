@@ -18,8 +18,8 @@ from spinmart.operators.lookups import left_join_present
 
 
 def recipients_with_level(recipients: DataFrame, roles: DataFrame) -> DataFrame:
-    """Recipients with the level their role sheet gives them, if any."""
-    return left_join_present(recipients, roles, "id")
+    """Recipients with the level their role sheet gives them, if any. A sheet has few rows for any one id."""
+    return left_join_present(recipients, roles, "id", limit=None)
 
 
 def _subject() -> Column:

@@ -1,6 +1,7 @@
 """The five marts that put spin credits and prize wins side by side.
 
-Times are local wall clock. With ``local_credits=False`` the credit time stays as stored. ``dedupe``
+``excluded`` lists the wins that a mart leaves out, by default those of its sources; marts may exclude different
+wins. Times are local wall clock. With ``local_credits=False`` the credit time stays as stored. ``dedupe``
 keeps one row per win where quantities or orders repeat it. Columns of a missing side are NULL unless
 defaults are given. The streams are joins and are read twice (group sizes, then ranks), so they are
 staged first.
@@ -103,34 +104,35 @@ def _pair(credit_rows: DataFrame, win_rows: DataFrame, by_site_user: bool = Fals
 
 
 def mart_game(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_credits: bool = True,
-              **pairing) -> DataFrame:
+              excluded: DataFrame | None = None, **pairing) -> DataFrame:
     """All campaign games. Rows are test rows unless a campaign window holds them."""
     local_at = F.col("local_at")
     credit_rows = spin_credits(src, as_of, ALL_SITES, GAME_GIFTS, window_flag(local_at, GAME_CREDIT_WINDOWS, 1),
                           local_credits)
     win_rows = counted_wins(src, as_of, reward_catalog(src, GAME_IDS),
                             window_flag(local_at, GAME_WIN_WINDOWS, named_test_or(1)),
-                            dedupe=dedupe)
+                            dedupe=dedupe, excluded=excluded)
     return _pair(credit_rows, win_rows, **pairing).select(*GAME_COLUMNS)
 
 
 def mart_game_failed_included(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                              local_credits: bool = True, **pairing) -> DataFrame:
+                              local_credits: bool = True, excluded: DataFrame | None = None,
+                              **pairing) -> DataFrame:
     """One game, wins whose request failed included. A win without a value shows 0."""
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(FAILED_GIFTS.values()))
     win_test = window_flag(local_at, FAILED_WIN_WINDOWS, named_test_or(0))
     credit_rows = spin_credits(src, as_of, FAILED_SITES, FAILED_GIFTS,
                           window_flag(local_at, FAILED_CREDIT_WINDOWS, 0), local_credits)
-    win_rows = counted_wins(src, as_of, catalog, win_test, dedupe=dedupe).unionByName(
-        failed_wins(src, catalog, win_test))
+    win_rows = counted_wins(src, as_of, catalog, win_test, dedupe=dedupe, excluded=excluded).unionByName(
+        failed_wins(src, catalog, win_test, dedupe=dedupe))
     paired = _pair(credit_rows, win_rows, **pairing)
     return paired.withColumn("gift_value", F.coalesce("gift_value", F.lit(0))).select(*GAME_COLUMNS)
 
 
 def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                    local_credits: bool = True, **pairing) -> DataFrame:
-    """One game whose credits are lucky codes; the code's state marks test rows."""
+                    local_credits: bool = True, excluded: DataFrame | None = None, **pairing) -> DataFrame:
+    """One game whose credits are lucky codes; the code's state marks test rows. Excludes no wins unless asked to."""
     created = F.col("created")
     code_rows = src.game_codes.where(F.col("game_id") == RANKED_CODE_GAME).select(
         F.col("customer_id").alias("uid"), "game_id",
@@ -138,7 +140,7 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
         "turns", "state", code_suffix(F.col("link")).alias("lucky_code"),
     )
     catalog = reward_catalog(src, (RANKED_CODE_GAME,))
-    win_rows = counted_wins(src, as_of, catalog, F.lit(0), exclude=False, dedupe=dedupe)
+    win_rows = counted_wins(src, as_of, catalog, F.lit(0), exclude=excluded is not None, dedupe=dedupe, excluded=excluded)
     paired = pair_nth(code_rows, stage(win_rows.drop("is_test"), "wins"), ["uid", "game_id"],
                       ["credited_at"], ["customer_rewards_id"], **pairing)
     return (
@@ -148,8 +150,9 @@ def mart_game_codes(src: GameSources, as_of: datetime, *, dedupe: bool = False,
     )
 
 
-def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool = True, **pairing) -> DataFrame:
-    """One game whose wins name the code they redeemed; wins carry the dealer's place."""
+def mart_game_by_code(src: GameSources, as_of: datetime, *, dedupe: bool = False, local_credits: bool = True,
+                      excluded: DataFrame | None = None, **pairing) -> DataFrame:
+    """One game whose wins name the code they redeemed; wins carry the dealer's place. Excludes no wins unless asked to."""
     created = F.col("created")
     code_rows = src.game_codes.where(
         (F.col("game_id") == REDEEMED_CODE_GAME) & F.col("state").isin(*COUNTED_STATES)
@@ -160,8 +163,8 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
     )
     catalog, is_test = reward_catalog(src, (REDEEMED_CODE_GAME,)), F.when(F.col("state") == 1, 1).otherwise(0)
     carry = ("metadata", "code_redeem")
-    win_rows = counted_wins(src, as_of, catalog, is_test, carry, exclude=False).unionByName(
-        failed_wins(src, catalog, is_test, carry))
+    win_rows = counted_wins(src, as_of, catalog, is_test, carry, excluded is not None, dedupe, excluded).unionByName(
+        failed_wins(src, catalog, is_test, carry, dedupe))
     placed = with_place(win_rows, src.provinces).withColumnRenamed("code_redeem", "redeemed")
     paired = pair_by_key(code_rows, stage(placed, "wins"), "redeemed", **pairing)
     return (
@@ -172,16 +175,13 @@ def mart_game_by_code(src: GameSources, as_of: datetime, *, local_credits: bool
 
 
 def mart_game_region(src: GameSources, as_of: datetime, *, dedupe: bool = False,
-                     local_credits: bool = True, **pairing) -> DataFrame:
-    """One game with the region of each win, failed requests included.
-
-    Marts may exclude different wins; each takes its list from ``src.excluded_wins``.
-    """
+                     local_credits: bool = True, excluded: DataFrame | None = None, **pairing) -> DataFrame:
+    """One game with the region of each win, failed requests included."""
     local_at = F.col("local_at")
     catalog = reward_catalog(src, tuple(REGION_GIFTS.values()))
     win_test = window_flag(local_at, REGION_WIN_WINDOWS, named_test_or(1))
     credit_rows = spin_credits(src, as_of, ALL_SITES, REGION_GIFTS,
                           window_flag(local_at, REGION_CREDIT_WINDOWS, 1), local_credits)
-    win_rows = counted_wins(src, as_of, catalog, win_test, ("region",), dedupe=dedupe).unionByName(
-        failed_wins(src, catalog, win_test, ("region",)))
+    win_rows = counted_wins(src, as_of, catalog, win_test, ("region",), dedupe=dedupe, excluded=excluded).unionByName(
+        failed_wins(src, catalog, win_test, ("region",), dedupe))
     return _pair(credit_rows, win_rows, **pairing).select(*GAME_COLUMNS, "region")

@@ -21,10 +21,6 @@ DAILY_NOTE = f"{GREETING}\n{INDENT}\n<b>xincamon!</b>"
 MISSING_AGENT = "None"
 EMPTY_TABLE = f"Empty DataFrame\nColumns: [{AGENT_TITLE}, {COUNT_TITLE}]\nIndex: []"
 
-AGENTS_PER_MESSAGE = 1_000
-# Agents that one task may sort for the message.
-AGENTS_SORTED_AT_ONCE = 100_000
-
 
 def asked(messages: DataFrame, pattern: str, start: date, end: date, half_open: bool = False,
           role: str = "user") -> DataFrame:
@@ -106,12 +102,10 @@ def report_backfill(messages: DataFrame, conversations: DataFrame, users: DataFr
     )
 
 
-def report_message(report: DataFrame, day: date, agents_per_message: int = AGENTS_PER_MESSAGE,
-                   limit: int = AGENTS_SORTED_AT_ONCE) -> DataFrame:
-    """(part, body): the report as message text with a right-aligned table.
+def report_lines(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(summary, lines): the right-aligned table of a report as rows (pos, line), of any length.
 
-    A report of up to ``agents_per_message`` agents is one message. A longer one goes on in further
-    parts, so that no task ever builds a text of unbounded size.
+    The summary is one row: total, agents, and the widths of the two columns.
     """
     agents = stage(report.select("email", "n_questions"), "agents")
     name, count = F.coalesce("email", F.lit(MISSING_AGENT)), F.col("n_questions").cast("string")
@@ -122,19 +116,26 @@ def report_message(report: DataFrame, day: date, agents_per_message: int = AGENT
         F.greatest(F.max(F.length(name)), F.lit(len(AGENT_TITLE))).alias("name_width"),
         F.greatest(F.max(F.length(count)), F.lit(len(COUNT_TITLE) + 1)).alias("count_width"),
     )
+    ranked = rank_within(agents, [], [F.desc("n_questions"), F.asc_nulls_last("email")], "pos")
+    lines = ranked.select("pos", F.concat(
+        F.lpad(name, summary.select("name_width").scalar(), F.lit(" ")), F.lit(" "),
+        F.lpad(count, summary.select("count_width").scalar(), F.lit(" "))).alias("line"))
+    return summary, lines
 
-    def line(left: Column, right: Column, widths: DataFrame) -> Column:
-        return F.concat(
-            F.lpad(left, widths.select("name_width").scalar(), F.lit(" ")), F.lit(" "),
-            F.lpad(right, widths.select("count_width").scalar(), F.lit(" ")))
 
-    ranked = rank_within(agents, [], [F.desc("n_questions"), F.asc_nulls_last("email")], "pos", limit)
-    tables = (
-        ranked.withColumn("line", line(name, count, summary))
-        .groupBy(F.floor((F.col("pos") - 1) / agents_per_message).cast("long").alias("part"))
-        .agg(F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY pos)").alias("lines"))
-    )
-    last_part = F.greatest(F.ceil(F.col("n_agents") / agents_per_message).cast("long") - 1, F.lit(0))
+def report_message(report: DataFrame, day: date, agents_per_message: int | None = None) -> DataFrame:
+    """(part, body): the report as one message text with a right-aligned table.
+
+    A caller whose service limits the length of a message can ask for parts of ``agents_per_message`` agents
+    each, all with heading and total. ``report_lines`` has the table as rows.
+    """
+    summary, lines = report_lines(report)
+    part, last_part = F.lit(0).cast("long"), F.lit(0).cast("long")
+    if agents_per_message is not None:
+        part = F.floor((F.col("pos") - 1) / agents_per_message).cast("long")
+        last_part = F.greatest(F.ceil(F.col("n_agents") / agents_per_message).cast("long") - 1, last_part)
+    tables = lines.groupBy(part.alias("part")).agg(
+        F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY pos)").alias("lines"))
     titles = F.concat(
         F.expr(f"lpad('{AGENT_TITLE}', name_width)"), F.lit(" "), F.expr(f"lpad('{COUNT_TITLE}', count_width)"))
     return (

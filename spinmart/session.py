@@ -2,6 +2,7 @@
 
 from pyspark.sql import SparkSession
 
+from spinmart.operators.staging import own_folder
 
 # The rank pairing join may reuse the shuffle of its own window, one exchange per side in place of
 # two. Heavy users do not make that uneven: ``pair_nth`` joins them apart, on the rank as well.
@@ -27,6 +28,8 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local") and "spark.checkpoint.dir" not in extra:
+            extra = {**extra, "spark.checkpoint.dir": own_folder()}
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in extra.items():

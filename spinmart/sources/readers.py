@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from spinmart.sinks.tables import SHEET_OPTIONS
+
 
 def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
     """A catalog table (``db.table``) or, with a schema, a parquet folder."""
@@ -41,5 +43,9 @@ def read_sheet(spark: SparkSession, folder: str, schema: StructType) -> DataFram
 
     The header decides where a column is; a cell that is no value of the column's type is NULL.
     """
-    cells = spark.read.option("header", True).csv(folder)
-    return cells.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema])
+    cells = spark.read.options(**SHEET_OPTIONS).csv(folder)
+
+    def text(name: str):
+        return F.when(F.col(name).startswith("\\"), F.substring(name, 2, 2_147_483_647)).otherwise(F.col(name))
+
+    return cells.select(*[text(field.name).try_cast(field.dataType).alias(field.name) for field in schema])

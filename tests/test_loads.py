@@ -3,7 +3,12 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned, load_all
+from spinmart.plans.incremental_load import (
+    incremental_load,
+    incremental_load_partitioned,
+    load_all,
+    touched_rows,
+)
 from spinmart.sinks.tables import append_to_mart, write_export, write_outbox, write_stage
 from spinmart.sources.changes import CHANGE_STAMPS, LoadConfig, changed_between, choose_tables
 from spinmart.sources.readers import query_options, read_sheet, read_table
@@ -149,3 +154,31 @@ def test_query_options_of_a_remote_read():
 def test_table_from_the_catalog(spark):
     spark.range(3).createOrReplaceTempView("three")
     assert read_table(spark, "three").count() == 3
+
+
+def test_partitioned_load_refuses_a_moved_row(spark, tmp_path):
+    config = LoadConfig.for_source("postgres", "shop", "t")
+    path, created_day = str(tmp_path / "target"), F.to_date("created_at")
+    source = spark.createDataFrame([(4, "moved", day(11), day(8))], STAMPED).withColumn("d", created_day)
+    spark.createDataFrame(TARGET, STAMPED).withColumn("d", created_day).write.partitionBy("d").parquet(path)
+    with pytest.raises(ValueError, match="d changed"):
+        incremental_load_partitioned(spark, source, config, LO, HI, str(tmp_path / "stage"), path, "d")
+
+
+def test_partitioned_load_prunes_the_target_at_run_time(spark, tmp_path, plan_of):
+    path = str(tmp_path / "target")
+    spark.range(200).selectExpr("id", "CAST(id % 20 AS INT) AS d").write.partitionBy("d").parquet(path)
+    staged = spark.createDataFrame([(1, 3), (2, 3), (3, 5)], "id long, d int")
+    got = touched_rows(spark.read.parquet(path), staged, "d")
+    assert "dynamicpruning" in plan_of(got).lower() and got.count() == 20
+
+
+ODD_CELLS = [(1, " pad "), (2, "a\nb"), (3, ""), (4, None), (5, 'q"x'), (6, "\\N"), (7, "a\r\nb, c"), (8, "\\"), (None, '"'),
+             (10, "\t"), (11, 'x\\"y'), (12, "\\\\N"), (13, "#c")]
+
+
+def test_exported_cells_come_back_as_they_were(spark, rows, tmp_path):
+    df = spark.createDataFrame(ODD_CELLS, RECIPIENTS)
+    for order in (None, ["id"]):
+        write_export(df, str(tmp_path / "sheet"), order)
+        assert rows(read_sheet(spark, str(tmp_path / "sheet"), RECIPIENTS)) == rows(df)

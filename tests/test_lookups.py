@@ -148,3 +148,13 @@ def test_rows_without_a_key_are_spread_by_the_join(spark, tmp_path, plan_of):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "_spread" in plan.split("hashpartitioning(")[1].split(")")[0]
     assert sum(sizes) == 1000
+
+
+@pytest.mark.parametrize("bound", [1, 1_000_000])
+def test_rows_without_a_key_are_one_key_of_an_upsert(spark, rows, bound):
+    schema = "id int, v string, stamp int"
+    target = spark.createDataFrame([(None, "old", 1), (1, "a", 1)], schema)
+    staged = spark.createDataFrame([(None, "new", 2), (None, "older", 0)], schema)
+    once = upsert_latest(target, staged, "id", ["stamp"], bound)
+    assert rows(once) == [(1, "a", 1), (None, "new", 2)]
+    assert rows(upsert_latest(once, staged, "id", ["stamp"], bound)) == rows(once)

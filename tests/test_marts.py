@@ -296,3 +296,28 @@ def test_sources_from_catalog_tables(spark, rows):
         getattr(src, name).createOrReplaceTempView(f"shop_{name}")
     named = GameSources.from_tables(spark, {name: f"shop_{name}" for name in TABLES})
     assert rows(marts.mart_game(named, AS_OF), "cart_detail_id") == [(11,)]
+
+
+def test_each_mart_may_exclude_its_own_wins(spark, rows):
+    src = sources(spark, wins=[win(1), win(2), win(3)], excluded_wins=[(1,)])
+    own = spark.createDataFrame([(3,)], "id long")
+    assert rows(marts.mart_game(src, AS_OF), "customer_rewards_id") == [(2,), (3,)]
+    assert rows(marts.mart_game(src, AS_OF, excluded=own), "customer_rewards_id") == [(1,), (2,)]
+
+
+def test_dedupe_covers_failed_wins(spark, rows):
+    src = sources(spark, **FAILED)
+    catalog = reward_catalog(src, (23,))
+    assert rows(failed_wins(src, catalog, F.lit(0), dedupe=True), "customer_rewards_id") == [(2,)]
+    got = marts.mart_game_failed_included(src, AS_OF, dedupe=True)
+    assert rows(got.where("customer_rewards_id = 2"), "customer_rewards_id") == [(2,)]
+
+
+def test_few_jobs_run_while_a_mart_is_planned(spark):
+    """Sizes and counts are taken while tables are staged, and plain scans are not staged."""
+    src, context = sources(spark, **FAILED), spark.sparkContext
+    for build, most in ((marts.mart_game, 24), (marts.mart_game_failed_included, 34)):
+        context.setJobGroup(build.__name__, build.__name__)
+        build(src, AS_OF)
+        assert len(context.statusTracker().getJobIdsForGroup(build.__name__)) <= most
+    context.setLocalProperty("spark.jobGroup.id", None)

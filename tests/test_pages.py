@@ -1,3 +1,5 @@
+import html
+
 import pytest
 
 from spinmart.plans.admin_units import admin_units, export_admin_units
@@ -40,11 +42,29 @@ def test_line_breaks_and_spaces(spark, read):
     assert [r.cells for r in read(pages(spark, page)).collect()] == [["a b\nc d", ""]]
 
 
-def test_script_text_is_no_cell_text(spark):
-    got = html_rows_nested(pages(spark, "<table><tr><td>a<script>var x = '<td>';</script></td></tr></table>"))
+@pytest.mark.parametrize("read", [html_rows, html_rows_nested])
+def test_script_text_is_no_cell_text(spark, read):
+    got = read(pages(spark, "<table><tr><td>a<script>var x = '<td>';</script><STYLE>td{}</STYLE></td></tr></table>"))
     assert [r.cells for r in got.collect()] == [["a"]]
 
 
+def test_end_tags_left_out_by_expressions(spark):
+    loose = "<table><tr><td>a<td class=x>b<tr><td>c</tr><tr><td>d</table> after"
+    got = html_rows(pages(spark, loose)).orderBy("pos").collect()
+    assert [r.cells for r in got] == [["a", "b"], ["c"], ["d"]]
+
+
+REFERENCES = ["H&#224; N&#7897;i", "&#xE9;&#XE9;&eacute;&eacute", "&#128512;&#x1F600;", "a &amp;lt; b", "&lt;td&gt;", "R&D &unknown; & &",
+              "&#0;&#xD800;&#1114112;", "&#147;x&#148;&#129;", "&NotEqualTilde;&fjlig;", "&amp&copy", "&#65;&#066;&#x043;", "&#;&#x;"]
+
+
+@pytest.mark.parametrize("text", REFERENCES)
+def test_character_references(spark, text):
+    """As the standard library reads them, white space aside."""
+    (row,) = html_rows(pages(spark, f"<tr><td>{text}</td></tr>")).collect()
+    assert row.cells == [html.unescape(text)]
+
+
 def test_admin_units_reorder_cells_and_pad_short_rows(spark):
     got = admin_units(pages(spark, FLAT)).orderBy("pos").collect()
     assert tuple(got[0])[2:] == ("01", "Province A", "001", "District One", "00001", "Ward & Co")

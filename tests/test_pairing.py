@@ -174,3 +174,42 @@ def test_codes_with_defaults(spark, rows, limit):
     assert rows(got, "code", "l", "r") == sorted(
         [("a", 1, -1), ("b", None, 2), ("c", 0, None), (None, 3, -1)] + [("cold", 0, 5)] * 4 + [("hot", 4, -1)] * 5,
         key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """Small partitions are not merged, and small sides not broadcast, as with large tables."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def largest_task(df):
+    """Rows of the fullest partition of a result."""
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_hot_user_ranked_by_other_keys_is_cut_up(spark, plain_shuffles):
+    """Many site users share one user id, so all their rows have rank 1: no task gets them all."""
+    credits = [("hot" if n % 10 else f"u{n}", 1, f"s{n}", n) for n in range(40_000)]
+    wins = [("hot", 1, n) for n in range(50)]
+    left = spark.createDataFrame(credits, "uid string, game_id int, site string, credit int")
+    right = spark.createDataFrame(wins, "uid string, game_id int, win int")
+    got = pair_nth(left, right, ["uid", "game_id"], ["credit"], ["win"], left_rank_keys=["site"], limit=5_000)
+    assert largest_task(got) <= 8_000
+    assert got.where("rn = 1 AND uid = 'hot' AND win = 0").count() == 36_000
+    assert got.where("rn IS NULL").count() == 49 and got.count() == 40_049
+
+
+def test_fertile_code_is_cut_up(spark, plain_shuffles):
+    """300 rows on each side are 90,000 pairs, far below the limit per side."""
+    left = spark.createDataFrame([("c", n) for n in range(300)] + [(None, -1), ("l", -2)], "code string, a int")
+    right = spark.createDataFrame([("c", n) for n in range(300)] + [(None, -1), ("r", -2)], "code string, b int")
+    got = pair_by_key(left, right, "code", limit=10_000)
+    assert got.count() == 90_004 and got.where("code = 'c'").distinct().count() == 90_000
+    assert largest_task(got) <= 40_000

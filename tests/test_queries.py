@@ -73,7 +73,7 @@ def test_query_on_skewed_tables_through_slices(spark, plan_of, skewed_folder, mo
     found = []
     real = ranking.heavy_groups
 
-    def low_limit(frames, keys, limit=0):
+    def low_limit(frames, keys, limit=0, estimate=0):
         found.append(real(frames, keys, 20))
         return found[-1]
 

@@ -75,13 +75,26 @@ def test_heavy_in_any_frame(spark, rows):
     assert heavy_groups([left, right], ["uid"], 5) is None
 
 
-def test_longest_heavy_groups_come_first_when_the_list_is_full(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "HEAVY_LIST_LIMIT", 1)
-    data = [("a", 1, n, "x") for n in range(9)] + [("b", 1, n, "x") for n in range(6)]
+def test_every_heavy_group_is_sliced_however_many_there_are(spark, monkeypatch):
+    """Nothing bounds the list, and nothing collects it; a broadcast limit of 0 bytes changes no row."""
+    data = [(f"u{u}", 1, n, "x") for u in range(300) for n in range(4)] + [("small", 1, 0, "x")]
     df = spark.createDataFrame(data, SCHEMA)
-    assert [r.uid for r in heavy_groups([df], ["uid"], 3).collect()] == ["a"]
-    got = rank_within(df, ["uid"], ["id"], limit=3)
-    assert {(r.uid, r.id, r.rn) for r in got.collect()} == {(u, n, n + 1) for u, _, n, _ in data}
+    assert heavy_groups([df], ["uid"], 3).count() == 300
+    sliced = []
+    real = ranking.rank_by_slices
+    monkeypatch.setattr(ranking, "rank_by_slices", lambda part, *rest: sliced.append(part.count()) or real(part, *rest))
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr("spinmart.operators.sizing.BROADCAST_BYTES", limit)
+        got = rank_within(df, ["uid"], ["id"], limit=3)
+        assert {(r.uid, r.id, r.rn) for r in got.collect()} == {(u, n, n + 1) for u, _, n, _ in data}
+    assert sliced == [1200, 1200]
+
+
+def test_rows_without_keys_are_ranked_by_slices(spark, monkeypatch, plan_of):
+    df = spark.createDataFrame([("u", 1, n * 7 % 900, "x") for n in range(900)], SCHEMA)
+    got = rank_within(df, [], [F.desc("id")])
+    assert "SinglePartition" not in plan_of(got)
+    assert {(r.id, r.rn) for r in got.collect()} == {(n, 900 - n) for n in range(900)}
 
 
 def test_split_keeps_every_row_once(spark):
@@ -96,8 +109,10 @@ def test_slices_hold_about_the_limit(spark, monkeypatch):
     staged = []
 
     def keep(df, label):
-        staged.append(stage(df, label))
-        return staged[-1]
+        table = stage(df, label)
+        if label == "slices":
+            staged.append(table)
+        return table
 
     monkeypatch.setattr(ranking, "stage", keep)
     df = spark.createDataFrame([("hot", 1, n, "x") for n in range(8000)], SCHEMA).repartition(6)

@@ -96,11 +96,19 @@ def test_message_widths(spark, agents):
     assert [r.body for r in got] == [expected_text(agents, sum(n for _, n in agents), "2024-01-06")]
 
 
-@pytest.mark.parametrize("limit", [5, 100_000])
-def test_long_report_goes_on_in_parts(spark, limit):
+def test_long_report_is_one_message_unless_asked_otherwise(spark):
+    agents = [(f"agent{n:04d}@x", 9_000 - n) for n in range(1_500)]
+    df = spark.createDataFrame(agents[::-1], "email string, n_questions bigint")
+    (row,) = report.report_message(df, date(2024, 1, 6)).collect()
+    assert row.body == expected_text(agents, sum(n for _, n in agents), "2024-01-06")
+    _, lines = report.report_lines(df)
+    assert [r.line.split()[0] for r in lines.orderBy("pos").collect()] == [name for name, _ in agents]
+
+
+def test_long_report_goes_on_in_parts(spark):
     agents = [(f"agent{n:02d}@x", 100 - n) for n in range(25)]
     df = spark.createDataFrame(agents[::-1], "email string, n_questions bigint")
-    parts = report.report_message(df, date(2024, 1, 6), 10, limit)
+    parts = report.report_message(df, date(2024, 1, 6), 10)
     bodies = [r.body for r in report.report_outbox(parts, "chat").collect()]
     lines = [body.split("<pre>")[1].removesuffix("</pre>").split("\n")[1:] for body in bodies]
     assert [len(part) for part in lines] == [10, 10, 5]

@@ -103,3 +103,32 @@ def test_ntz_literal_takes_zoned_and_plain_times(spark):
     zoned = datetime(2024, 1, 1, 7, tzinfo=UTC)
     row = spark.range(1).select(ntz(zoned), ntz("2024-01-01 07:00:00")).collect()[0]
     assert row[0] == row[1] == datetime(2024, 1, 1, 7)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_window_table_with_open_keys(spark, plan_of, limit):
+    """Windows on both keys, on one and on none; the first that holds decides, as in the chain of tests."""
+    windows = (
+        CampaignWindow(2, "2024-01-02 00:00:00", "2024-01-04 00:00:00", {"site": 1, "gift": 7}),
+        CampaignWindow(3, "2024-01-01 00:00:00", None, {"site": 1}),
+        CampaignWindow(4, None, "2024-01-03 00:00:00"),
+        CampaignWindow(5, "2024-01-05 00:00:00", "2024-01-06 00:00:00", {"gift": 7}),
+    )
+    data = [(n, site, gift, datetime(2024, 1, day)) for n, (site, gift, day) in enumerate(
+        (s, g, d) for s in (1, 2, None) for g in (7, 8, None) for d in range(1, 8))]
+    df = spark.createDataFrame(data, "id int, site int, gift long, t timestamp_ntz")
+    keys = T.StructType([T.StructField("site", T.IntegerType()), T.StructField("gift", T.LongType())])
+    got = flag_by_window_table(df, windows_table(spark, windows, keys), ["site", "gift"], "t", 0, "flag", limit)
+    want = df.withColumn("flag", window_flag(F.col("t"), windows, 0))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
+
+
+def test_window_tables_have_no_cap(spark):
+    many = [CampaignWindow(n, f"2024-01-01 00:{n // 60 % 60:02d}:{n % 60:02d}", f"2024-01-01 00:{(n + 1) // 60 % 60:02d}:{(n + 1) % 60:02d}",
+                           {"game_id": n}) for n in range(12_000)]
+    many = [CampaignWindow(n, w.lo, None, w.keys) for n, w in enumerate(many)]
+    table = windows_table(spark, many, T.StructType([T.StructField("game_id", T.IntegerType())]))
+    df = spark.createDataFrame([(11_999, datetime(2024, 2, 1)), (12_000, datetime(2024, 2, 1))], "game_id int, t timestamp_ntz")
+    got = flag_by_window_table(df, table, ["game_id"], "t", -1, "flag")
+    assert {(r.game_id, r.flag) for r in got.collect()} == {(11_999, 11_999), (12_000, -1)}
