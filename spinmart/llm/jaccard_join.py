@@ -52,7 +52,9 @@ SHINGLE_WORDS = 5
 # Links have 100 * intersection >= 80 * union; two sets then differ in at most (|r| + |s|) / NINTH elements, and the
 # larger is at most 5/4 of the smaller.
 NINTH = 9
-BUCKETS = 64
+MIN_BUCKET_BITS = 4
+# Rounds in which lists are compared with one hub, another one each time.
+HUB_ROUNDS = 2
 # Rows of one list that one task compares with each other.
 CHUNK = 512
 # Expected cost of a segment that holds one shingle only, against one index entry.
@@ -125,8 +127,12 @@ class Sets:
                 hashes.append(mix(value, np.full(len(value), length, np.uint64)))
                 docs.append(short)
         h, d = np.concatenate(hashes), np.concatenate(docs)
-        order = np.lexsort((h, d))
-        h, d = h[order], d[order]
+        if len(hashes) > 1:
+            order = np.argsort(d, kind="stable")
+            h, d = h[order], d[order]
+        ends = np.searchsorted(d, np.arange(len(texts) + 1)).tolist()
+        for a, b in zip(ends, ends[1:]):
+            h[a:b].sort()
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
         self.h, self.d = h[new], d[new]
@@ -149,8 +155,11 @@ class Sets:
         return ids, full[first]
 
     def buckets(self, doc: int) -> bytes:
-        """Shingles per bucket; the sum of differences is at most the difference of the sets."""
-        return np.bincount((self.of(doc) >> np.uint64(58)).astype(np.int64), minlength=BUCKETS).astype("<i4").tobytes()
+        """Shingles per bucket, with about as many buckets as shingles. The sum of the differences of two sets' counts is at
+        most the difference of the sets, also where counts are cut off at 255."""
+        bits = max(MIN_BUCKET_BITS, int(self.n[doc]).bit_length() - 1)
+        at = (self.of(doc) >> np.uint64(64 - bits)).astype(np.int64)
+        return np.minimum(np.bincount(at, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
 class Entries:
@@ -310,22 +319,34 @@ def list_sets(docs: DataFrame) -> DataFrame:
     return stage(finish(dealt, both, listed, MEMBER), "jaccard-sets")
 
 
+def folded(buckets: bytes, size: int) -> np.ndarray:
+    """Counts of ``size`` buckets, from as many or more."""
+    return np.minimum(np.frombuffer(buckets, np.uint8).reshape(size, -1).sum(axis=1), 255).astype(np.int16)
+
+
 def verify(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` of set ids that link."""
-    texts = members.select(F.col("set_id").alias("_id"), F.col("text").alias("_text"))
-    joined = (pairs.join(texts.withColumnRenamed("_text", "text_a"), F.col("a") == F.col("_id")).drop("_id")
-              .join(texts.withColumnRenamed("_text", "text_b"), F.col("b") == F.col("_id")).drop("_id"))
+    """The pairs ``a``, ``b`` of set ids that link: by bucket counts first, then by the shingles of both texts."""
+    texts = members.select(F.col("set_id").alias("_id"), F.struct(
+        F.col("n_shingles").alias("n"), "buckets", "text").alias("_set"))
+    joined = (pairs.join(texts.withColumnRenamed("_set", "set_a"), F.col("a") == F.col("_id")).drop("_id")
+              .join(texts.withColumnRenamed("_set", "set_b"), F.col("b") == F.col("_id")).drop("_id"))
 
     def link(batches):
         last, mine = None, None
         for batch in batches:
             keep = []
-            sides = [batch.column(c).cast(pa.binary()) for c in ("text_a", "text_b")]
+            a, b = ([batch.column(c).field(f) for f in ("n", "buckets", "text")] for c in ("set_a", "set_b"))
+            sizes = [x[0].to_numpy(zero_copy_only=False) for x in (a, b)]
+            most = ((sizes[0] + sizes[1]) // NINTH).tolist()
             for i in range(batch.num_rows):
-                a, b = sides[0][i].as_py(), sides[1][i].as_py()
-                if a != last:
-                    last, mine = a, Sets([a]).h
-                other = Sets([b]).h
+                x, y = a[1][i].as_py(), b[1][i].as_py()
+                least = min(len(x), len(y))
+                if np.abs(folded(x, least) - folded(y, least)).sum() > most[i]:
+                    continue
+                text = a[2][i].as_py()
+                if text != last:
+                    last, mine = text, Sets([text.encode()]).h
+                other = Sets([b[2][i].as_py().encode()]).h
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 if 100 * both >= 80 * (len(mine) + len(other) - both):
                     keep.append(i)
@@ -339,7 +360,8 @@ def near(sizes: list, labels: list, asks: list, chunks: list, buckets: list, ids
     """Pairs of one list that are of different components, asked for, and not excluded by size or bucket counts."""
     n, label, asked = np.array(sizes), np.array(labels), np.array(asks, bool)
     chunk, name = np.array(chunks), np.array(ids)
-    counts = np.frombuffer(b"".join(buckets), "<i4").reshape(-1, BUCKETS)
+    least = min(map(len, buckets))  # larger counts are folded to the fewest buckets
+    counts = np.stack([folded(b, least) for b in buckets])
     two = len(np.unique(chunk)) > 1
     found = []
     for i in range(len(n) - 1):
@@ -354,16 +376,31 @@ def near(sizes: list, labels: list, asks: list, chunks: list, buckets: list, ids
     return found
 
 
-def cross_pairs(entries: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
+def open_entries(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Entries of the lists in which someone asks and that hold more than one component, with their labels. Staged."""
+    labelled = entries.withColumn("label", F.col("set_id"))
+    if labels is not None:
+        labelled = entries.drop("label").join(labels, F.col("set_id") == F.col("node"), "left").select(
+            "key", "asks", "set_id", "n", F.coalesce("label", "set_id").alias("label"))
+    lists = labelled.groupBy("key").agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("asks").alias("_asks"))
+    return stage(labelled.join(lists.where("_low <> _high AND _asks").select("key"), "key"), "jaccard-entries")
+
+
+def hub_pairs(entries: DataFrame, turn: int) -> DataFrame:
+    """Each entry with its list's hub, where the two are of different components and sizes allow a link."""
+    order = F.col("set_id") if turn == 0 else F.xxhash64("set_id", F.lit(turn))
+    hubs = entries.groupBy("key").agg(F.min_by(F.struct("set_id", "n", "label"), order).alias("hub"))
+    return entries.join(hubs, "key").where(
+        (F.col("label") != F.col("hub.label")) & (F.col("n") * 5 >= F.col("hub.n") * 4)
+        & (F.col("hub.n") * 5 >= F.col("n") * 4)).select(
+        F.col("hub.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
+
+
+def cross_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs of sets in different components that share a list in which one of them asks."""
-    labelled = entries.join(labels, F.col("set_id") == F.col("node"), "left").select(
-        "key", "set_id", "asks", F.coalesce("label", "set_id").alias("label"))
-    open_lists = labelled.groupBy("key").agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("asks").alias("_asks"),
-        F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_chunks")).where("_low <> _high AND _asks").drop(
-        "_low", "_high", "_asks")
-    rows = labelled.join(open_lists, "key").join(
-        members.select("set_id", F.col("n_shingles").alias("n"), "buckets"), "set_id")
+    chunks = entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_chunks"))
+    rows = entries.join(chunks, "key").join(members.select("set_id", "buckets"), "set_id")
     chunk = F.pmod(F.xxhash64("set_id"), F.col("_chunks")).cast("int")
     # A list of several chunks is compared chunk by chunk, each pair of chunks by itself.
     rows = rows.withColumn("_chunk", chunk).withColumn(
@@ -387,20 +424,18 @@ def cross_pairs(entries: DataFrame, labels: DataFrame, members: DataFrame) -> Da
 def link_sets(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(verified links ``a``, ``b`` that span every component, labels ``node``, ``label``)."""
     members = found.where("keys IS NOT NULL")
-    entries = members.select("set_id", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("keys", "asks")).alias("_e")).select(
+    entries = members.select(
+        "set_id", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("keys", "asks")).alias("_e")).select(
         F.col("_e.keys").alias("key"), F.col("_e.asks").alias("asks"), "set_id", "n")
-    hubs = entries.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("_hub"), F.max("asks").alias("_asks")).where("_asks")
-    pairs = entries.join(hubs, "key").where(
-        (F.col("set_id") != F.col("_hub.set_id")) & (F.col("n") * 5 >= F.col("_hub.n") * 4)
-        & (F.col("_hub.n") * 5 >= F.col("n") * 4)).select(
-        F.col("_hub.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = stage(verify(pairs, members), "jaccard-links")
-    labels = stage(connect(links), "jaccard-labels")
-    more = stage(verify(cross_pairs(entries.drop("n"), labels, members), members), "jaccard-links")
-    links = links.unionByName(more)
-    if more.isEmpty():
-        return links, labels
-    return links, stage(connect(links), "jaccard-labels")
+    links = labels = None
+    for turn in range(HUB_ROUNDS + 1):
+        entries = open_entries(entries, labels)  # lists of one component are done with
+        pairs = hub_pairs(entries, turn) if turn < HUB_ROUNDS else cross_pairs(entries, members)
+        more = stage(verify(pairs, members), "jaccard-links")
+        links = more if links is None else links.unionByName(more)
+        if labels is None or not more.isEmpty():
+            labels = stage(connect(links), "jaccard-labels")
+    return links, labels
 
 
 def find_components(docs: DataFrame) -> DataFrame:
