@@ -28,7 +28,7 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
     )
     if master:
         builder = builder.master(master)
-        if master.startswith("local") and "spark.checkpoint.dir" not in extra:
+        if master.startswith("local") and "cluster" not in master and "spark.checkpoint.dir" not in extra:
             extra = {**extra, "spark.checkpoint.dir": own_folder()}
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
