@@ -119,6 +119,16 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Values with their byte planes apart, after the size of one: small numbers leave planes of zeros."""
+    size = values.dtype.itemsize
+    return bytes([size]) + np.ascontiguousarray(values).view(np.uint8).reshape(-1, size).T.tobytes()
+
+
+def unplanes(data: bytes) -> bytes:
+    return np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1).T.tobytes()
+
+
 def cut(keys: np.ndarray, shards: int) -> np.ndarray:
     """Where each shard's range starts and ends within sorted keys."""
     edges = np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)
@@ -133,7 +143,7 @@ def questions(block: int, keys: np.ndarray, extra: np.ndarray, shards: int) -> p
         "shard": pa.array(used.astype(np.int32)),
         "block": pa.array(np.full(len(used), block, np.int32)),
         "keys": pa.array([pack(keys[at[s]:at[s + 1]]) for s in used], pa.binary()),
-        "extra": pa.array([extra[at[s]:at[s + 1]].tobytes() for s in used], pa.binary()),
+        "extra": pa.array([planes(extra[at[s]:at[s + 1]]) for s in used], pa.binary()),
     })
 
 
@@ -155,12 +165,12 @@ def ask(dealt: DataFrame, question: Callable[[pa.Table], tuple[np.ndarray, np.nd
 
     def answer(table):
         keys = [unpack(x) for x in table.column("keys").to_pylist()]
-        values = [np.frombuffer(x, extra) for x in table.column("extra").to_pylist()]
+        values = [np.frombuffer(unplanes(x), extra) for x in table.column("extra").to_pylist()]
         replies = reply(np.concatenate(keys), np.concatenate(values))
         ends = np.cumsum([len(x) for x in keys])[:-1]
         return pa.table({
             "block": table.column("block"), "shard": table.column("shard"),
-            "answer": pa.array([x.tobytes() for x in np.split(replies, ends)], pa.binary()),
+            "answer": pa.array([planes(x) for x in np.split(replies, ends)], pa.binary()),
         })
 
     grouped = dealt.groupBy("_block")
@@ -173,7 +183,7 @@ def joined(answers: pa.Table) -> bytes:
     """The answers of a block in the order of its sorted keys."""
     order = np.argsort(answers.column("shard").to_numpy())
     parts = answers.column("answer").to_pylist()
-    return b"".join(parts[i] for i in order)
+    return b"".join(unplanes(parts[i]) for i in order)
 
 
 def finish(dealt: DataFrame, answers: DataFrame, function: Callable[[pa.Table, bytes], pa.Table], schema) -> DataFrame:

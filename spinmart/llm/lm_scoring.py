@@ -36,6 +36,7 @@ from spinmart.llm.blocks import (
     split_words,
     texts_of,
     unpack,
+    unplanes,
 )
 
 # Share of the bigram in a state's arcs.
@@ -92,7 +93,7 @@ def training_size(docs: DataFrame, shards: int, folds: int = FOLDS, held_out: in
 
     def total(table):
         keys = np.concatenate([unpack(x) for x in table.column("keys").to_pylist()])
-        n = sum(int(np.frombuffer(x, np.uint32).sum(dtype=np.int64)) for x in table.column("extra").to_pylist())
+        n = sum(int(np.frombuffer(unplanes(x), np.uint32).sum(dtype=np.int64)) for x in table.column("extra").to_pylist())
         return pa.table({"n": pa.array([n], pa.int64()), "v": pa.array([len(np.unique(keys))], pa.int64())})
 
     sums = (docs.select("doc_id", "text").mapInArrow(count, "shard int, block int, keys binary, extra binary")
@@ -111,7 +112,7 @@ def score_texts(docs: DataFrame, bigram: float = BIGRAM, folds: int = FOLDS, hel
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = count_blocks(docs)
-    shards = max(1, blocks // 4)
+    shards = max(1, blocks // 2)  # a block has more word pairs than other keys
     n_train, n_distinct = training_size(docs, shards, folds, held_out)
     dealt = deal(docs, blocks)
 
