@@ -356,12 +356,20 @@ def verify(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return joined.mapInArrow(link, "a long, b long")
 
 
-def near(sizes: list, labels: list, asks: list, chunks: list, buckets: list, ids: list) -> list[tuple[int, int]]:
-    """Pairs of one list that are of different components, asked for, and not excluded by size or bucket counts."""
-    n, label, asked = np.array(sizes), np.array(labels), np.array(asks, bool)
-    chunk, name = np.array(chunks), np.array(ids)
-    least = min(map(len, buckets))  # larger counts are folded to the fewest buckets
-    counts = np.stack([folded(b, least) for b in buckets])
+def first_common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """The smallest key of two sets' sorted keys in which one of them asks."""
+    keys, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return int(keys[a[1][i] | b[1][j]][0])
+
+
+def near(key: int, rows: dict[str, list]) -> list[tuple[int, int]]:
+    """Pairs of one list that are of different components, asked for, and not excluded by size or bucket counts.
+
+    A pair is given in the first of the lists that it shares, so once over all lists."""
+    n, label, asked = np.array(rows["n"]), np.array(rows["label"]), np.array(rows["asks"], bool)
+    chunk, name = np.array(rows["chunk"]), rows["set_id"]
+    least = min(map(len, rows["buckets"]))  # larger counts are folded to the fewest buckets
+    counts = np.stack([folded(b, least) for b in rows["buckets"]])
     two = len(np.unique(chunk)) > 1
     found = []
     for i in range(len(n) - 1):
@@ -372,7 +380,8 @@ def near(sizes: list, labels: list, asks: list, chunks: list, buckets: list, ids
         if len(rest):
             apart = np.abs(counts[rest] - counts[i]).sum(axis=1)
             for j in rest[apart <= (n[rest] + n[i]) // NINTH].tolist():
-                found.append((min(name[i], name[j]), max(name[i], name[j])))
+                if first_common(rows["profile"][i], rows["profile"][j]) == key:
+                    found.append((min(name[i], name[j]), max(name[i], name[j])))
     return found
 
 
@@ -400,25 +409,33 @@ def hub_pairs(entries: DataFrame, turn: int) -> DataFrame:
 def cross_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs of sets in different components that share a list in which one of them asks."""
     chunks = entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_chunks"))
-    rows = entries.join(chunks, "key").join(members.select("set_id", "buckets"), "set_id")
+    # A set's own keys, at most as many as it has shingles, tell the first list it shares with another.
+    keys = entries.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("key", "asks"))).alias("keys"))
+    profiles = keys.join(members.select("set_id", "buckets"), "set_id")
+    rows = entries.join(chunks, "key").join(profiles, "set_id")
     chunk = F.pmod(F.xxhash64("set_id"), F.col("_chunks")).cast("int")
     # A list of several chunks is compared chunk by chunk, each pair of chunks by itself.
     rows = rows.withColumn("_chunk", chunk).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).select(
         "key", F.least("_chunk", "_other").alias("_i"), F.greatest("_chunk", "_other").alias("_j"),
-        F.struct("n", "label", "asks", F.col("_chunk").alias("chunk"), "buckets", "set_id").alias("row"))
+        F.struct("n", "label", "asks", F.col("_chunk").alias("chunk"), "buckets", "keys", "set_id").alias("row"))
     groups = rows.groupBy("key", "_i", "_j").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
 
     def compare(batches):
         for batch in batches:
-            found = set()
-            for rows in batch.column("rows"):
+            found = []
+            for key, rows in zip(batch.column("key").to_pylist(), batch.column("rows")):
                 flat = rows.values
-                found.update(near(*[flat.field(c).to_pylist() for c in ("n", "label", "asks", "chunk", "buckets", "set_id")]))
+                values = {c: flat.field(c).to_pylist() for c in ("n", "label", "asks", "chunk", "buckets", "set_id")}
+                own = flat.field("keys")
+                ends, inner = own.offsets.to_numpy(), own.values
+                all_keys, all_asks = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("key", "asks"))
+                values["profile"] = [(all_keys[a:b], all_asks[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+                found += near(key, values)
             a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return groups.select("rows").mapInArrow(compare, "a long, b long").distinct()
+    return groups.select("key", "rows").mapInArrow(compare, "a long, b long").distinct()
 
 
 def link_sets(found: DataFrame) -> tuple[DataFrame, DataFrame]:
