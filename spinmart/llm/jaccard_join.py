@@ -428,7 +428,7 @@ def cross_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
                 flat = rows.values
                 values = {c: flat.field(c).to_pylist() for c in ("n", "label", "asks", "chunk", "buckets", "set_id")}
                 own = flat.field("keys")
-                ends, inner = own.offsets.to_numpy(), own.values
+                ends, inner = own.offsets.to_numpy() - own.offsets[0].as_py(), own.flatten()  # of this list only
                 all_keys, all_asks = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("key", "asks"))
                 values["profile"] = [(all_keys[a:b], all_asks[a:b]) for a, b in zip(ends[:-1], ends[1:])]
                 found += near(key, values)
