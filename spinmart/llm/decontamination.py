@@ -1,10 +1,11 @@
 """Find benchmark questions in documents, also with other numbers, names and units.
 
-Texts become templates: a number, a unit or a name inside a sentence turns into a typed placeholder, every other
-word into its lower-case form without punctuation. Windows of template words of the benchmark are joined
-with those of the documents by hash. Matches of one document and item on one diagonal (same distance between
-their places) are put together; they count if they cover enough words in a row and if the slots are consistent, each
-value of the item standing for one value of the document and the other way round.
+Texts are read in several forms (``FORMS``). As words, each is its lower-case form without punctuation. As templates, a
+number, a unit or a name inside a sentence turns into a typed placeholder besides. Every window of every form of the
+benchmark is joined with those of the documents by hash. Matches of one document and item in one form on one
+diagonal (same distance between their places) are put together; they count if they cover enough words in a row and if
+the slots are consistent, each value of the item standing for one value of the document and the other way round. Runs
+made mostly of placeholders must be longer, see ``judge``; their verbatim copies are found as words.
 
 A bitmap of fixed size, made from the benchmark's windows, spares nearly all document windows the join; what it lets
 through by chance, the join removes.
@@ -30,12 +31,16 @@ WINDOW_WORDS = 8
 LEAK_WORDS = 13
 # Items below this are too short to tell a leak from chance.
 LEAST_ITEM_WORDS = 5
-# Template words of a window that must not be placeholders, of eight.
+# Literals that a run needs at either end, in a window's words, or else in all. A nearly whole item needs a window's.
 LEAST_LITERALS = 4
+RUN_LITERALS = 7
 BITMAP_BITS = 22
 WORDS_KEPT = 1_000_000
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
+# Which kinds are placeholders in each form.
+WORDS, TEMPLATE = range(2)
+FORMS = {WORDS: (), TEMPLATE: (NUMBER, UNIT, NAME)}
 # Words read as numbers and as units.
 NUMBER_WORDS = frozenset(
     b"zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy "
@@ -46,7 +51,9 @@ UNIT_WORDS = frozenset(
     b"hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree "
     b"degrees".split())
 
-WINDOW = "hash long, place int, slots array<string>"
+# ``place`` counts slots, which are words or placeholders; ``start`` and ``end`` are the words that the window covers.
+WINDOW = "form int, width int, hash long, place int, start int, end int, slots array<string>"
+WINDOW_COLUMNS = [c.split()[0] for c in WINDOW.split(", ")]
 
 
 class Templates:
@@ -79,7 +86,7 @@ class Templates:
                                                              bool)])
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(word numbers, template hashes, kinds, words per text); bare punctuation is no word."""
+        """(word numbers, kinds, words per text); bare punctuation is no word."""
         if len(self.forms) > WORDS_KEPT:
             self.forget()
         number = self.place.__getitem__
@@ -95,57 +102,70 @@ class Templates:
         full = np.fromiter(map(len, self.forms), np.int64, len(self.forms))[words] > 0
         row = np.repeat(np.arange(len(texts)), counts)[full]
         words, kinds = words[full], kinds[full]
-        marks = hash_all([b"", b" number", b" unit", b" name"])
-        return words, np.where(kinds == LITERAL, self.hashes[words], marks[kinds]), kinds, np.bincount(
-            row, minlength=len(texts))
+        return words, kinds, np.bincount(row, minlength=len(texts))
 
-    def slots(self, words: np.ndarray, kinds: np.ndarray) -> list[str]:
-        """Values of a window's placeholders with their place and kind."""
-        return [f"{i} {kinds[i]} {self.forms[words[i]].decode('utf-8', 'replace')}" for i in np.flatnonzero(kinds).tolist()]
 
-
-def windows_of(templates: Templates, texts: list[bytes | None], widths: list[int]):
-    """For each width: hashes of the windows with enough literals, their texts, places, and a slot reader."""
-    words, hashes, kinds, counts = templates(texts)
-    starts = np.cumsum(counts) - counts
+def windows_of(templates: Templates, texts: list[bytes | None], widths: dict[int, list[int]]):
+    """For each form and width: its columns of ``WINDOW`` but the slots, as arrays over all windows, the text of
+    each, a reader of a window's slots (the values of its placeholders, with place and kind), and the slots per text."""
+    words, all_kinds, counts = templates(texts)
     row = np.repeat(np.arange(len(counts)), counts)
-    literals = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-    for width in widths:
-        found = window_hashes(hashes, width)
-        keep = inside(counts, width) & (
-            (literals[width:] - literals[:-width] if len(words) >= width else literals[:0]) * 8 >= LEAST_LITERALS * width)
-        at = np.flatnonzero(keep)
-        yield width, found[at], row[at], (at - starts[row[at]]), at, (
-            lambda i, width=width: templates.slots(words[i:i + width], kinds[i:i + width])), counts
+    starts = np.cumsum(counts) - counts
+    marks = hash_all([b"", b" number", b" unit", b" name"])
+    for form, listed in widths.items():
+        kinds = np.where(np.isin(all_kinds, FORMS[form]), all_kinds, LITERAL)
+        hashes = np.where(kinds == LITERAL, templates.hashes[words], marks[kinds])
+
+        def slots(i, width, kinds=kinds):
+            return [f"{k} {kinds[i + k]} {templates.forms[words[i + k]].decode('utf-8', 'replace')}"
+                    for k in np.flatnonzero(kinds[i:i + width]).tolist()]
+
+        for width in listed:
+            at = np.flatnonzero(inside(counts, width))
+            place = at - starts[row[at]]
+            yield form, width, window_hashes(hashes, width)[at], place, place, place + width, row[at], at, slots, counts
+
+
+def listed_rows(form: int, width: int, hashes, places, firsts, lasts, at, slots, chosen) -> list[tuple]:
+    """The chosen windows as rows of ``WINDOW``."""
+    return [(form, width, h, p, a, b, slots(i, width)) for h, p, a, b, i in zip(
+        hashes[chosen].view(np.int64).tolist(), places[chosen].tolist(), firsts[chosen].tolist(), lasts[chosen].tolist(),
+        at[chosen].tolist())]
+
+
+WINDOW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+
+
+def arrays_of(windows: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*windows)) if windows else [[]] * len(WINDOW_TYPES)
+    return [pa.array(c, t) for c, t in zip(columns, WINDOW_TYPES)]
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``item_words``, ``width``, ``before``, ``hash``, ``place`` and ``slots`` of every window of every item.
+    """``item_id``, ``item_words``, ``item_slots`` and the columns of ``WINDOW`` for every window of every item.
 
-    An item's windows have ``WINDOW_WORDS`` words, or as many as it has if these are fewer. ``before`` is the place of
-    the window listed before: windows made mostly of placeholders are not listed."""
+    A window has ``WINDOW_WORDS`` slots, or as many as the item has in that form if these are fewer."""
 
     def cut(batches):
         templates = Templates()
         for batch in batches:
-            texts = [None if t is None else t for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            ids, out = batch.column("item_id").to_pylist(), []
-            for width, hashes, rows, places, at, slots, counts in windows_of(
-                    templates, texts, list(range(LEAST_ITEM_WORDS, WINDOW_WORDS + 1))):
-                before = np.where(np.diff(rows, prepend=-1) == 0, np.concatenate([[0], places[:-1]])[: len(places)], -1)
-                for h, r, b, p, i in zip(hashes.view(np.int64).tolist(), rows.tolist(), before.tolist(), places.tolist(),
-                                         at.tolist()):
-                    if min(int(counts[r]), WINDOW_WORDS) == width:
-                        out.append((ids[r], int(counts[r]), width, b, h, p, slots(i)))
-            columns = list(zip(*out)) if out else [[]] * 7
-            yield pa.RecordBatch.from_arrays([
-                pa.array(columns[0], batch.schema.field("item_id").type), pa.array(columns[1], pa.int32()),
-                pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int64()),
-                pa.array(columns[5], pa.int32()), pa.array(columns[6], pa.list_(pa.string()))],
-                names=["item_id", "item_words", "width", "before", "hash", "place", "slots"])
+            texts, owner, windows, sizes = texts_of(pa.Table.from_batches([batch])), [], [], []
+            for form, width, hashes, places, firsts, lasts, rows, at, slots, counts in windows_of(
+                    templates, texts, {form: list(range(LEAST_ITEM_WORDS, WINDOW_WORDS + 1)) for form in FORMS}):
+                if form == WORDS:
+                    words = counts
+                chosen = np.flatnonzero(np.minimum(counts[rows], WINDOW_WORDS) == width)
+                owner += rows[chosen].tolist()
+                sizes += counts[rows[chosen]].tolist()
+                windows += listed_rows(form, width, hashes, places, firsts, lasts, at, slots, chosen)
+            owner = np.array(owner, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id").take(pa.array(owner)), pa.array(words[owner], pa.int32()),
+                 pa.array(sizes, pa.int32()), *arrays_of(windows)],
+                names=["item_id", "item_words", "item_slots", *WINDOW_COLUMNS])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    return benchmark.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, item_words int, width int, before int, {WINDOW}")
+    return benchmark.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, item_words int, item_slots int, {WINDOW}")
 
 
 def bitmap_of(windows: DataFrame) -> tuple[bytes, bytes]:
@@ -160,86 +180,120 @@ def bitmap_of(windows: DataFrame) -> tuple[bytes, bytes]:
     return maps[0], maps[1]
 
 
-def document_windows(docs: DataFrame, maps: tuple[bytes, bytes], widths: list[int]) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``width``, ``hash``, ``place`` and ``slots`` of windows that the bitmap lets through."""
+def document_windows(docs: DataFrame, maps: tuple[bytes, bytes], widths: dict[int, list[int]]) -> DataFrame:
+    """``doc_id``, ``text_hash`` and the columns of ``WINDOW`` for windows that the bitmap lets through."""
 
     def cut(batches):
         templates = Templates()
         low, high = (np.unpackbits(np.frombuffer(m, np.uint8)).view(bool) for m in maps)
         mask, shift = np.uint64((1 << BITMAP_BITS) - 1), np.uint64(64 - BITMAP_BITS)
         for batch in batches:
-            texts, out = texts_of(pa.Table.from_batches([batch])), []
-            for width, hashes, rows, places, at, slots, _ in windows_of(templates, texts, widths):
+            texts, owner, windows = texts_of(pa.Table.from_batches([batch])), [], []
+            for form, width, hashes, places, firsts, lasts, rows, at, slots, _ in windows_of(templates, texts, widths):
                 hit = np.flatnonzero(low[hashes & mask] & high[hashes >> shift])
-                out += [(r, width, h, p, slots(i)) for r, h, p, i in zip(
-                    rows[hit].tolist(), hashes[hit].view(np.int64).tolist(), places[hit].tolist(), at[hit].tolist())]
-            rows, wide, hashes, places, slots = list(zip(*out)) if out else [[]] * 5
-            rows = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array(wide, pa.int32()),
-                pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                names=["doc_id", "text_hash", "width", "hash", "place", "slots"])
+                owner += rows[hit].tolist()
+                windows += listed_rows(form, width, hashes, places, firsts, lasts, at, slots, hit)
+            owner = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(owner), batch.column("text_hash").take(owner), *arrays_of(windows)],
+                names=["doc_id", "text_hash", *WINDOW_COLUMNS])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        cut, f"doc_id {kind}, text_hash long, width int, {WINDOW}")
+        cut, f"doc_id {kind}, text_hash long, {WINDOW}")
+
+
+class Last:
+    """Where a value was last given something else than now."""
+
+    def __init__(self) -> None:
+        self.now: dict[str, tuple[str, int]] = {}
+        self.other: dict[str, int] = {}
+
+    def __call__(self, value: str, given: str, place: int) -> int:
+        before, at = self.now.get(value, (given, -1))
+        if before != given:
+            self.other[value] = at
+        self.now[value] = given, place
+        return self.other.get(value, -1)
 
 
-def judge(width: int, item_words: int, matches: list[dict]) -> tuple[int, int, str] | None:
-    """(words in a row, first document word, kind) of the best run on a diagonal, None if it is no leak.
+def judge(width: int, item_slots: int, matches: list[dict]) -> tuple[int, int, str] | None:
+    """(item words in a row, first document word, kind) of the best run on a diagonal, None if it is no leak.
 
-    A run goes on over places that the item does not list, if its windows still overlap or touch. A window whose slots
-    contradict those before it in its run ends the run there."""
+    A run is a range of slots within windows that match without a gap, with slots that do not contradict each other.
+    It counts with ``LEAK_WORDS`` words in both texts, if it has ``RUN_LITERALS`` literals or if the windows at its ends
+    have ``LEAST_LITERALS`` of ``WINDOW_WORDS``; or if it lacks one slot of the item at most and has as many
+    literals as one such window. The item has ``width`` slots at least."""
     best = (0, 0, "")
-    matches = sorted(matches, key=lambda m: m["item_place"])
-    start = previous = None
-    for match in matches:
-        pairs = [(int(a.split(" ", 2)[0]) + match["item_place"], a.split(" ", 1)[1], b.split(" ", 1)[1])
-                 for a, b in zip(match["item_slots"], match["slots"])]
-        joins = (start is not None and match["before"] == previous["item_place"]
-                 and match["item_place"] <= previous["item_place"] + width)
-        if joins and all(there.get(a, b) == b and back.get(b, a) == a for _, a, b in pairs):
-            pass
-        else:
-            start, there, back = match, {}, {}
-            if any(there.setdefault(a, b) != b or back.setdefault(b, a) != a for _, a, b in pairs):
-                start = previous = None
-                continue
-        there.update((a, b) for _, a, b in pairs)
-        back.update((b, a) for _, a, b in pairs)
-        previous = match
-        run = match["item_place"] - start["item_place"] + width
+    at = {m["item_place"]: m for m in matches}
+
+    def consider(first: int, last: int) -> None:
+        nonlocal best
+        a, b = at[first], at[last - width + 1]
+        run = b["item_end"] - a["item_start"]
         if run > best[0]:
-            same = all(a == b for a, b in there.items())
-            best = (run, start["place"], "verbatim" if same else "reparameterised")
-    return best if best[0] >= min(LEAK_WORDS, max(width, item_words - 1)) else None
+            same = all(x == y for i, (x, y) in values.items() if first <= i <= last)
+            best = (run, a["start"], "verbatim" if same else "reparameterised")
+
+    def light(place: int) -> bool:
+        return (width - len(at[place]["item_values"])) * WINDOW_WORDS >= LEAST_LITERALS * width
+
+    for begin in sorted(p for p in at if p - 1 not in at):
+        values, stop = {}, begin
+        while stop in at:
+            values |= {stop + int(a.split(" ", 1)[0]): (a.split(" ", 1)[1], b.split(" ", 1)[1])
+                       for a, b in zip(at[stop]["item_values"], at[stop]["slots"])}
+            stop += 1
+        left, there, back = begin, Last(), Last()
+        for last in range(begin, stop + width - 1):
+            if last in values:
+                a, b = values[last]
+                left = max(left, there(a, b, last) + 1, back(b, a, last) + 1)
+            if last - left + 1 < width:
+                continue
+            literals = last - left + 1 - sum(left <= i <= last for i in values)
+            tail = last - width + 1
+            long = [first for first in range(left, tail + 1) if min(
+                at[tail]["item_end"] - at[first]["item_start"], at[tail]["end"] - at[first]["start"]) >= LEAK_WORDS]
+            if long and literals >= RUN_LITERALS:
+                consider(left, last)
+            elif long and light(tail) and any(map(light, long)):
+                consider(next(filter(light, long)), last)
+            elif last - left + 1 >= item_slots - 1 and literals * 2 >= min(last - left + 1, WINDOW_WORDS):
+                consider(left, last)
+    return best if best[0] else None
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item met in it: ``doc_id``, ``text_hash``, ``item_id``, ``matched_words``,
     ``item_words``, ``start_word`` and ``kind`` ("verbatim" or "reparameterised").
 
-    A leak is a run of at least ``LEAK_WORDS`` template words, or of all words of a shorter item but the first, with
-    consistent slots. Items of fewer than ``LEAST_ITEM_WORDS`` words, and NULL or empty texts on either
-    side, match nothing. Windows made mostly of placeholders are not looked at. ``text_hash`` tells rows with
+    A leak is a run of at least ``LEAK_WORDS`` words, or of a shorter item but its first or last word, with
+    consistent slots and enough literals (``judge``). Items of fewer than ``LEAST_ITEM_WORDS`` words, and NULL or empty
+    texts on either side, match nothing. ``text_hash`` tells rows with
     equal ids apart; repeated rows give one row. Other columns are not used.
     """
     items = benchmark_windows(benchmark)
-    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # four values at most
+    widths: dict[int, list[int]] = {}
+    for form, width in sorted(map(tuple, items.select("form", "width").distinct().collect())):  # four widths a form at most
+        widths.setdefault(form, []).append(width)
     listed = broadcast_if_small(items)
     hits = document_windows(docs, bitmap_of(listed), widths)
     pairs = hits.join(listed.select(
-        "hash", "width", "item_id", "item_words", "before", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")),
-        ["hash", "width"]).dropDuplicates(["doc_id", "text_hash", "item_id", "width", "place", "item_place"])
-    keys = ["doc_id", "text_hash", "item_id", "item_words", "width"]
+        "hash", "form", "width", "item_id", "item_words", "item_slots", F.col("place").alias("item_place"),
+        F.col("start").alias("item_start"), F.col("end").alias("item_end"), F.col("slots").alias("item_values")),
+        ["hash", "form", "width"]).dropDuplicates(["doc_id", "text_hash", "item_id", "form", "width", "place", "item_place"])
+    keys = ["doc_id", "text_hash", "item_id", "item_words", "item_slots", "form", "width"]
     # A diagonal has at most one match per item word.
     grouped = pairs.withColumn("diagonal", F.col("place") - F.col("item_place")).groupBy(*keys, "diagonal").agg(
-        F.collect_list(F.struct("item_place", "before", "place", "item_slots", "slots")).alias("matches")).drop("diagonal")
+        F.collect_list(F.struct("item_place", "item_start", "item_end", "start", "end", "item_values", "slots")).alias("matches")
+    ).drop("diagonal")
 
     def judged(batches):
         for batch in batches:
             found = [judge(w, n, m) for w, n, m in zip(*(batch.column(c).to_pylist() for c in (
-                "width", "item_words", "matches")))]
+                "width", "item_slots", "matches")))]
             rows = pa.array([i for i, f in enumerate(found) if f], pa.int64())
             columns = list(zip(*[f for f in found if f])) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
@@ -251,7 +305,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaks = grouped.mapInArrow(judged, ", ".join(f"{c} {types[c]}" for c in keys[:4])
                                + ", matched_words int, start_word int, kind string")
     best = F.max_by(F.struct("matched_words", "start_word", "kind"),
-                    F.struct("matched_words", (-F.col("start_word")).alias("first")))
+                    F.struct("matched_words", (-F.col("start_word")).alias("first"), "kind"))
     return leaks.groupBy(*keys[:4]).agg(best.alias("_best")).select(*keys[:4], "_best.*")
 
 

@@ -161,6 +161,26 @@ def test_planted_questions(spark):
     assert decontamination.find_leaks(docs, bench.where("false")).count() == 0
 
 
+def leaks_of(spark, items, texts):
+    """(place of the text, place of the item, kind) of the leaks."""
+    got = decontamination.find_leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                                     spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r.doc_id, r.item_id, r.kind) for r in got.collect()}
+
+
+HEAVY = ["What is 12 + 7 - 3 * 45 / 9 + 6 - 2 + 8 - 4 * 11 + 30 / 5?",
+         "Find the sum of 12, 15, 18, 21, 24, 27, 30, 33 and 36 and then divide it by 9.",
+         "Then Ann gave Bob 5 pounds 3 ounces, Sue 7 pounds and Joe 9 ounces."]
+
+
+def test_items_of_many_placeholders(spark):
+    """Copied verbatim they are found, and with other values if enough literals are left."""
+    other = HEAVY[1].replace("12,", "40,").replace("9.", "7.")
+    texts = [f"So here we go again. {t} That was all of it." for t in HEAVY] + [
+        other, "Prices were 4 pounds 8 ounces, Max 3 pounds and Tim 2 ounces. What is 3 + 4 - 5 * 6 / 7 + 8 - 9 + 1 - 2 * 3 + 4 / 5?"]
+    assert leaks_of(spark, HEAVY, texts) == {(k, k, "verbatim") for k in range(3)} | {(3, 1, "reparameterised")}
+
+
 def test_leaks_of_the_small_tables(spark, rows_small):
     """Items are pasted whole: the documents that hold the item's text are found, and no others."""
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
