@@ -1,7 +1,8 @@
 """Find benchmark questions in documents, also with other numbers, names and units.
 
-Texts are read in several forms (``FORMS``). As words, each is its lower-case form without punctuation. As templates, a
-number, a unit or a name inside a sentence turns into a typed placeholder besides. Every window of every form of the
+Texts are read in several forms (``FORMS``). As words, each is its case-folded form without punctuation. As values, a
+number or a unit turns into a typed placeholder. As templates, a name inside a sentence does so too, which is the only
+form that looks at capitals: names with other values are found in texts that write them so. Every window of every form of the
 benchmark is joined with those of the documents by hash. Matches of one document and item in one form on one
 diagonal (same distance between their places) are put together; they count if they cover enough words in a row and if
 the slots are consistent, each value of the item standing for one value of the document and the other way round. Runs
@@ -39,8 +40,8 @@ WORDS_KEPT = 1_000_000
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 # Which kinds are placeholders in each form.
-WORDS, TEMPLATE = range(2)
-FORMS = {WORDS: (), TEMPLATE: (NUMBER, UNIT, NAME)}
+WORDS, VALUES, TEMPLATE = range(3)
+FORMS = {WORDS: (), VALUES: (NUMBER, UNIT), TEMPLATE: (NUMBER, UNIT, NAME)}
 # Words read as numbers and as units.
 NUMBER_WORDS = frozenset(
     b"zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy "
@@ -74,7 +75,7 @@ class Templates:
 
     def learn(self) -> None:
         new = list(self.place)[len(self.forms):]
-        forms = [w.strip(self.edge).lower() for w in new]
+        forms = [w.strip(self.edge).decode("utf-8", "replace").casefold().encode() for w in new]
         kinds = [NUMBER if f in NUMBER_WORDS or (f[:1] and (f[:1].isdigit() or f[:1] in b"+-$") and self.number.fullmatch(f))
                  else UNIT if f in UNIT_WORDS else LITERAL for f in forms]
         self.forms += forms

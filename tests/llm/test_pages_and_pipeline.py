@@ -181,6 +181,15 @@ def test_items_of_many_placeholders(spark):
     assert leaks_of(spark, HEAVY, texts) == {(k, k, "verbatim") for k in range(3)} | {(3, 1, "reparameterised")}
 
 
+def test_copies_in_other_case(spark):
+    """Whole items in lower, upper and title case, also beyond ASCII, and in lower case with other numbers."""
+    items = [ITEMS[0][1], ITEMS[1][1], "Frau Groß und Herr Älter teilen 36 Äpfel aus Österreich mit Jürgen, wie viele bekommt jeder?"]
+    texts = [case(f"So here we go. {t} And on.") for t in items for case in (str.lower, str.upper, str.title)]
+    values = [items[0].lower().replace("120", "450"), items[1].lower().replace("12 red", "20 red")]
+    assert leaks_of(spark, items, texts + values) == {(k, k // 3, "verbatim") for k in range(9)} | {
+        (9, 0, "reparameterised"), (10, 1, "reparameterised")}
+
+
 def test_leaks_of_the_small_tables(spark, rows_small):
     """Items are pasted whole: the documents that hold the item's text are found, and no others."""
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
