@@ -2,10 +2,11 @@
 
 Texts are read in several forms (``FORMS``). As words, each is its case-folded form without punctuation. As values, a
 number or a unit turns into a typed placeholder. As templates, a name inside a sentence does so too, which is the only
-form that looks at capitals: names with other values are found in texts that write them so. Every window of every form of the
+form that looks at capitals: names with other values are found in texts that write them so. Placeholders of one kind
+in a row are one slot, so "300" fits "three hundred", and a list of numbers one of another length. Every window of every form of the
 benchmark is joined with those of the documents by hash. Matches of one document and item in one form on one
 diagonal (same distance between their places) are put together; they count if they cover enough words in a row and if
-the slots are consistent, each value of the item standing for one value of the document and the other way round. Runs
+the slots are consistent, each value of the item standing for one value of the document; two may stand for the same. Runs
 made mostly of placeholders must be longer, see ``judge``; their verbatim copies are found as words.
 
 A bitmap of fixed size, made from the benchmark's windows, spares nearly all document windows the join; what it lets
@@ -15,7 +16,7 @@ through by chance, the join removes.
 from __future__ import annotations
 
 from collections import defaultdict
-from itertools import chain
+from itertools import accumulate, chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spinmart.llm import ship_with_tasks
-from spinmart.llm.blocks import hash_all, inside, texts_of, window_hashes
+from spinmart.llm.blocks import hash_all, texts_of, window_hashes
 from spinmart.operators.lookups import broadcast_if_small
 
 WINDOW_WORDS = 8
@@ -37,6 +38,8 @@ LEAST_LITERALS = 4
 RUN_LITERALS = 7
 BITMAP_BITS = 22
 WORDS_KEPT = 1_000_000
+# Bytes of text that are looked at together.
+PIECE_BYTES = 2 << 20
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 # Which kinds are placeholders in each form.
@@ -72,14 +75,18 @@ class Templates:
         self.forms: list[bytes] = []
         self.hashes, self.kinds = np.zeros(0, np.uint64), np.zeros(0, np.int8)
         self.capital, self.closes = np.zeros(0, bool), np.zeros(0, bool)
+        self.full = np.zeros(0, bool)
 
     def learn(self) -> None:
-        new = list(self.place)[len(self.forms):]
+        new = list(islice(self.place, len(self.forms), None))
+        if not new:
+            return
         forms = [w.strip(self.edge).decode("utf-8", "replace").casefold().encode() for w in new]
         kinds = [NUMBER if f in NUMBER_WORDS or (f[:1] and (f[:1].isdigit() or f[:1] in b"+-$") and self.number.fullmatch(f))
                  else UNIT if f in UNIT_WORDS else LITERAL for f in forms]
         self.forms += forms
         self.hashes = np.concatenate([self.hashes, hash_all(forms)])
+        self.full = np.concatenate([self.full, np.array(list(map(bool, forms)), bool)])
         self.kinds = np.concatenate([self.kinds, np.array(kinds, np.int8)])
         self.capital = np.concatenate([self.capital, np.array(
             [w.strip(self.edge).decode("utf-8", "replace")[:1].isupper() for w in new], bool)])
@@ -87,7 +94,8 @@ class Templates:
                                                              bool)])
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(word numbers, kinds, words per text); bare punctuation is no word."""
+        """(word numbers, kinds, words per text, which words begin a sentence); bare
+        punctuation is no word."""
         if len(self.forms) > WORDS_KEPT:
             self.forget()
         number = self.place.__getitem__
@@ -100,38 +108,63 @@ class Templates:
         opens[(np.cumsum(counts) - counts)[counts > 0]] = True
         kinds = self.kinds[words]
         kinds[(kinds == LITERAL) & self.capital[words] & ~opens] = NAME
-        full = np.fromiter(map(len, self.forms), np.int64, len(self.forms))[words] > 0
+        full = self.full[words]
         row = np.repeat(np.arange(len(texts)), counts)[full]
-        words, kinds = words[full], kinds[full]
-        return words, kinds, np.bincount(row, minlength=len(texts))
+        return words[full], kinds[full], np.bincount(row, minlength=len(texts)), opens[full]
+
+
+def pieces(batch: pa.RecordBatch):
+    """The batch in parts of about ``PIECE_BYTES`` of text."""
+    sizes = [len(t or b"") for t in texts_of(pa.Table.from_batches([batch]))]
+    at = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield batch.slice(begin, end - begin)
 
 
 def windows_of(templates: Templates, texts: list[bytes | None], widths: dict[int, list[int]]):
-    """For each form and width: its columns of ``WINDOW`` but the slots, as arrays over all windows, the text of
-    each, a reader of a window's slots (the values of its placeholders, with place and kind), and the slots per text."""
-    words, all_kinds, counts = templates(texts)
-    row = np.repeat(np.arange(len(counts)), counts)
-    starts = np.cumsum(counts) - counts
+    """For each form and width: the hashes of all windows in a row, and a function that gives, for chosen ones, the
+    texts of those inside a text, the slots of each such text, and the rows of ``WINDOW``. Of slots, a row has the values
+    of the placeholders, with place and kind."""
+    words, all_kinds, word_counts, opens = templates(texts)
+    word_starts = np.cumsum(word_counts) - word_counts
+    text = np.repeat(np.arange(len(word_counts), dtype=np.int32), word_counts)
+    literals = templates.hashes[words]
     marks = hash_all([b"", b" number", b" unit", b" name"])
     for form, listed in widths.items():
-        kinds = np.where(np.isin(all_kinds, FORMS[form]), all_kinds, LITERAL)
-        hashes = np.where(kinds == LITERAL, templates.hashes[words], marks[kinds])
-
-        def slots(i, width, kinds=kinds):
-            return [f"{k} {kinds[i + k]} {templates.forms[words[i + k]].decode('utf-8', 'replace')}"
-                    for k in np.flatnonzero(kinds[i:i + width]).tolist()]
+        placeholder = np.isin(range(4), FORMS[form])
+        kinds = np.where(placeholder, np.arange(4), LITERAL).astype(np.int8)[all_kinds]
+        held = np.flatnonzero(kinds)
+        more = held[held > 0]
+        more = more[(kinds[more] == kinds[more - 1]) & ~opens[more] & (text[more] == text[more - 1])]
+        begins = np.ones(len(words), bool)
+        begins[more] = False
+        hashes = literals.copy()
+        hashes[held] = marks[kinds[held]]
+        hashes, first = hashes[begins], np.flatnonzero(begins)  # first words of the slots
+        ends = np.append(first[1:], len(words))
+        starts = np.searchsorted(first, word_starts)
+        counts = np.diff(starts, append=len(first))
+
+        def rows_of(chosen, width, form=form, kinds=kinds, first=first, ends=ends, starts=starts, counts=counts, hashes=None):
+            a, z = first[chosen], ends[chosen + width - 1]
+            within = text[a] == text[z - 1]
+            chosen, hashes, a, z = chosen[within], hashes[within], a[within], z[within]
+            row = text[a]
+
+            def slots(i):
+                return [f"{k} {kinds[first[i + k]]} " + b" ".join(
+                    templates.forms[w] for w in words[first[i + k]:ends[i + k]].tolist()).decode("utf-8", "replace")
+                        for k in np.flatnonzero(kinds[first[i:i + width]]).tolist()]
+
+            return row, counts[row], [(form, width, *x, slots(i)) for *x, i in zip(
+                hashes.view(np.int64).tolist(), (chosen - starts[row]).tolist(), (a - word_starts[row]).tolist(),
+                (z - word_starts[row]).tolist(), chosen.tolist())]
 
         for width in listed:
-            at = np.flatnonzero(inside(counts, width))
-            place = at - starts[row[at]]
-            yield form, width, window_hashes(hashes, width)[at], place, place, place + width, row[at], at, slots, counts
-
-
-def listed_rows(form: int, width: int, hashes, places, firsts, lasts, at, slots, chosen) -> list[tuple]:
-    """The chosen windows as rows of ``WINDOW``."""
-    return [(form, width, h, p, a, b, slots(i, width)) for h, p, a, b, i in zip(
-        hashes[chosen].view(np.int64).tolist(), places[chosen].tolist(), firsts[chosen].tolist(), lasts[chosen].tolist(),
-        at[chosen].tolist())]
+            found = window_hashes(hashes, width)
+            yield form, width, found, lambda chosen, found=found, width=width, rows_of=rows_of: rows_of(
+                chosen, width, hashes=found[chosen])
 
 
 WINDOW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
@@ -149,16 +182,16 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
     def cut(batches):
         templates = Templates()
-        for batch in batches:
-            texts, owner, windows, sizes = texts_of(pa.Table.from_batches([batch])), [], [], []
-            for form, width, hashes, places, firsts, lasts, rows, at, slots, counts in windows_of(
+        for batch in chain.from_iterable(map(pieces, batches)):
+            texts, owner, sizes, windows = texts_of(pa.Table.from_batches([batch])), [], [], []
+            words = templates(texts)[2]
+            for _, width, hashes, rows_of in windows_of(
                     templates, texts, {form: list(range(LEAST_ITEM_WORDS, WINDOW_WORDS + 1)) for form in FORMS}):
-                if form == WORDS:
-                    words = counts
-                chosen = np.flatnonzero(np.minimum(counts[rows], WINDOW_WORDS) == width)
+                rows, counts, found = rows_of(np.arange(len(hashes)))
+                chosen = np.flatnonzero(np.minimum(counts, WINDOW_WORDS) == width).tolist()
                 owner += rows[chosen].tolist()
-                sizes += counts[rows[chosen]].tolist()
-                windows += listed_rows(form, width, hashes, places, firsts, lasts, at, slots, chosen)
+                sizes += counts[chosen].tolist()
+                windows += [found[i] for i in chosen]
             owner = np.array(owner, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item_id").take(pa.array(owner)), pa.array(words[owner], pa.int32()),
@@ -188,12 +221,13 @@ def document_windows(docs: DataFrame, maps: tuple[bytes, bytes], widths: dict[in
         templates = Templates()
         low, high = (np.unpackbits(np.frombuffer(m, np.uint8)).view(bool) for m in maps)
         mask, shift = np.uint64((1 << BITMAP_BITS) - 1), np.uint64(64 - BITMAP_BITS)
-        for batch in batches:
+        for batch in chain.from_iterable(map(pieces, batches)):
             texts, owner, windows = texts_of(pa.Table.from_batches([batch])), [], []
-            for form, width, hashes, places, firsts, lasts, rows, at, slots, _ in windows_of(templates, texts, widths):
-                hit = np.flatnonzero(low[hashes & mask] & high[hashes >> shift])
-                owner += rows[hit].tolist()
-                windows += listed_rows(form, width, hashes, places, firsts, lasts, at, slots, hit)
+            for _, _, hashes, rows_of in windows_of(templates, texts, widths):
+                hit = np.flatnonzero(low[hashes & mask])
+                rows, _, found = rows_of(hit[high[hashes[hit] >> shift]])
+                owner += rows.tolist()
+                windows += found
             owner = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(owner), batch.column("text_hash").take(owner), *arrays_of(windows)],
@@ -223,47 +257,42 @@ def judge(width: int, item_slots: int, matches: list[dict]) -> tuple[int, int, s
     """(item words in a row, first document word, kind) of the best run on a diagonal, None if it is no leak.
 
     A run is a range of slots within windows that match without a gap, with slots that do not contradict each other.
-    It counts with ``LEAK_WORDS`` words in both texts, if it has ``RUN_LITERALS`` literals or if the windows at its ends
-    have ``LEAST_LITERALS`` of ``WINDOW_WORDS``; or if it lacks one slot of the item at most and has as many
-    literals as one such window. The item has ``width`` slots at least."""
-    best = (0, 0, "")
+    It counts with ``LEAK_WORDS`` words in both texts and ``RUN_LITERALS`` literals; or with ``LEAK_WORDS`` slots, if the
+    windows at its ends have ``LEAST_LITERALS`` of ``WINDOW_WORDS``; or if it lacks one slot of the item at most and has
+    as many literals as one such window. The item has ``width`` slots at least."""
+    best, same = (0, 0, 0), False
     at = {m["item_place"]: m for m in matches}
-
-    def consider(first: int, last: int) -> None:
-        nonlocal best
-        a, b = at[first], at[last - width + 1]
-        run = b["item_end"] - a["item_start"]
-        if run > best[0]:
-            same = all(x == y for i, (x, y) in values.items() if first <= i <= last)
-            best = (run, a["start"], "verbatim" if same else "reparameterised")
-
-    def light(place: int) -> bool:
-        return (width - len(at[place]["item_values"])) * WINDOW_WORDS >= LEAST_LITERALS * width
-
     for begin in sorted(p for p in at if p - 1 not in at):
-        values, stop = {}, begin
-        while stop in at:
-            values |= {stop + int(a.split(" ", 1)[0]): (a.split(" ", 1)[1], b.split(" ", 1)[1])
-                       for a, b in zip(at[stop]["item_values"], at[stop]["slots"])}
-            stop += 1
-        left, there, back = begin, Last(), Last()
+        stop = next(p for p in count(begin) if p not in at)  # after the last window
+        values: dict[int, tuple[str, str]] = {}
+        next_light: dict[int, int] = {}
+        for place in reversed(range(begin, stop)):
+            match = at[place]
+            values |= {place + int(a.split(" ", 1)[0]): (a.split(" ", 1)[1], b.split(" ", 1)[1])
+                       for a, b in zip(match["item_values"], match["slots"])}
+            light = (width - len(match["item_values"])) * WINDOW_WORDS >= LEAST_LITERALS * width
+            next_light[place] = place if light else next_light.get(place + 1, stop)
+        literals = [0, *accumulate(i not in values for i in range(begin, stop + width - 1))]
+        left, there, found = begin, Last(), best
         for last in range(begin, stop + width - 1):
             if last in values:
-                a, b = values[last]
-                left = max(left, there(a, b, last) + 1, back(b, a, last) + 1)
-            if last - left + 1 < width:
+                left = max(left, there(*values[last], last) + 1)
+            size, tail = last - left + 1, last - width + 1
+            if size < width:
                 continue
-            literals = last - left + 1 - sum(left <= i <= last for i in values)
-            tail = last - width + 1
-            long = [first for first in range(left, tail + 1) if min(
-                at[tail]["item_end"] - at[first]["item_start"], at[tail]["end"] - at[first]["start"]) >= LEAK_WORDS]
-            if long and literals >= RUN_LITERALS:
-                consider(left, last)
-            elif long and light(tail) and any(map(light, long)):
-                consider(next(filter(light, long)), last)
-            elif last - left + 1 >= item_slots - 1 and literals * 2 >= min(last - left + 1, WINDOW_WORDS):
-                consider(left, last)
-    return best if best[0] else None
+            held, first = literals[last + 1 - begin] - literals[left - begin], left
+            if held < RUN_LITERALS or min(at[tail]["item_end"] - at[left]["item_start"],
+                                          at[tail]["end"] - at[left]["start"]) < LEAK_WORDS:
+                if next_light[tail] == tail and last - next_light[left] + 1 >= LEAK_WORDS:
+                    first = next_light[left]
+                elif size < item_slots - 1 or held * 2 < min(size, WINDOW_WORDS):
+                    continue
+            found = max(found, (at[tail]["item_end"] - at[first]["item_start"], -first, last))
+        if found > best:
+            best = found
+            start = at[-found[1]]["start"]
+            same = all(a == b for i, (a, b) in values.items() if -found[1] <= i <= found[2])
+    return (best[0], start, "verbatim" if same else "reparameterised") if best[0] else None
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

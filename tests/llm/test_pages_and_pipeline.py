@@ -190,6 +190,23 @@ def test_copies_in_other_case(spark):
         (9, 0, "reparameterised"), (10, 1, "reparameterised")}
 
 
+SHORT = "A baker sells 3 loaves and 5 rolls to each guest every morning."
+LONG = "In the spring a farmer from Texas walks 12 miles each day with Anna to reach the market and buy seeds."
+
+
+def test_values_that_meet_and_values_of_more_words(spark):
+    """Two values may become the same, one may not become two; a value may have another number of words."""
+    items = [SHORT, LONG, "We know that Tom gives Tom 5 coins and then asks Tom whether 5 coins are enough."]
+    texts = [SHORT.replace("3", "4").replace("5", "4"), SHORT.replace("3", "4").replace("5", "9"),
+             LONG.replace("Texas", "New Mexico").replace("Anna", "Mary Ann"), LONG.replace("12", "three hundred"),
+             LONG.replace("12", "30").replace("Texas", "New South Wales"),
+             items[2].replace("Tom", "Ann", 1).replace("Tom", "Joe", 1).replace("5", "7", 1)]
+    assert leaks_of(spark, items, texts) == {(k, 0, "reparameterised") for k in (0, 1)} | {
+        (k, 1, "reparameterised") for k in (2, 3, 4)}
+    # And with more words in the item.
+    assert leaks_of(spark, texts[2:4], [LONG]) == {(0, 0, "reparameterised"), (0, 1, "reparameterised")}
+
+
 def test_leaks_of_the_small_tables(spark, rows_small):
     """Items are pasted whole: the documents that hold the item's text are found, and no others."""
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
