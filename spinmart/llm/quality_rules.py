@@ -22,6 +22,9 @@ from spinmart.llm import ship_with_tasks
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words",
             "n_wordless")
+# Measured only for rules that use it: distinct words of every ``WINDOW_WORDS`` words in a row, summed up.
+BY_WINDOW = "n_window_distinct"
+WINDOW_WORDS = 5_000
 
 
 @dataclass(frozen=True)
@@ -48,6 +51,8 @@ RULES = (
     Rule(6, "few_distinct_words", "100 * n_distinct_words < 20 * n_words"),
     Rule(7, "words_without_letters", "10 * n_wordless > 3 * n_words"),
 )
+# The share of distinct words falls with the length of any text, so very long ones are judged by their windows.
+RULES_2 = (*RULES, Rule(8, "few_distinct_words_by_window", f"100 * {BY_WINDOW} < 20 * n_words"))
 
 
 @dataclass(frozen=True)
@@ -63,6 +68,8 @@ class Policy:
 
 BASE = Policy("base", 1, ("few_words", "repeated_passages"))
 WEB_TEXT = Policy("web_text", 1, tuple(rule.name for rule in RULES))
+# Of ledgers with ``RULES_2``; equal to version 1 on texts of up to ``WINDOW_WORDS`` words.
+WEB_TEXT_2 = Policy("web_text", 2, tuple(rule.name for rule in RULES_2 if rule.name != "few_distinct_words"))
 
 
 def repeat_words(words: list[bytes]) -> tuple[int, int]:
@@ -99,8 +106,14 @@ def measure(text: bytes | None) -> tuple[int, ...]:
             repeated, distinct, letterless)
 
 
+def window_distinct(text: bytes | None) -> int:
+    """Distinct words of consecutive windows, the last one shorter, that cover the text."""
+    words = (text or b"").split()
+    return sum(len(set(words[i:i + WINDOW_WORDS])) for i in range(0, len(words), WINDOW_WORDS))
+
+
 def build_ledger(docs: DataFrame, carry: Sequence[str] = ("doc_id",), rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Per row: the ``carry`` columns, the measurements and ``fail_bits`` (long).
+    """Per row: the ``carry`` columns, the measurements that the rules need and ``fail_bits`` (long).
 
     Words are runs without ASCII white space; a line counts if it has a word; a line is a duplicate if an equal
     line comes before it. ``text`` may be NULL or empty: it has no words and fails ``few_words``.
@@ -108,15 +121,18 @@ def build_ledger(docs: DataFrame, carry: Sequence[str] = ("doc_id",), rules: Seq
     gives an empty table.
     """
     kept = docs.select(*dict.fromkeys([*carry, "text"])).schema
-    schema = T.StructType([*[kept[name] for name in carry], *[T.StructField(m, T.LongType()) for m in MEASURES]])
+    by_window = any(BY_WINDOW in rule.fails for rule in rules)
+    measures = (*MEASURES, BY_WINDOW) if by_window else MEASURES
+    schema = T.StructType([*[kept[name] for name in carry], *[T.StructField(m, T.LongType()) for m in measures]])
 
     def measured(batches):
         for batch in batches:
-            found = [measure(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            columns = zip(*found) if found else [()] * len(MEASURES)
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            found = [(*measure(t), window_distinct(t)) if by_window else measure(t) for t in texts]
+            columns = zip(*found) if found else [()] * len(measures)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in carry] + [pa.array(c, pa.int64()) for c in columns],
-                names=[*carry, *MEASURES])
+                names=[*carry, *measures])
 
     ledger = docs.select(*kept.names).mapInArrow(measured, schema)
     bits = F.lit(0).cast("long")
@@ -152,9 +168,9 @@ def ablations(ledger: DataFrame, policies: Sequence[Policy], rules: Sequence[Rul
         docs(failed.bitwiseAND(F.bitwise_not(F.col("c.bit"))) == 0).alias("n_kept_without"))
 
 
-def keep_good(docs: DataFrame, policy: Policy = WEB_TEXT) -> DataFrame:
+def keep_good(docs: DataFrame, policy: Policy = WEB_TEXT_2, rules: Sequence[Rule] = RULES_2) -> DataFrame:
     """The rows of ``docs`` that pass the policy, with their own columns."""
-    return build_ledger(docs, docs.columns).where(~fails(policy)).select(*docs.columns)
+    return build_ledger(docs, docs.columns, rules).where(~fails(policy, rules)).select(*docs.columns)
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:

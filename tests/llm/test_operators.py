@@ -52,6 +52,27 @@ def test_rule_ablations(table, edge):
     assert {tuple(r) for r in quality_rules.ablations(ledger, policies).collect()} == want
 
 
+def prose(n):
+    """Words of which ever fewer are new, with numbers of their own now and then."""
+    pick = random.Random(3)
+    words = [f"w{int(2_600 * pick.random() ** 3)}" for _ in range(n)]
+    return " ".join(w if i % 97 else f"{w} own{i}" for i, w in enumerate(words))
+
+
+def test_long_clean_texts_are_kept(spark):
+    """The pipeline's policy judges long texts as it judges their parts; poor ones still fail, short ones as before."""
+    poor = " ".join(f"w{random.Random(k).randrange(500)}" for k in range(20_000))
+    texts = [prose(5_000), prose(20_000), prose(60_000), poor, " ".join(poor.split()[:3_000])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger = quality_rules.build_ledger(docs, rules=quality_rules.RULES_2)
+    want = [sum(len(set(w[i:i + 5_000])) for i in range(0, len(w), 5_000)) for w in map(str.split, texts)]
+    assert [r[0] for r in ledger.orderBy("doc_id").select("n_window_distinct").collect()] == want
+    old = {r.doc_id for r in ledger.where(~quality_rules.fails(quality_rules.WEB_TEXT)).collect()}
+    new = {r.doc_id for r in ledger.where(~quality_rules.fails(quality_rules.WEB_TEXT_2, quality_rules.RULES_2)).collect()}
+    assert (old, new) == ({0}, {0, 1, 2})
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == new
+
+
 def test_bpe_equals_the_library(table, rows):
     ranks = bpe.read_ranks(PATH)
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
