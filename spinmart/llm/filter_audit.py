@@ -11,10 +11,9 @@ per part and bit pattern, and only these few patterns are put through the orders
 from __future__ import annotations
 
 import json
-from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain, count, permutations
+from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.llm import ship_with_tasks
-from spinmart.llm.blocks import ask, count_blocks, cut, deal, finish, hash_all, ids_of, texts_of
+from spinmart.llm.blocks import ask, count_blocks, cut, deal, finish, hash_all, ids_of, mix, texts_of
 
 FILTERS = "ABCDE"
 UPPER = bytes(range(0x41, 0x5B))
@@ -58,23 +57,84 @@ def pairs(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new) - 1
 
 
+# Words of a chunk of text are hashed together; a longer text is a chunk of its own.
+CHUNK = 1 << 18
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_pick = np.random.default_rng(12)
+BYTE_VALUES = _pick.integers(0, 1 << 64, (2, 256), dtype=np.uint64)
+BASE = 0x9E3779B97F4A7C13  # odd, so that it has an inverse
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """[powers of ``BASE``, powers of its inverse] modulo 2^64, ``n`` at least."""
+    if not _powers or len(_powers[0]) < n:
+        _powers[:] = []
+        for base in (BASE, pow(BASE, -1, 1 << 64)):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _powers.append(np.cumprod(steps))
+    return _powers
+
+
+def hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, key and check of every word of a text), without touching words one by one.
+
+    A word's hash is the sum of a random value of each of its bytes times a power of the base by its place in the word. Running
+    sums over the whole text give that of every word by one difference, moved to its start by the inverse power.
+    """
+    space = SPACE[data]
+    inside = np.concatenate([[True], space, [True]])
+    starts = np.flatnonzero(inside[:-2] & ~space)
+    ends = np.flatnonzero(~space & inside[2:]) + 1
+    up, down = powers(max(len(data), CHUNK))
+    found = []
+    for values in BYTE_VALUES:
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values[data] * up[: len(data)])])
+        found.append((sums[ends] - sums[starts]) * down[starts])
+    return starts, ends, mix(found[0], (ends - starts).astype(np.uint64)), (found[1] >> np.uint64(32)).astype(np.uint32)
+
+
+def chunks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
+    part, size = [], 0
+    for t in texts:
+        part.append(t or b"")
+        size += len(part[-1]) + 1
+        if size >= CHUNK:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 class Terms:
     """The words of a block: distinct words in the order of their keys, and each word as its place among them."""
 
-    def __init__(self, texts: list[bytes | None]) -> None:
-        number: dict[bytes, int] = defaultdict(count().__next__)
-        lists = [t.split() if t else [] for t in texts]
-        self.counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(self.counts.sum()))
-        words = list(number)
-        key, check = hash_all(words), checks(words)
-        order, group = pairs(key, check)
+    def __init__(self, texts: list[bytes | None], words: bool = False) -> None:
+        counts, keys, checked, named = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], []
+        for part in chunks(texts):
+            joined = b" ".join(part)
+            starts, ends, key, check = hash_words(np.frombuffer(joined, np.uint8))
+            offsets = np.cumsum([0] + [len(t) + 1 for t in part])
+            counts.append(np.diff(np.searchsorted(starts, offsets)))
+            keys.append(key)
+            checked.append(check)
+            if words:
+                named += [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        self.counts = np.concatenate([np.zeros(0, np.int64), *counts])
+        key, check = np.concatenate(keys), np.concatenate(checked)
+        order = np.argsort(key, kind="stable")
+        k, c = key[order], check[order]
+        same = k[1:] == k[:-1]
+        if (same & (c[1:] != c[:-1])).any():  # two words with one key
+            order, group = pairs(key, check)
+        else:
+            group = np.cumsum(np.concatenate([np.ones(min(1, len(k)), bool), ~same])) - 1
         first = np.flatnonzero(np.diff(group, prepend=-1))
         self.key, self.check = key[order][first], check[order][first]
-        self.words = [words[i] for i in order[first].tolist()]
-        place = np.empty(len(words), np.int64)
-        place[order] = group
-        self.places = place[flat] if len(words) else flat
+        self.words = [named[i] for i in order[first].tolist()] if words else []
+        self.places = np.empty(len(key), np.int64)
+        self.places[order] = group
 
     def numbers(self, ranks: np.ndarray, shards: int) -> np.ndarray:
         """Corpus-wide number of every distinct word; rises with the key."""
@@ -168,7 +228,7 @@ def build_matrix(docs: DataFrame, part: str | None = "lang", symbols: bytes = Li
         key, _, place = copies(table)
         least = np.frombuffer(answer, np.int64)[place]
         replies = np.frombuffer(answer, np.int64)[len(key):]
-        terms = Terms(found)
+        terms = Terms(found, words)
         numbers = terms.numbers(replies >> 1, shards)
         start, at, n = terms.csr()
         own = np.flatnonzero(replies & 1).tolist() if words else []

@@ -270,3 +270,17 @@ def test_isotonic_regression():
         mean = lambda a, b: (y[a:b] * w[a:b]).sum() / w[a:b].sum()
         want = [max(min(mean(a, b) for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)]
         assert np.allclose(quality_classifier.pool(y, w), want)
+
+
+def test_words_are_hashed_as_they_are_split(monkeypatch):
+    """Equal words have one hash wherever they stand, others differ, in chunks of any size."""
+    pick = random.Random(6)
+    texts = [" ".join("".join(pick.choices("abAB é#", k=pick.randint(0, 5))) for _ in range(pick.randrange(40))) for _ in range(60)]
+    texts = [t.encode() for t in [*texts, "", "\n\t", "x" * 3_000, "ab" * 700 + " " + "ba" * 700, "ab ba abab baba"]] + [None]
+    for size in (1, 50, 1 << 18):
+        monkeypatch.setattr(filter_audit, "CHUNK", size)
+        terms = filter_audit.Terms(texts, words=True)
+        assert terms.counts.tolist() == [len((t or b"").split()) for t in texts]
+        flat = [w for t in texts if t for w in t.split()]
+        assert [terms.words[i] for i in terms.places.tolist()] == flat and len(terms.key) == len(set(flat))
+        assert (np.diff(terms.key.astype(object)) > 0).all()
