@@ -14,9 +14,10 @@ segments are its own alone has no partner and drops out; so common passages cost
 
 Documents with equal sets are one class and are compared once. Within a list, classes are first compared with one
 hub, and what links becomes a component; only classes of different components that share a list are compared
-further, in chunks, after an exact bound on their difference (bucket counts). So every link between different
-components is found, while a large group of near copies costs one comparison per member. Each comparison is verified on
-the shingles of the two texts.
+further, in chunks, after an exact bound on their difference (bucket parities). So every link between different
+components is found, while a large group of near copies costs one comparison per member. An entry of the index carries a sketch of fixed
+limited size, whatever its set; only pairs that these leave meet the full parities, and only what is left then the
+texts, on whose shingles each link is verified.
 """
 
 from __future__ import annotations
@@ -52,11 +53,14 @@ SHINGLE_WORDS = 5
 # Links have 100 * intersection >= 80 * union; two sets then differ in at most (|r| + |s|) / NINTH elements, and the
 # larger is at most 5/4 of the smaller.
 NINTH = 9
-MIN_BUCKET_BITS = 4
+MIN_PARITY_BITS = 7
 # Rounds in which lists are compared with one hub, another one each time.
 HUB_ROUNDS = 2
 # Rows of one list that one task compares with each other.
 CHUNK = 512
+# Bytes of bucket parities and smallest keys of a set that travel with each of its entries, at most.
+SKETCH = 512
+FIRST_KEYS = 16
 # Expected cost of a segment that holds one shingle only, against one index entry.
 WEAK_COST = 8
 PLANS: dict[int, tuple[bool, int]] = {}
@@ -154,12 +158,12 @@ class Sets:
         ids, first = np.unique(self.id[full], return_index=True)
         return ids, full[first]
 
-    def buckets(self, doc: int) -> bytes:
-        """Shingles per bucket, with about as many buckets as shingles. The sum of the differences of two sets' counts is at
-        most the difference of the sets, also where counts are cut off at 255."""
-        bits = max(MIN_BUCKET_BITS, int(self.n[doc]).bit_length() - 1)
+    def parity(self, doc: int) -> bytes:
+        """Of each bucket whether it holds an odd number of shingles, one bit, with two to four buckets a shingle. Two sets' bits
+        differ in at most as many places as the sets in shingles, also after buckets are put together by exclusive or."""
+        bits = max(MIN_PARITY_BITS, int(self.n[doc]).bit_length() + 1)
         at = (self.of(doc) >> np.uint64(64 - bits)).astype(np.int64)
-        return np.minimum(np.bincount(at, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+        return np.packbits(np.bincount(at, minlength=1 << bits).astype(np.uint8) & 1).tobytes()
 
 
 class Entries:
@@ -252,13 +256,13 @@ class Entries:
 MEMBER = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()),
     T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.LongType()),
-    T.StructField("text", T.StringType()), T.StructField("buckets", T.BinaryType()),
+    T.StructField("text", T.StringType()), T.StructField("parity", T.BinaryType()),
     T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("asks", T.ArrayType(T.BooleanType()))])
 
 
 def list_sets(docs: DataFrame) -> DataFrame:
     """Per row ``doc_id``, ``text_hash``, ``n_shingles`` and ``set_id``; for one document of each set that may have a partner also its
-    ``text``, bucket counts and shared index ``keys``, with ``asks`` for those it asks in. Staged."""
+    ``text``, bucket parities and shared index ``keys``, with ``asks`` for those it asks in. Staged."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     blocks = count_blocks(docs)
     shards = max(1, blocks // 4)
@@ -300,17 +304,17 @@ def list_sets(docs: DataFrame) -> DataFrame:
         doc, key, ask_ = found.doc[rows][order], found.key[rows][order].view(np.int64), asked[rows][order]
         ends = np.searchsorted(doc, np.arange(len(texts) + 1))
         at = np.flatnonzero(stays)
-        columns = {name: [None] * len(texts) for name in ("text", "buckets", "keys", "asks")}
+        columns = {name: [None] * len(texts) for name in ("text", "parity", "keys", "asks")}
         for i in at.tolist():
             columns["text"][i] = texts[i]
-            columns["buckets"][i] = sets.buckets(i)
+            columns["parity"][i] = sets.parity(i)
             columns["keys"][i] = key[ends[i]:ends[i + 1]]
             columns["asks"][i] = ask_[ends[i]:ends[i + 1]]
         return pa.table({
             "doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "n_shingles": pa.array(sets.n),
             "set_id": pa.array(sets.id.view(np.int64), mask=sets.n == 0),
             "text": pa.array(columns["text"], pa.binary()).cast(pa.string()),
-            "buckets": pa.array(columns["buckets"], pa.binary()), "keys": pa.array(columns["keys"], pa.list_(pa.int64())),
+            "parity": pa.array(columns["parity"], pa.binary()), "keys": pa.array(columns["keys"], pa.list_(pa.int64())),
             "asks": pa.array(columns["asks"], pa.list_(pa.bool_()))})
 
     owned = ask(dealt, classes, owner, np.dtype(np.int32), shards)
@@ -319,57 +323,80 @@ def list_sets(docs: DataFrame) -> DataFrame:
     return stage(finish(dealt, both, listed, MEMBER), "jaccard-sets")
 
 
-def folded(buckets: bytes, size: int) -> np.ndarray:
-    """Counts of ``size`` buckets, from as many or more."""
-    return np.minimum(np.frombuffer(buckets, np.uint8).reshape(size, -1).sum(axis=1), 255).astype(np.int16)
+def folded(parity: bytes, size: int) -> np.ndarray:
+    """Parities of ``size`` bytes of buckets, from as many or more. Both are powers of two; neighbours are put together."""
+    bits = np.frombuffer(parity, np.uint8)
+    if len(bits) == size:
+        return bits
+    return np.packbits(np.bitwise_xor.reduce(np.unpackbits(bits).reshape(size * 8, -1), axis=1))
+
+
+def beside(pairs: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with the named columns of both sets, as ``set_a`` and ``set_b``."""
+    those = members.select(F.col("set_id").alias("_id"), F.struct(F.col("n_shingles").alias("n"), *columns).alias("_set"))
+    return (pairs.join(those.withColumnRenamed("_set", "set_a"), F.col("a") == F.col("_id")).drop("_id")
+            .join(those.withColumnRenamed("_set", "set_b"), F.col("b") == F.col("_id")).drop("_id"))
+
+
+def kept_rows(batch: pa.RecordBatch, keep: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
 
 def verify(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` of set ids that link: by bucket counts first, then by the shingles of both texts."""
-    texts = members.select(F.col("set_id").alias("_id"), F.struct(
-        F.col("n_shingles").alias("n"), "buckets", "text").alias("_set"))
-    joined = (pairs.join(texts.withColumnRenamed("_set", "set_a"), F.col("a") == F.col("_id")).drop("_id")
-              .join(texts.withColumnRenamed("_set", "set_b"), F.col("b") == F.col("_id")).drop("_id"))
+    """The pairs ``a``, ``b`` of set ids that link: by bucket parities first, then those left by the shingles of both texts."""
 
-    def link(batches):
-        last, mine = None, None
+    def close(batches):
         for batch in batches:
-            keep = []
-            a, b = ([batch.column(c).field(f) for f in ("n", "buckets", "text")] for c in ("set_a", "set_b"))
+            a, b = ([batch.column(c).field(f) for f in ("n", "parity")] for c in ("set_a", "set_b"))
             sizes = [x[0].to_numpy(zero_copy_only=False) for x in (a, b)]
             most = ((sizes[0] + sizes[1]) // NINTH).tolist()
+            keep = []
             for i in range(batch.num_rows):
                 x, y = a[1][i].as_py(), b[1][i].as_py()
                 least = min(len(x), len(y))
-                if np.abs(folded(x, least) - folded(y, least)).sum() > most[i]:
-                    continue
-                text = a[2][i].as_py()
+                if np.bitwise_count(folded(x, least) ^ folded(y, least)).sum() <= most[i]:
+                    keep.append(i)
+            yield kept_rows(batch, keep)
+
+    def link(batches):
+        last, mine = None, None
+        for batch in batches:
+            a, b = (batch.column(c).field("text") for c in ("set_a", "set_b"))
+            keep = []
+            for i in range(batch.num_rows):
+                text = a[i].as_py()
                 if text != last:
                     last, mine = text, Sets([text.encode()]).h
-                other = Sets([b[2][i].as_py().encode()]).h
+                other = Sets([b[i].as_py().encode()]).h
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 if 100 * both >= 80 * (len(mine) + len(other) - both):
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")],
-                                             names=["a", "b"])
+            yield kept_rows(batch, keep)
 
-    return joined.mapInArrow(link, "a long, b long")
+    # Staged, so that no task holds the Python workers of both steps.
+    left = stage(beside(pairs, members, "parity").mapInArrow(close, "a long, b long"), "jaccard-near")
+    return beside(left, members, "text").mapInArrow(link, "a long, b long")
 
 
-def first_common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
-    """The smallest key of two sets' sorted keys in which one of them asks."""
-    keys, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    return int(keys[a[1][i] | b[1][j]][0])
+def sketch(parity: bytes, n: int) -> bytes:
+    """The parities with one or two buckets a shingle, and ``SKETCH`` bytes at most."""
+    size = min(len(parity), SKETCH, max(1 << MIN_PARITY_BITS, 1 << int(n).bit_length()) // 8)
+    return folded(parity, size).tobytes()
 
 
-def near(key: int, rows: dict[str, list]) -> list[tuple[int, int]]:
-    """Pairs of one list that are of different components, asked for, and not excluded by size or bucket counts.
+def near(key: int, rows: pa.StructArray) -> list[tuple[int, int]]:
+    """Pairs of one list that are of different components, asked for, and not excluded by size or sketch.
 
-    A pair is given in the first of the lists that it shares, so once over all lists."""
-    n, label, asked = np.array(rows["n"]), np.array(rows["label"]), np.array(rows["asks"], bool)
-    chunk, name = np.array(rows["chunk"]), rows["set_id"]
-    least = min(map(len, rows["buckets"]))  # larger counts are folded to the fewest buckets
-    counts = np.stack([folded(b, least) for b in rows["buckets"]])
+    ``first`` holds the smallest keys of a set, a fixed number, ``turns`` in which of them it asks. Where two sets have such a key
+    in common in which one asks, both are in its list, and the smallest of these alone gives the pair; other pairs are given in
+    every list that they share."""
+    n, label, asked, chunk, name = (
+        rows.field(c).to_numpy(zero_copy_only=False) for c in ("n", "label", "asks", "chunk", "set_id"))
+    first, turns = (rows.field(c).flatten().to_numpy(zero_copy_only=False) for c in ("first", "turns"))
+    ends = np.concatenate([[0], np.cumsum(rows.field("first").value_lengths().to_numpy())])
+    bits = rows.field("sketch").to_pylist()
+    least = min(map(len, bits))  # longer ones are folded to the shortest
+    bits = np.stack([folded(b, least) for b in bits])
     two = len(np.unique(chunk)) > 1
     found = []
     for i in range(len(n) - 1):
@@ -378,9 +405,13 @@ def near(key: int, rows: dict[str, list]) -> list[tuple[int, int]]:
         if two:
             rest = rest[chunk[rest] != chunk[i]]
         if len(rest):
-            apart = np.abs(counts[rest] - counts[i]).sum(axis=1)
+            apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            mine = slice(ends[i], ends[i + 1])
             for j in rest[apart <= (n[rest] + n[i]) // NINTH].tolist():
-                if first_common(rows["profile"][i], rows["profile"][j]) == key:
+                other = slice(ends[j], ends[j + 1])
+                common, x, y = np.intersect1d(first[mine], first[other], assume_unique=True, return_indices=True)
+                common = common[turns[mine][x] | turns[other][y]]
+                if not len(common) or common[0] == key:
                     found.append((min(name[i], name[j]), max(name[i], name[j])))
     return found
 
@@ -407,31 +438,35 @@ def hub_pairs(entries: DataFrame, turn: int) -> DataFrame:
 
 
 def cross_pairs(entries: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of sets in different components that share a list in which one of them asks."""
+    """Pairs of sets in different components that share a list in which one of them asks.
+
+    An entry carries a sketch and a few keys of its set, of fixed size, so an index of k entries moves k rows of that size."""
     chunks = entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_chunks"))
-    # A set's own keys, at most as many as it has shingles, tell the first list it shares with another.
-    keys = entries.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("key", "asks"))).alias("keys"))
-    profiles = keys.join(members.select("set_id", "buckets"), "set_id")
+    own = F.slice(F.array_sort(F.collect_list(F.struct("key", "asks"))), 1, FIRST_KEYS)
+    first = entries.groupBy("set_id").agg(own.alias("_own")).select(
+        "set_id", F.col("_own.key").alias("first"), F.col("_own.asks").alias("turns"))
+
+    def shrink(batches):
+        for batch in batches:
+            sketches = [sketch(b.as_py(), n) for b, n in zip(batch.column("parity"), batch.column("n_shingles").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sketches, pa.binary())], names=["_id", "sketch"])
+
+    sketches = members.select(F.col("set_id").alias("_id"), "n_shingles", "parity").mapInArrow(shrink, "_id long, sketch binary")
+    profiles = first.join(sketches, F.col("set_id") == F.col("_id")).drop("_id")
     rows = entries.join(chunks, "key").join(profiles, "set_id")
     chunk = F.pmod(F.xxhash64("set_id"), F.col("_chunks")).cast("int")
     # A list of several chunks is compared chunk by chunk, each pair of chunks by itself.
     rows = rows.withColumn("_chunk", chunk).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).select(
         "key", F.least("_chunk", "_other").alias("_i"), F.greatest("_chunk", "_other").alias("_j"),
-        F.struct("n", "label", "asks", F.col("_chunk").alias("chunk"), "buckets", "keys", "set_id").alias("row"))
+        F.struct("n", "label", "asks", F.col("_chunk").alias("chunk"), "sketch", "first", "turns", "set_id").alias("row"))
     groups = rows.groupBy("key", "_i", "_j").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
 
     def compare(batches):
         for batch in batches:
             found = []
             for key, rows in zip(batch.column("key").to_pylist(), batch.column("rows")):
-                flat = rows.values
-                values = {c: flat.field(c).to_pylist() for c in ("n", "label", "asks", "chunk", "buckets", "set_id")}
-                own = flat.field("keys")
-                ends, inner = own.offsets.to_numpy() - own.offsets[0].as_py(), own.flatten()  # of this list only
-                all_keys, all_asks = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("key", "asks"))
-                values["profile"] = [(all_keys[a:b], all_asks[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-                found += near(key, values)
+                found += near(key, rows.values)
             a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
