@@ -28,7 +28,9 @@ from spinmart.llm import ship_with_tasks
 
 NO_MERGE = np.int64(1 << 40)
 # Words remembered by a task; beyond, it starts a new list. This bounds memory and changes no result.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 200_000
+# Bytes of text whose new words are merged together.
+REPLAY_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -176,6 +178,16 @@ class Encoder:
         self.ids: list[bytes] = []
 
     def __call__(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        done, part, size = [], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text or b"")
+            if size >= REPLAY_BYTES:
+                done += self.encode(part)
+                part, size = [], 0
+        return done + self.encode(part)
+
+    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
         if len(self.ids) > WORDS_KEPT:
             self.forget()
         number = self.place.__getitem__
