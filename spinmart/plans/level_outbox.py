@@ -17,9 +17,12 @@ from spinmart.functions.texts import (
 from spinmart.operators.lookups import left_join_present
 
 
-def recipients_with_level(recipients: DataFrame, roles: DataFrame) -> DataFrame:
-    """Recipients with the level their role sheet gives them, if any. A sheet has few rows for any one id."""
-    return left_join_present(recipients, roles, "id", limit=None)
+def recipients_with_level(recipients: DataFrame, roles: DataFrame, limit: int | None = None) -> DataFrame:
+    """Recipients with the level their role sheet gives them, if any.
+
+    A sheet has few rows for any one id. For one that may not, ``limit`` is the rows of an id from which on they are split.
+    """
+    return left_join_present(recipients, roles, "id", limit=limit)
 
 
 def _subject() -> Column:

@@ -102,11 +102,8 @@ def report_backfill(messages: DataFrame, conversations: DataFrame, users: DataFr
     )
 
 
-def report_lines(report: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(summary, lines): the right-aligned table of a report as rows (pos, line), of any length.
-
-    The summary is one row: total, agents, and the widths of the two columns.
-    """
+def _table(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(summary, lines): one row of total, agents and column widths; the agents with their line of the table."""
     agents = stage(report.select("email", "n_questions"), "agents")
     name, count = F.coalesce("email", F.lit(MISSING_AGENT)), F.col("n_questions").cast("string")
     # A count column is set one space wider than its title, as number columns are.
@@ -116,11 +113,19 @@ def report_lines(report: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.greatest(F.max(F.length(name)), F.lit(len(AGENT_TITLE))).alias("name_width"),
         F.greatest(F.max(F.length(count)), F.lit(len(COUNT_TITLE) + 1)).alias("count_width"),
     )
+    line = F.concat(F.lpad(name, summary.select("name_width").scalar(), F.lit(" ")), F.lit(" "),
+                    F.lpad(count, summary.select("count_width").scalar(), F.lit(" ")))
+    return summary, agents.withColumn("line", line)
+
+
+def report_lines(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(summary, lines): the right-aligned table of a report as rows (pos, line), of any length.
+
+    The summary is one row: total, agents, and the widths of the two columns.
+    """
+    summary, agents = _table(report)
     ranked = rank_within(agents, [], [F.desc("n_questions"), F.asc_nulls_last("email")], "pos")
-    lines = ranked.select("pos", F.concat(
-        F.lpad(name, summary.select("name_width").scalar(), F.lit(" ")), F.lit(" "),
-        F.lpad(count, summary.select("count_width").scalar(), F.lit(" "))).alias("line"))
-    return summary, lines
+    return summary, ranked.select("pos", "line")
 
 
 def report_message(report: DataFrame, day: date, agents_per_message: int | None = None) -> DataFrame:
@@ -129,24 +134,28 @@ def report_message(report: DataFrame, day: date, agents_per_message: int | None
     A caller whose service limits the length of a message can ask for parts of ``agents_per_message`` agents
     each, all with heading and total. ``report_lines`` has the table as rows.
     """
-    summary, lines = report_lines(report)
-    part, last_part = F.lit(0).cast("long"), F.lit(0).cast("long")
-    if agents_per_message is not None:
-        part = F.floor((F.col("pos") - 1) / agents_per_message).cast("long")
-        last_part = F.greatest(F.ceil(F.col("n_agents") / agents_per_message).cast("long") - 1, last_part)
-    tables = lines.groupBy(part.alias("part")).agg(
-        F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY pos)").alias("lines"))
     titles = F.concat(
         F.expr(f"lpad('{AGENT_TITLE}', name_width)"), F.lit(" "), F.expr(f"lpad('{COUNT_TITLE}', count_width)"))
-    return (
-        summary.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last_part)))
-        .join(tables, "part", "left")
-        .select("part", F.concat(
+
+    def body(lines: Column) -> Column:
+        return F.concat(
             F.format_string(HEADING, F.lit(day.isoformat()), F.col("total").cast("string")),
-            F.when(F.col("n_agents") == 0, F.lit(EMPTY_TABLE)).otherwise(
-                F.concat(titles, F.lit("\n"), F.col("lines"))),
+            F.when(F.col("n_agents") == 0, F.lit(EMPTY_TABLE)).otherwise(F.concat(titles, F.lit("\n"), lines)),
             F.lit(CLOSING),
-        ).alias("body"))
+        ).alias("body")
+
+    if agents_per_message is None:  # one message, whose lines are put in order where they are joined
+        summary, agents = _table(report)
+        joined = agents.agg(F.expr(
+            "listagg(line, '\n') WITHIN GROUP (ORDER BY n_questions DESC, email ASC NULLS LAST)").alias("lines"))
+        return summary.select(F.lit(0).cast("long").alias("part"), body(joined.scalar()))
+    summary, lines = report_lines(report)
+    last_part = F.greatest(F.ceil(F.col("n_agents") / agents_per_message).cast("long") - 1, F.lit(0).cast("long"))
+    tables = lines.groupBy(F.floor((F.col("pos") - 1) / agents_per_message).cast("long").alias("part")).agg(
+        F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY pos)").alias("lines"))
+    return (
+        summary.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last_part)))
+        .join(tables, "part", "left").select("part", body(F.col("lines")))
     )
 
 

@@ -2,7 +2,6 @@ from collections import Counter
 
 import pytest
 
-from spinmart.operators.lookups import left_join_present
 from spinmart.plans.level_outbox import level_outbox, level_outbox_all_pairs, recipients_with_level
 from spinmart.sources.schemas import RECIPIENT_LEVELS, RECIPIENTS, ROLES
 
@@ -32,11 +31,9 @@ def test_all_pairs_with_counts_equal_the_nested_loops(spark):
     assert {(r.recipient, r.subject, r.body): r.copies for r in got} == dict(want)
 
 
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_sheets_merge_on_id(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr("spinmart.plans.level_outbox.left_join_present",
-                        lambda left, right, key: left_join_present(left, right, key, limit))
+@pytest.mark.parametrize("limit", [1, 1000, None])
+def test_sheets_merge_on_id(spark, rows, limit):
     people = spark.createDataFrame([(1, "a@x"), (2, "b@x"), (None, "n@x")], RECIPIENTS)
     roles = spark.createDataFrame([(1, 2), (1, 1), (9, 1)], ROLES)
-    assert rows(recipients_with_level(people, roles), "email", "level") == [
+    assert rows(recipients_with_level(people, roles, limit), "email", "level") == [
         ("a@x", 1), ("a@x", 2), ("b@x", None), ("n@x", None)]
