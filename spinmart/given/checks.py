@@ -408,6 +408,24 @@ CHECK_SQL = {
                 OR (created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-12'), false)
                THEN -value ELSE value END AS value
         FROM changed""", "changed"),
+    "versioned_history": _with("""
+        SELECT * FROM (WITH days AS (
+            SELECT *, coalesce(created_at < updated_at, false) AS older,
+                   coalesce((updated_at >= TIMESTAMP '2024-01-10' AND updated_at < TIMESTAMP '2024-01-12')
+                         OR (created_at >= TIMESTAMP '2024-01-10' AND created_at < TIMESTAMP '2024-01-12'), false) AS both_days,
+                   coalesce((updated_at >= TIMESTAMP '2024-01-11' AND updated_at < TIMESTAMP '2024-01-12')
+                         OR (created_at >= TIMESTAMP '2024-01-11' AND created_at < TIMESTAMP '2024-01-12'), false) AS last_day
+            FROM changed
+        ), versions AS (
+            SELECT 2 AS version, '2024-01-09/2024-01-10 2024-01-11/2024-01-12' AS loaded, created_at,
+                   CASE WHEN older AND NOT last_day THEN -value ELSE value END AS value
+            FROM days WHERE older OR NOT both_days OR last_day
+            UNION ALL
+            SELECT 4, '2024-01-09/2024-01-12', created_at, CASE WHEN older AND NOT both_days THEN -value ELSE value END
+            FROM days
+        )
+        SELECT version, loaded, CAST(created_at AS DATE) AS created_day, count(*) AS n_rows, round(sum(value), 4) AS total
+        FROM versions GROUP BY ALL)""", "changed"),
     "load_chosen_tables": _with("""
         SELECT 'orders' AS source_table, id, money_total AS value, CASE WHEN id % 3 <> 0 THEN created END AS updated_at
         FROM orders_src
@@ -452,5 +470,6 @@ CHECK_SQL = {
                         FROM people WHERE level IN (1, 2) GROUP BY 1) b
         WHERE a.email <> ''""", "people"),
 }
+CHECK_SQL["versioned_load"] = CHECK_SQL["incremental_load"]
 CHECK_SQL["incremental_load_by_day"] = CHECK_SQL["incremental_load"]
 CHECK_SQL["html_rows_nested"] = CHECK_SQL["html_rows"]

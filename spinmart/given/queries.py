@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from spinmart.plans import marts, report
 from spinmart.plans.gamestreams import counted_wins, failed_wins, reward_catalog, spin_credits
 from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned, load_all
 from spinmart.sinks.tables import append_to_mart, write_export
+from spinmart.sinks.versions import VersionedTable
 from spinmart.sources import schemas
 from spinmart.sources.changes import LoadConfig, changed_between, extract_changes
 from spinmart.sources.pages import html_rows, html_rows_nested
@@ -281,6 +282,35 @@ def incremental_load_by_day(spark, folder):
     return loaded.drop("created_day")
 
 
+def _versioned(spark, folder) -> VersionedTable:
+    """The same target with versions: the later day loaded first, then the gap before it, then both again."""
+    source, config, target = _load_case(spark, folder)
+    day = F.to_date("created_at")
+    table = VersionedTable(spark, staging_path(spark, "versions"), "created_day")
+    table.create(target.withColumn("created_day", day), [(LO - timedelta(days=1), LO)])
+    source = source.withColumn("created_day", day)
+    table.load(source, config, LO + timedelta(days=1), HI, holes=True)
+    table.load(source, config, *table.next_interval(HI))
+    table.load(source, config, LO, HI)
+    return table
+
+
+def versioned_load(spark, folder):
+    """Three loads with a gap and an overlap into a target with versions."""
+    return _versioned(spark, folder).read().drop("created_day")
+
+
+def versioned_history(spark, folder):
+    """Rows and sums of two versions by day, read after both were made, and what each has loaded."""
+    table, found = _versioned(spark, folder), []
+    for version in (2, 4):
+        loaded = [f"{lo:%Y-%m-%d}/{hi:%Y-%m-%d}" for lo, hi in table.intervals(version)]
+        found.append(table.read(version).groupBy("created_day").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 4).alias("total")).select(
+            F.lit(version).alias("version"), F.lit(" ".join(loaded)).alias("loaded"), "created_day", "n_rows", "total"))
+    return found[0].unionByName(found[1])
+
+
 def load_chosen_tables(spark, folder):
     """Two of three tables loaded in one run, one by partial choice, one by what a full load leaves."""
     root, loaded = staging_path(spark, "tables"), []
@@ -412,6 +442,8 @@ QUERIES = {
     "upsert_latest": upsert_events,
     "incremental_load": incremental_load_job,
     "incremental_load_by_day": incremental_load_by_day,
+    "versioned_load": versioned_load,
+    "versioned_history": versioned_history,
     "load_chosen_tables": load_chosen_tables,
     "append_by_position": append_by_position,
     "sheet_export": sheet_export,
