@@ -203,10 +203,11 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, carry: Sequence
     """Per row: the ``carry`` columns, ``n_tokens`` and ``ids``; with ``decoded`` also the bytes the ids stand for.
 
     ``ids`` holds little-endian unsigned 32-bit integers. Every match of ``pattern`` is encoded by itself; there are no
-    special tokens. A NULL or empty text has no tokens. Carried columns must not be named ``n_tokens``, ``ids`` or
-    ``decoded``. The vocabulary file is read once, on the driver, and goes to the tasks with the job (1 MB).
+    special tokens. A NULL or empty text has no tokens. A carried column named like one of the result is replaced by it. The vocabulary file is read once, on the driver, and goes to the tasks with the job (1 MB).
     """
     ranks = read_ranks(ranks_path)
+    made = ("n_tokens", "ids", "decoded") if decoded else ("n_tokens", "ids")
+    carry = [name for name in carry if name.lower() not in made]
     kept = docs.select(*dict.fromkeys([*carry, "text"])).schema
     schema = T.StructType([*[kept[name] for name in carry], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.BinaryType()),

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from spinmart.llm import ship_with_tasks
 from spinmart.llm.blocks import hash_all, texts_of, window_hashes
+from spinmart.llm.names import step_aside
 from spinmart.operators.lookups import broadcast_if_small
 
 WINDOW_WORDS = 8
@@ -340,10 +341,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a leak, with their own columns."""
+    """The rows of ``docs`` without a leak, with their own columns, whatever their names."""
+    docs, own = step_aside(docs, ("_leak", "_hash"))
     leaked = broadcast_if_small(
         find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak"), F.col("text_hash").alias("_hash")).distinct())
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leak")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_leak")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(leaked, same, "left_anti").withColumnsRenamed(own)
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -46,6 +46,7 @@ from spinmart.llm.blocks import (
     window_hashes,
 )
 from spinmart.llm.components import connect
+from spinmart.llm.names import step_aside
 from spinmart.operators.lookups import broadcast_if_small
 from spinmart.operators.staging import stage
 
@@ -513,7 +514,11 @@ def find_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one with the smallest id, with its own columns. Texts without words all stay."""
+    """One row of each component, the one with the smallest id, with its own columns, whatever their names.
+
+    Texts without words all stay.
+    """
+    docs, own = step_aside(docs, ("_id", "_hash"))
     rows = stage(find_components(docs).where("label IS NOT NULL").groupBy("label", "doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("copies")), "jaccard-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
@@ -525,7 +530,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     aside = broadcast_if_small(judged.where("NOT _stays OR copies > 1").select("_id", "_hash"))
     repeated = broadcast_if_small(judged.where("_stays AND copies > 1").select("_id", "_hash"))
     return docs.join(aside, listed, "left_anti").unionByName(
-        docs.join(repeated, listed, "left_semi").dropDuplicates(["doc_id", "text"]))
+        docs.join(repeated, listed, "left_semi").dropDuplicates(["doc_id", "text"])).withColumnsRenamed(own)
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from spinmart.llm import ship_with_tasks
 from spinmart.llm.blocks import ask, count_blocks, deal, finish, hash_all, mix, same_keys, texts_of
+from spinmart.llm.names import step_aside
 
 MIN_DOCUMENTS = 10
 MIN_CHARS = 1
@@ -88,10 +89,10 @@ def drop_common_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_c
     ``min_chars`` code points found in at least ``min_documents`` documents lose their lines in every
     document; the rest is joined by line feeds. A NULL or empty text is one empty line and becomes an
     empty text. A document's own repetitions count once; repeated rows are documents of their own. All
-    other columns pass unchanged. ``docs`` must not have columns named ``n_lines``, ``n_dropped``, ``_block``;
-    those are replaced. An empty table gives an empty table.
+    other columns pass unchanged, whatever their names; columns named ``n_lines`` and ``n_dropped`` are replaced by
+    the result. An empty table gives an empty table.
     """
-    docs = docs.drop("n_lines", "n_dropped", "_block")
+    docs, own = step_aside(docs.drop("n_lines", "n_dropped"), ("_block",))
     blocks = count_blocks(docs)
     dealt = deal(docs, blocks)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema],
@@ -129,7 +130,7 @@ def drop_common_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_c
         return pa.table(out | {"n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())})
 
     answers = ask(dealt, question, reply, np.dtype(np.uint32), max(1, blocks // 4))
-    return finish(dealt, answers, drop, schema)
+    return finish(dealt, answers, drop, schema).withColumnsRenamed(own)
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

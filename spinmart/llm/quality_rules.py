@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.llm import ship_with_tasks
+from spinmart.llm.names import step_aside
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words",
@@ -169,20 +170,28 @@ def ablations(ledger: DataFrame, policies: Sequence[Policy], rules: Sequence[Rul
 
 
 def keep_good(docs: DataFrame, policy: Policy = WEB_TEXT_2, rules: Sequence[Rule] = RULES_2) -> DataFrame:
-    """The rows of ``docs`` that pass the policy, with their own columns."""
-    return build_ledger(docs, docs.columns, rules).where(~fails(policy, rules)).select(*docs.columns)
+    """The rows of ``docs`` that pass the policy, with their own columns, whatever their names."""
+    docs, own = step_aside(docs, (*MEASURES, BY_WINDOW, "fail_bits"))
+    return build_ledger(docs, docs.columns, rules).where(~fails(policy, rules)).select(*docs.columns).withColumnsRenamed(own)
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
     """All documents: measurements, failure bits and the verdicts of two policies."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return build_ledger(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", fails(BASE).alias("base_failed"),
-        (~fails(WEB_TEXT)).alias("kept"), "n_lines", "n_distinct_words", "n_wordless", "fail_bits")
+    return build_ledger(docs, rules=RULES_2).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        fails(BASE, RULES_2).alias("base_failed"), (~fails(WEB_TEXT_2, RULES_2)).alias("kept"),
+        "n_lines", "n_distinct_words", "n_wordless", BY_WINDOW, "fail_bits")
+
+
+def quality_ablations(spark, sf_dir: str) -> DataFrame:
+    """What each rule of three policies does to all documents, from one ledger."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return ablations(build_ledger(docs, rules=RULES_2), [BASE, WEB_TEXT, WEB_TEXT_2], RULES_2)
 
 
 # The words of DuckDB's trim and split are the same runs; code points by length().
-OP1_SQL = r"""
+LEDGER_SQL = r"""
 WITH split AS (
     SELECT doc_id, coalesce(text, '') AS text,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -204,7 +213,9 @@ WITH split AS (
            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
            len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            coalesce(n_repeat_words, 0) AS n_repeat_words, len(list_distinct(words)) AS n_distinct_words,
-           len(list_filter(words, lambda x: regexp_full_match(x, '[\x21-\x40\x5B-\x60\x7B-\x7E]+'))) AS n_wordless
+           len(list_filter(words, lambda x: regexp_full_match(x, '[\x21-\x40\x5B-\x60\x7B-\x7E]+'))) AS n_wordless,
+           CAST(coalesce(list_sum(list_transform(range(0, len(words), 5000),
+                lambda i: len(list_distinct(words[i + 1:i + 5000])))), 0) AS BIGINT) AS n_window_distinct
     FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id
 ), judged AS (
     SELECT *, CAST(CASE WHEN n_words < 50 THEN 1 ELSE 0 END
@@ -214,10 +225,23 @@ WITH split AS (
         + CASE WHEN word_chars < 3 * n_words THEN 16 ELSE 0 END
         + CASE WHEN word_chars > 10 * n_words THEN 32 ELSE 0 END
         + CASE WHEN 100 * n_distinct_words < 20 * n_words THEN 64 ELSE 0 END
-        + CASE WHEN 10 * n_wordless > 3 * n_words THEN 128 ELSE 0 END AS BIGINT) AS fail_bits
+        + CASE WHEN 10 * n_wordless > 3 * n_words THEN 128 ELSE 0 END
+        + CASE WHEN 100 * n_window_distinct < 20 * n_words THEN 256 ELSE 0 END AS BIGINT) AS fail_bits
     FROM measured
 )
-SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM judged
+"""
+OP1_SQL = LEDGER_SQL + "SELECT *, (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 447) = 0 AS kept FROM judged"
+ABLATIONS_SQL = LEDGER_SQL + """, rules (rule, bit) AS (
+    VALUES ('few_words', 1), ('repeated_passages', 2), ('symbols', 4), ('repeated_lines', 8), ('short_words', 16),
+           ('long_words', 32), ('few_distinct_words', 64), ('words_without_letters', 128),
+           ('few_distinct_words_by_window', 256)
+), policies (policy, version, mask) AS (VALUES ('base', 1, 3), ('web_text', 1, 255), ('web_text', 2, 447))
+SELECT policy, version, rule, count(*) FILTER (WHERE fail_bits & bit <> 0) AS n_failed,
+       count(*) FILTER (WHERE fail_bits & mask = bit) AS n_dropped_alone,
+       count(*) FILTER (WHERE fail_bits & mask = 0) AS n_kept,
+       count(*) FILTER (WHERE fail_bits & mask & ~bit = 0) AS n_kept_without
+FROM judged, policies JOIN rules ON mask & bit <> 0
+GROUP BY policy, version, rule
 """
 
 ship_with_tasks(__name__)

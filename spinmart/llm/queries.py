@@ -10,7 +10,7 @@ from spinmart.llm.jaccard_join import op4_jaccard_join
 from spinmart.llm.line_dedup import OP7_SQL, op7_line_dedup
 from spinmart.llm.lm_scoring import op3_lm_scoring
 from spinmart.llm.quality_classifier import op13_quality_classifier
-from spinmart.llm.quality_rules import OP1_SQL, op1_quality_rules
+from spinmart.llm.quality_rules import ABLATIONS_SQL, OP1_SQL, op1_quality_rules, quality_ablations
 from spinmart.llm.sharding import op8_sharding
 from spinmart.llm.substring_dedup import op10_substring_dedup
 from spinmart.llm.url_filters import OP5_SQL, op5_url_filters
@@ -30,6 +30,7 @@ LLM_QUERIES = {
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_filter_audit": op12_filter_audit,
     "op13_quality_classifier": op13_quality_classifier,
+    "quality_ablations": quality_ablations,
 }
 
 LLM_SQL = {
@@ -39,4 +40,5 @@ LLM_SQL = {
     "op9_warc_audit": OP9_SQL,
     "op11_fill_in_middle": OP11_SQL,
     "op12_filter_audit": OP12_SQL,
+    "quality_ablations": ABLATIONS_SQL,
 }

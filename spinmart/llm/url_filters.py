@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spinmart.llm.names import step_aside
 from spinmart.operators.staging import stage
 
 # Keys of a level in one shard, about 48 KB of bits at most in the later levels.
@@ -141,10 +142,12 @@ class Cascade:
 
     def add_membership(self, rows: DataFrame, key: str, name: str, limit: int = CONSTANT_BYTES) -> DataFrame:
         """``rows`` with a boolean ``name``. A cascade of up to ``limit`` bytes is a constant of the plan; of a
-        larger one each row meets its own shard."""
+        larger one each row meets its own shard. Other columns stay, whatever their names; one called ``name`` is replaced."""
         if not self.levels:
             return rows.withColumn(name, F.lit(False))
         columns = {f"_words{i}": table for i, table in enumerate(self.filters)}
+        rows, own = step_aside(rows if name == key else rows.drop(name), ("_shard", *columns))
+        key = next((free for free, was in own.items() if was == key), key)
         if self.n_bytes <= limit:
             shard = F.col("_shard")
             words = {c: F.get(t.agg(F.array_sort(F.collect_list(F.struct("_shard", "words")))["words"]).scalar(), shard)
@@ -156,7 +159,8 @@ class Cascade:
                 out = out.join(t.select("_shard", F.col("words").alias(c)), "_shard")
             words = {c: F.col(c) for c in columns}
         held = [_holds(w, F.col(key), i + 1, *self.levels[i]) for i, w in enumerate(words.values())]
-        return out.withColumn(name, self._answer(held)).select(*rows.columns, name)
+        asked = self._answer(held).alias(name)
+        return out.select(*[c for c in rows.columns if c != name], asked).withColumnsRenamed(own)
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
