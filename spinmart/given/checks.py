@@ -248,6 +248,17 @@ CHECK_SQL = {
         SELECT coalesce(c.uid, w.uid) AS uid, coalesce(c.game_id, w.game_id) AS game_id, l_orderkey, l_linenumber,
                l_partkey, l_suppkey, l_quantity, l_extendedprice, c.rn, event_id, ts, value
         FROM ranked c FULL OUTER JOIN ranked_wins w ON c.uid = w.uid AND c.game_id = w.game_id AND c.rn = w.rn""",
+    "pair_in_increments": """
+        WITH clicks AS (
+            SELECT user_id AS uid, event_id AS click_id, ts AS clicked_at,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+            FROM events WHERE event_type = 'click'),
+        bought AS (
+            SELECT user_id AS uid, event_id AS purchase_id, ts AS bought_at, value,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nth
+            FROM events WHERE event_type = 'purchase')
+        SELECT coalesce(c.uid, b.uid) AS uid, click_id, clicked_at, rn, purchase_id, bought_at, value
+        FROM clicks c FULL OUTER JOIN bought b ON c.uid = b.uid AND rn = nth""",
     "rank_credits": f"WITH {SLICE} SELECT * FROM ranked",
     "credits_flagged": _with(f"SELECT {CREDIT_COLUMNS} FROM game_credits", "game_credits"),
     "wins_window_table": _with("""
@@ -473,3 +484,4 @@ CHECK_SQL = {
 CHECK_SQL["versioned_load"] = CHECK_SQL["incremental_load"]
 CHECK_SQL["incremental_load_by_day"] = CHECK_SQL["incremental_load"]
 CHECK_SQL["html_rows_nested"] = CHECK_SQL["html_rows"]
+CHECK_SQL["mart_game_in_increments"] = CHECK_SQL["mart_game"]

@@ -22,6 +22,7 @@ from spinmart.plans import level_outbox as outbox
 from spinmart.plans import marts, report
 from spinmart.plans.gamestreams import counted_wins, failed_wins, reward_catalog, spin_credits
 from spinmart.plans.incremental_load import incremental_load, incremental_load_partitioned, load_all
+from spinmart.sinks.paired import PairedMart
 from spinmart.sinks.tables import append_to_mart, write_export
 from spinmart.sinks.versions import VersionedTable
 from spinmart.sources import schemas
@@ -31,6 +32,8 @@ from spinmart.sources.readers import read_sheet, read_table
 
 AS_OF = datetime(2024, 9, 1, 3, 30)
 CHAT_AS_OF = datetime(2024, 1, 10, 3, 30)
+MART_CUTS = [datetime(1970, 1, 1), datetime(2023, 6, 1), datetime(2024, 1, 15), datetime(2024, 9, 1)]
+PAIR_CUTS = [datetime(1970, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2100, 1, 1)]
 PATTERN = "click|view|sign"
 FIRST_DAY, LAST_DAY = date(2024, 1, 5), date(2024, 1, 6)
 
@@ -169,6 +172,29 @@ def _mart(build, **options):
     return lambda spark, folder: build(given.game_sources(spark, folder), AS_OF, **options)
 
 
+def mart_game_in_increments(spark, folder):
+    """``mart_game`` filled by three loads; ids do not follow the time, so most groups have late rows."""
+    src = given.game_sources(spark, folder)
+    mart = marts.game_in_increments(src, AS_OF, staging_path(spark, "mart"), buckets=8)
+    for lo, hi in zip(MART_CUTS, MART_CUTS[1:]):
+        marts.add_to_game(mart, src, AS_OF, lo, hi)
+    return mart.read().select(*marts.GAME_COLUMNS)
+
+
+def pair_in_increments(spark, folder):
+    """n-th click beside n-th purchase of each user in order of time, loaded by parts of the month, so no row is late."""
+    events = given.table(spark, folder, "events")
+    clicks = events.where("event_type = 'click'").selectExpr("user_id AS uid", "event_id AS click_id", "ts AS clicked_at")
+    bought = events.where("event_type = 'purchase'").selectExpr(
+        "user_id AS uid", "event_id AS purchase_id", "ts AS bought_at", "value")
+    mart = PairedMart(spark, staging_path(spark, "mart"), clicks.schema, bought.schema, ["uid"],
+                      ["clicked_at"], ["bought_at"], buckets=8)
+    for lo, hi in zip(PAIR_CUTS, PAIR_CUTS[1:]):
+        mart.load(clicks.where(changed_between(["clicked_at"], "timestamp", lo, hi)),
+                  bought.where(changed_between(["bought_at"], "timestamp", lo, hi)), lo, hi)
+    return mart.read()
+
+
 # Report.
 
 def _chat(spark, folder):
@@ -420,6 +446,8 @@ QUERIES = {
     "json_dim_join": json_dim_join,
     "code_suffix": url_suffix,
     "mart_game": _mart(marts.mart_game),
+    "mart_game_in_increments": mart_game_in_increments,
+    "pair_in_increments": pair_in_increments,
     "mart_game_by_site_user": _mart(marts.mart_game, by_site_user=True),
     "mart_game_failed_included": _mart(marts.mart_game_failed_included),
     "mart_game_codes": _mart(marts.mart_game_codes),

@@ -150,8 +150,12 @@ class VersionedTable:
         staged = stage(extract_changes(source, config, lo, hi).select(*schema.names), "extract")
         parts = staged.select(self._part().alias("part")).distinct()
         rows = upsert_latest(self.read(version, parts), staged, config.upsert_key, config.timestamp_columns)
+        return self.change(version, rows, parts, (lo, hi))
+
+    def change(self, version: int, rows: DataFrame, emptied: DataFrame, loaded: Interval) -> int:
+        """The version after ``version``: partitions in ``emptied`` (column ``part``) go, ``rows`` are added beside the others."""
         _, places = self._write(rows)
         old = self.places(version)
-        kept = old.join(parts, old["part"].eqNullSafe(parts["part"]), "left_anti")
-        self._publish(version + 1, kept.unionByName(places), [*known, (lo, hi)], schema)
+        kept = old.join(emptied, old["part"].eqNullSafe(emptied["part"]), "left_anti")
+        self._publish(version + 1, kept.unionByName(places), [*self.intervals(version), loaded], self._schema())
         return version + 1
