@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spinmart.functions.texts import code_suffix, json_int, json_text, matches_any
-from spinmart.functions.timerules import hour_start, local_time, settled, window_flag
+from spinmart.functions.timerules import hour_lag_cutoff, hour_start, local_time, settled, window_flag
 from spinmart.given import tables as given
 from spinmart.operators.latest import latest_per_key, upsert_latest
 from spinmart.operators.lookups import exclude_ids, flag_by_window_table, left_join_derived, windows_table
@@ -32,7 +32,9 @@ from spinmart.sources.readers import read_sheet, read_table
 
 AS_OF = datetime(2024, 9, 1, 3, 30)
 CHAT_AS_OF = datetime(2024, 1, 10, 3, 30)
-MART_CUTS = [datetime(1970, 1, 1), datetime(2023, 6, 1), datetime(2024, 1, 15), datetime(2024, 9, 1)]
+# The cutoff itself counts, and intervals leave out their end.
+MART_CUTS = [datetime(1970, 1, 1), datetime(2023, 6, 1), datetime(2024, 1, 15),
+             hour_lag_cutoff(AS_OF) + timedelta(microseconds=1)]
 PAIR_CUTS = [datetime(1970, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2100, 1, 1)]
 PATTERN = "click|view|sign"
 FIRST_DAY, LAST_DAY = date(2024, 1, 5), date(2024, 1, 6)

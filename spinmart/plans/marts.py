@@ -136,8 +136,8 @@ def add_to_game(mart: PairedMart, src: GameSources, as_of: datetime, lo: datetim
                 **options) -> int:
     """Load the orders and wins created in ``[lo, hi)`` (UTC) that are settled at ``as_of``; the new version.
 
-    An interval is loaded once, so it should be settled whole: ``hi`` at most the cutoff of ``as_of``. Orders that are paid and
-    rewards that are set up later than that are not seen again, as in any run that appends.
+    An interval is loaded once, so it should be settled whole: no time before ``hi`` may be later than the cutoff of ``as_of``.
+    Orders that are paid and rewards that are set up later than that are not seen again, as in any run that appends.
     """
     def created(rows: DataFrame) -> DataFrame:
         return rows.where(changed_between(["created"], "timestamp", lo, hi))

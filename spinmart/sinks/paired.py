@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from spinmart.operators.ranking import GROUP_LIMIT, rank_within
 from spinmart.operators.sizing import BROADCAST_BYTES, stage_measured
 from spinmart.operators.staging import stage, staged_for
-from spinmart.sinks.versions import VersionedTable, gaps
+from spinmart.sinks.versions import VersionedTable, gaps, no_rows
 
 # Buckets of groups. A load rewrites the open rows and the state of the buckets it touches.
 BUCKETS = 64
@@ -46,7 +46,7 @@ class PairedMart:
         self.columns = {side: [f.name for f in schema if f.name not in self.keys]
                         for side, schema in (("left", left), ("right", right))}
         self.table = VersionedTable(spark, root, "_kind")
-        self._empty = self._layout(spark.createDataFrame([], left), spark.createDataFrame([], right))
+        self._empty = self._layout(no_rows(spark, left), no_rows(spark, right))
 
     # ------------------------------------------------------------ expressions
 
@@ -129,7 +129,7 @@ class PairedMart:
         rest = []
         if any_late:
             paired = self._rows(version, "paired", late).select(*self.keys, "nth", *SIDES)
-            again = again.unionByName(self._with(paired, late, "left_semi", small).drop("nth"))
+            again = stage(again.unionByName(self._with(paired, late, "left_semi", small).drop("nth")), "late-rows")
             rest = [self._stored(self._with(paired, late, "left_anti", small), self._kind("paired"))]
         sides = [self._ranked(side, new.unionByName(again) if any_late else new, groups, small).unionByName(
             opened.where(f"NOT _late AND {side} IS NOT NULL").select(*self.keys, "nth", side)) for side in SIDES]
@@ -144,7 +144,7 @@ class PairedMart:
         emptied = self._parts(groups, ["open", "state"])
         if any_late:
             emptied = emptied.unionByName(self._parts(late, ["paired"]))
-        return self.table.change(version, reduce(DataFrame.unionByName, rows), stage(emptied, "emptied"), interval)
+        return self.table.change(version, reduce(DataFrame.unionByName, rows), emptied, interval)
 
     def _groups(self, version: int, new: DataFrame) -> tuple[DataFrame, bool]:
         """The groups of the new rows, staged: counts before and after, the last row of each side, and whether a row is late;
@@ -169,8 +169,8 @@ class PairedMart:
     def _ranked(self, side: str, rows: DataFrame, groups: DataFrame, small: bool) -> DataFrame:
         """The rows of a side with their rank in the whole group."""
         flat = rows.where(F.col(side).isNotNull()).select(*self.keys, f"{side}.*")
-        # The place within the increment; read several times when a group is heavy.
-        placed = rank_within(stage(flat, side), self.keys, self.order[side], "_nth", self.limit)
+        # The place within the increment. What is ranked is a scan of staged tables, which may be read several times.
+        placed = rank_within(flat, self.keys, self.order[side], "_nth", self.limit)
         return self._with(placed, groups.select(*self.keys, F.col(f"before_{side}").alias("_before")), "inner", small).select(
             *self.keys, (F.col("_nth") + F.col("_before")).alias("nth"), F.struct(*self.columns[side]).alias(side))
 

@@ -12,9 +12,11 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from spinmart.operators.latest import upsert_latest
 from spinmart.operators.staging import stage
@@ -42,6 +44,20 @@ def gaps(intervals: Iterable[Interval]) -> list[Interval]:
     return [(a[1], b[0]) for a, b in zip(known, known[1:])]
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def few_rows(spark: SparkSession, form: str | T.StructType, rows: Sequence[tuple]) -> DataFrame:
+    """A few rows of a manifest, without a Python worker for each core."""
+    schema = T.StructType.fromDDL(form) if isinstance(form, str) else form
+    if not rows:
+        return no_rows(spark, schema)
+    columns = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(zip(*rows), schema)]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
+
+
 class VersionedTable:
     """Rows laid out by a partition column that never changes for a key, such as the creation day."""
 
@@ -94,7 +110,7 @@ class VersionedTable:
         # As many paths as partitions, which any reader of a partitioned table lists on the driver.
         paths = [f"{self.root}/{r.path}" for r in places.select("path").distinct().collect()]
         schema = self._schema()
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else no_rows(self.spark, schema)
 
     def _schema(self) -> T.StructType:
         """Of the table, as the first version has it: columns are not changed by loads."""
@@ -114,13 +130,13 @@ class VersionedTable:
         named.write.partitionBy("_part").parquet(f"{self.root}/{load}")
         folders = [s.getPath().getName() for s in self._files.listStatus(self._path(f"{self.root}/{load}")) if s.isDirectory()]
         names = [(f.split("=", 1)[1], f"{load}/{f}") for f in folders if f.startswith("_part=")]
-        return load, self.spark.createDataFrame([(None if p == "NULL" else p, path) for p, path in names], PLACES)
+        return load, few_rows(self.spark, PLACES, [(None if p == "NULL" else p, path) for p, path in names])
 
     def _publish(self, version: int, places: DataFrame, intervals: Iterable[Interval], schema: T.StructType) -> None:
         aside = f"{self.root}/aside-{uuid.uuid4().hex}"
         places.coalesce(1).write.parquet(f"{aside}/places")
-        self.spark.createDataFrame(merged(intervals), INTERVALS).coalesce(1).write.parquet(f"{aside}/intervals")
-        self.spark.createDataFrame([(None, schema.json())], PLACES).coalesce(1).write.parquet(f"{aside}/schema")
+        few_rows(self.spark, INTERVALS, merged(intervals)).coalesce(1).write.parquet(f"{aside}/intervals")
+        few_rows(self.spark, PLACES, [(None, schema.json())]).coalesce(1).write.parquet(f"{aside}/schema")
         self._switch(aside, version)
 
     def create(self, rows: DataFrame, covered: Sequence[Interval] = ()) -> int:
