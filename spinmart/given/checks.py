@@ -296,6 +296,18 @@ CHECK_SQL = {
         SELECT event_id, ts + {LOCAL} AS local_ts, date_trunc('hour', ts + {LOCAL}) AS local_hour, CAST(ts + {LOCAL} AS DATE) AS local_day
         FROM events WHERE ts + {LOCAL} <= date_trunc('hour', TIMESTAMP '2024-01-10 03:30:00' + {LOCAL}) - INTERVAL 1 HOUR""",
     "exclude_ids": "SELECT * FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) <> 50",
+    "exclude_long_list": """
+        SELECT * FROM events
+        WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey + l_partkey + l_suppkey = event_id)""",
+    "windows_in_bins": """
+        SELECT event_id, event_type, ts, CASE
+            WHEN ts > date_trunc('minute', ts) AND ts <= date_trunc('minute', ts) + INTERVAL 40 SECOND
+                 AND date_trunc('minute', ts) IN (SELECT date_trunc('minute', ts) FROM events WHERE event_id % 7 = 0)
+            THEN CAST(minute(ts) AS INTEGER)
+            WHEN day(ts) % 3 = 0 AND ts > date_trunc('day', ts) + INTERVAL 12 HOUR
+                 AND ts <= date_trunc('day', ts) + INTERVAL 18 HOUR THEN 100
+            WHEN ts > TIMESTAMP '2024-01-21 00:00:00' THEN 200 ELSE 0 END AS flag
+        FROM events""",
     "json_dim_join": _with("""
         SELECT w.id, n_name AS province, w.district, w.dealer
         FROM wins_src w LEFT JOIN nation ON n_nationkey = w.city_id""", "wins_src"),

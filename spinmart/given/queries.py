@@ -153,6 +153,30 @@ def exclude_listed(spark, folder):
     return exclude_ids(given.table(spark, folder, "events"), given.excluded_wins_src(spark, folder), "event_id")
 
 
+def exclude_long_list(spark, folder):
+    """Events whose id no line's order, part and supplier add up to; the list is taken for one beyond the bound."""
+    lines = given.table(spark, folder, "lineitem").selectExpr("l_orderkey + l_partkey + l_suppkey AS id")
+    return exclude_ids(given.table(spark, folder, "events"), lines, "event_id", limit=0)
+
+
+def windows_in_bins(spark, folder):
+    """Events flagged by a window for the minute of every seventh event, else one for the afternoon of every third day,
+    else by one from the 21st on. No window names the key that the table knows."""
+    events = given.table(spark, folder, "events").select("event_id", "event_type", "ts")
+    marked = events.where("event_id % 7 = 0").selectExpr("date_trunc('minute', ts) AS lo").distinct()
+    minutes = marked.selectExpr(
+        "lo", "lo + INTERVAL 40 SECOND AS hi", "minute(lo) AS flag", "datediff(lo, DATE'2000-01-01') * 1440 + hour(lo) * 60 + minute(lo) AS place")
+    days = events.selectExpr("date_trunc('day', ts) AS day").distinct().where("dayofmonth(day) % 3 = 0").selectExpr(
+        "day + INTERVAL 12 HOUR AS lo", "day + INTERVAL 18 HOUR AS hi", "100 AS flag",
+        "100000000 + datediff(day, DATE'2000-01-01') AS place")
+    late = spark.range(1).selectExpr("TIMESTAMP_NTZ'2024-01-21 00:00:00' AS lo", "CAST(NULL AS TIMESTAMP_NTZ) AS hi", "200 AS flag",
+                                     "200000000 AS place")
+    columns = ["CAST(NULL AS STRING) AS _w_event_type", "CAST(lo AS TIMESTAMP_NTZ) AS _lo", "CAST(hi AS TIMESTAMP_NTZ) AS _hi",
+               "flag AS _flag", "place AS _place"]
+    windows = minutes.union(days).union(late).selectExpr(*columns)
+    return flag_by_window_table(events, windows, ["event_type"], "ts", 0, "flag", most=0)
+
+
 def json_dim_join(spark, folder):
     wins = given.wins_src(spark, folder).select("id", "metadata")
     provinces = given.provinces_src(spark, folder).selectExpr("id AS province_id", "title AS province")
@@ -445,6 +469,8 @@ QUERIES = {
     "pair_default_fill": pair_default_fill,
     "hour_lag_cutoff": hour_lag_cutoff,
     "exclude_ids": exclude_listed,
+    "exclude_long_list": exclude_long_list,
+    "windows_in_bins": windows_in_bins,
     "json_dim_join": json_dim_join,
     "code_suffix": url_suffix,
     "mart_game": _mart(marts.mart_game),

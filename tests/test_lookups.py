@@ -1,8 +1,10 @@
 import random
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spinmart.functions.texts import (
     code_map,
@@ -14,12 +16,16 @@ from spinmart.functions.texts import (
 )
 from spinmart.operators.latest import latest_per_key, upsert_latest
 from spinmart.operators.lookups import (
+    bin_windows,
     broadcast_if_small,
     exclude_ids,
+    flag_by_bins,
+    flag_by_window_table,
     left_join_derived,
     left_join_present,
     measured_bytes,
 )
+from spinmart.operators.membership import MOST_BITS, can_filter, filter_bits, listed_filter
 
 
 @pytest.mark.parametrize("bound", [1, 1_000_000])
@@ -158,3 +164,108 @@ def test_rows_without_a_key_are_one_key_of_an_upsert(spark, rows, bound):
     once = upsert_latest(target, staged, "id", ["stamp"], bound)
     assert rows(once) == [(1, "a", 1), (None, "new", 2)]
     assert rows(upsert_latest(once, staged, "id", ["stamp"], bound)) == rows(once)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "double"])
+def test_a_long_list_excludes_the_same_rows(spark, rows, kind):
+    """Repeated, missing and unlisted ids on both sides; doubles, whose equal values may hash apart, are joined."""
+    df = spark.range(3000).selectExpr(f"CAST(IF(id % 10 = 0, NULL, id % 1000) AS {kind}) AS id", "id AS n", "id AS _listed2")
+    listed = spark.range(500).selectExpr(f"CAST(IF(id % 9 = 0, NULL, id * 3) AS {kind}) AS gone")
+    got = exclude_ids(df, listed, "id", 0)
+    want = [(n,) for n in range(3000) if n % 10 == 0 or (n % 1000) % 3 or n % 1000 // 3 % 9 == 0]
+    assert sorted(rows(got, "n")) == want and got.columns == df.columns
+
+
+def test_ids_of_another_type_than_the_list(spark, rows):
+    df = spark.range(6).toDF("id")
+    assert rows(exclude_ids(df, spark.createDataFrame([("1",), ("4",)], "gone string"), "id", 0)) == [(0,), (2,), (3,), (5,)]
+    assert len(rows(exclude_ids(df, spark.createDataFrame([], "gone bigint"), "id", -1))) == 6
+
+
+def test_rows_surely_not_listed_are_not_shuffled(spark, tmp_path, plan_of, no_broadcast):
+    """Of 200,000 rows, those that are listed and about one in seventy others reach the join."""
+    path = str(tmp_path / "facts")
+    spark.range(200_000).selectExpr("id", "id * 2 AS v").write.parquet(path)
+    listed = spark.range(20_000).selectExpr("id * 10 AS gone")
+    got = exclude_ids(spark.read.parquet(path), listed, "id", 0)
+    assert got.count() == 180_000
+    plan = plan_of(got)
+    assert "LeftAnti" in plan and "Union" in plan and "NestedLoopJoin" not in plan
+    possible = listed_filter(listed, 20_000)
+    met = spark.read.parquet(path).where(possible(F.col("id"))).count()
+    assert 20_000 <= met < 20_000 + 180_000 // 50
+
+
+def test_filter_size_is_bounded(spark):
+    assert [filter_bits(n) for n in (0, 1, 1 << 20, 1 << 40)] == [1 << 18, 1 << 18, 1 << 24, MOST_BITS]
+    ids = spark.range(1)
+    assert can_filter(ids, MOST_BITS // 4, ids.schema[0].dataType)
+    assert not can_filter(ids, MOST_BITS // 4 + 1, ids.schema[0].dataType)
+
+
+def brute_flags(data, windows, default):
+    out = []
+    for n, key, t in data:
+        held = [(place, flag) for k, lo, hi, flag, place in windows if (k is None or k == key) and (
+            lo is None or (t is not None and t > lo)) and (hi is None or (t is not None and t <= hi))]
+        out.append((n, min(held)[1] if held else default))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_windows_in_bins_equal_brute_force(spark, kind):
+    """Windows of a second to years, overlapping, empty, without an end, with and without the key; NULL keys and times."""
+    draw, start = random.Random(5), datetime(1969, 12, 31, 12)
+
+    def moment():
+        return start + timedelta(microseconds=draw.randrange(0, 86_400_000_000))
+
+    data = [(n, draw.choice([None, 1, 2, 3]), draw.choice([None, moment(), moment(), moment()])) for n in range(400)]
+    windows = []
+    for place in range(120):
+        lo = moment()
+        hi = lo + timedelta(seconds=draw.choice([-5, 0, 0.5, 1, 7, 60, 3600, 30_000, 10**8]))
+        windows.append((draw.choice([None, 1, 2]), lo, hi, place % 7, place))
+    windows += [(3, None, moment(), 50, 1000), (2, moment(), None, 51, 1001), (1, None, None, 52, 1002)]
+    # Windows end or begin at times of rows.
+    windows += [(None, t, t + timedelta(seconds=9), 60, -n - 1) for n, _, t in data[:20] if t]
+    table = spark.createDataFrame(windows, f"_w_k int, _lo {kind}, _hi {kind}, _flag int, _place int")
+    df = spark.createDataFrame(data, f"n int, k int, t {kind}")
+    got = flag_by_window_table(df, table, ["k"], "t", -1, "flag", most=0)
+    assert got.columns == ["n", "k", "t", "flag"]
+    assert sorted(map(tuple, got.select("n", "flag").collect())) == brute_flags(data, windows, -1)
+
+
+def test_no_windows_and_no_rows_in_bins(spark):
+    schema = "_w_k int, _lo timestamp_ntz, _hi timestamp_ntz, _flag int, _place int"
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1))], "k int, t timestamp_ntz")
+    none = spark.createDataFrame([], schema)
+    one = spark.createDataFrame([(None, datetime(2023, 1, 1), None, 4, 0)], schema)
+    assert [r.flag for r in flag_by_bins(df, none, ["k"], "t", 7, "flag").collect()] == [7]
+    assert [r.flag for r in flag_by_bins(df, one, ["k"], "t", 7, "flag").collect()] == [4]
+    assert flag_by_bins(df.limit(0), one, ["k"], "t", 7, "flag").collect() == []
+
+
+def test_a_row_meets_few_of_many_windows(spark, plan_of):
+    """100,000 windows without a key, of 4 to 64 seconds: a row is tested with six of a level at most."""
+    windows = spark.range(100_000).selectExpr(
+        "CAST(NULL AS INT) AS _w_k", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 65) AS _lo",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 65 + 4 + id % 61) AS _hi",
+        "CAST(id AS INT) AS _flag", "CAST(id AS INT) AS _place")
+    df = spark.range(20_000).selectExpr(
+        "id", "1 AS k", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 325 + 2) AS t")
+    binned = bin_windows(windows, T.TimestampNTZType())
+    crowd = binned.groupBy("_level", "_bin").count().agg(F.max("count"), F.count_distinct("_level")).first()
+    assert crowd[0] <= 6 and crowd[1] <= 5 and binned.count() <= 200_000
+    got = flag_by_window_table(df, windows, ["k"], "t", -1, "flag")
+    plan = plan_of(got)
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert got.where("flag = id * 5").count() == 20_000
